@@ -48,27 +48,77 @@ def describe(df: DataFrame, cols: list[str], key: str = KEY) -> DataFrame:
 
 
 def correlation(df: DataFrame, cols: list[str], key: str | None = None) -> DataFrame:
-    """Pearson correlation of every ordered column pair (pairwise
-    complete rows), long format ``(a, b, corr)``.  One aggregate pass over
-    the upper triangle (``corr`` is symmetric); the lower triangle is the
-    mirror image.  Partial aggregation keeps one small buffer per pair and
-    group, whatever the number of rows."""
+    """Pearson correlation of every ordered column pair over pairwise
+    complete rows, long format ``(a, b, corr)`` (per ``key`` when given).
+
+    The matrix is built from mergeable sufficient statistics: with the
+    presence mask M and zero-filled values X of each Arrow batch,
+    ``N = M'M``, ``Sx = X'M``, ``Sxx = (X*X)'M`` and ``Sxy = X'X`` give, for
+    every pair, the count, sums, sums of squares and cross products over the
+    rows where both values are present.  Each task folds its batches into
+    one set of matrices per group (numpy, 4 x p^2 numbers), Spark sums the
+    partial matrices per group (map-side partial aggregation, so a hot group
+    is spread over all tasks), and one small task per group turns the sums
+    into correlations.  Values are centred by their group mean first, which
+    keeps the sums well conditioned."""
+    import numpy as np
+    import pandas as pd
+
+    p = len(cols)
     group = [key] if key else []
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    exprs = []
-    for i, j in pairs:
-        a, b = cols[i], cols[j]
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        exprs.append(F.corr(F.when(both, F.col(a).cast("double")),
-                            F.when(both, F.col(b).cast("double"))).alias(f"_c{i}_{j}"))
-    agg = (df.groupBy(*group) if group else df).agg(*exprs)
-    items = []
-    for i, j in pairs:
-        v = F.col(f"_c{i}_{j}")
-        items.append(F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), v.alias("corr")))
-        if i != j:
-            items.append(F.struct(F.lit(cols[j]).alias("a"), F.lit(cols[i]).alias("b"), v.alias("corr")))
-    return agg.select(*group, F.inline(F.array(*items)))
+    if key:
+        wk = Window.partitionBy(key)
+        centred = df.select(key, *[(F.col(c).cast("double") - F.avg(F.col(c).cast("double")).over(wk)).alias(c)
+                                   for c in cols])
+        gname = key
+    else:
+        means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"_m{i}") for i, c in enumerate(cols)])
+        centred = df.crossJoin(F.broadcast(means)).select(
+            F.lit("*").alias("_g"), *[(F.col(c).cast("double") - F.col(f"_m{i}")).alias(c)
+                                      for i, c in enumerate(cols)])
+        gname = "_g"
+
+    def partial(batches):
+        acc: dict = {}
+        for pdf in batches:
+            for g, part in pdf.groupby(gname, sort=False):
+                x = part[cols].to_numpy(dtype="float64", na_value=np.nan)
+                m = ~np.isnan(x)
+                x0 = np.where(m, x, 0.0)
+                mf = m.astype("float64")
+                st = np.concatenate([(mf.T @ mf).ravel(), (x0.T @ mf).ravel(),
+                                     ((x0 * x0).T @ mf).ravel(), (x0.T @ x0).ravel()])
+                acc[g] = acc[g] + st if g in acc else st
+        if acc:
+            yield pd.DataFrame({gname: list(acc.keys()), "st": [v.tolist() for v in acc.values()]})
+
+    gtype = dict(centred.dtypes)[gname]
+    partials = centred.mapInPandas(partial, f"{gname} {gtype}, st array<double>")
+    summed = (partials.select(gname, F.posexplode("st").alias("i", "v"))
+              .groupBy(gname, "i").agg(F.sum("v").alias("v")))
+    per_group = summed.groupBy(gname).agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("st"))
+
+    def finish(batches):
+        q = p * p
+        for pdf in batches:
+            out = []
+            for g, st in zip(pdf[gname], pdf["st"]):
+                v = np.array([e["v"] for e in st], dtype="float64")
+                n, sx, sxx, sxy = (v[k * q:(k + 1) * q].reshape(p, p) for k in range(4))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    cov = sxy - sx * sx.T / n
+                    va = sxx - sx * sx / n
+                    vb = va.T
+                    r = cov / np.sqrt(va * vb)
+                r = np.where((n > 1) & (va > 0) & (vb > 0), r, np.nan)
+                for a in range(p):
+                    for b in range(p):
+                        out.append((g, cols[a], cols[b], None if np.isnan(r[a, b]) else float(r[a, b])))
+            if out:
+                yield pd.DataFrame(out, columns=[gname, "a", "b", "corr"])
+
+    res = per_group.mapInPandas(finish, f"{gname} {gtype}, a string, b string, corr double")
+    return res if key else res.drop("_g")
 
 
 def regression_metrics(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred",
