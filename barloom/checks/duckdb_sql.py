@@ -485,6 +485,8 @@ def oracle() -> dict[str, str]:
                f"1.0::DOUBLE - sum((y_true - y_pred) * (y_true - y_pred)) / nullif(count(*) * var_pop(y_true), 0) AS r2 FROM cand GROUP BY {K}, ordinal, model"),
         ("bm", f"SELECT *, row_number() OVER (PARTITION BY {K} ORDER BY mae, ordinal) AS rk FROM cm")],
         f"SELECT {K}, model, n, {R('mae')} AS mae, {R('rmse')} AS rmse, {R('r2')} AS r2 FROM bm WHERE rk = 1")
+    # the streamed Bronze must equal the batch history assembly
+    o["stream_ingest"] = o["pages_dedupe"]
     return o
 
 

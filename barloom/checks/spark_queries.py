@@ -355,3 +355,23 @@ QUERIES: dict[str, Query] = {
 }
 
 __all__ = ["QUERIES", "rnd", "PRICE_COLS"]
+
+
+def q_stream_ingest(spark, sf):
+    """Land the page documents, run the file-stream ingest to the end
+    (availableNow) and read Bronze back; equals the batch assembly (A8)."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..streaming import ingest
+
+    root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    docs = payload.fixture_pages(bars.lineitem_bars(spark, sf))
+    ingest.land_pages(docs, f"{root}/landing")
+    q = ingest.ingest_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint")
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/bronze")
+    return rnd(out.select(KEY, TS, "open", "high", "low", "close", "volume"))
+
+
+QUERIES["stream_ingest"] = q_stream_ingest
