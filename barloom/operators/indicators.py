@@ -25,7 +25,9 @@ def moving_averages(df: DataFrame, windows: list[int] | None = None,
     windows = windows or MA_WINDOWS
     w = W.series(key, ts)
     out = df.withColumns({f"sma_{n}": W.rolling_mean("close", w, n) for n in windows})
-    out = scan.ema_columns(out, "close", {f"ema_{n}": n for n in windows}, key, ts)
+    missing = {f"ema_{n}": n for n in windows if f"ema_{n}" not in df.columns}
+    if missing:  # EMAs computed upstream (one shared scan) are reused
+        out = scan.ema_columns(out, "close", missing, key, ts)
     return out.withColumns({f"price_sma_ratio_{n}": S.safe_div("close", f"sma_{n}")
                             for n in windows})
 
@@ -40,12 +42,14 @@ def rsi(df: DataFrame, window: int = RSI_WINDOW, key: str = KEY, ts: str = TS) -
     gain = F.coalesce(F.greatest(delta, F.lit(0.0)), F.lit(0.0))
     loss = F.coalesce(F.greatest(-delta, F.lit(0.0)), F.lit(0.0))
     out = df.withColumns({"_gain": gain, "_loss": loss})
-    g = W.rolling_mean("_gain", w, window)
-    lo = W.rolling_mean("_loss", w, window)
+    out = out.withColumns({"_g": W.rolling_mean("_gain", w, window),
+                           "_l": W.rolling_mean("_loss", w, window),
+                           "_n": F.count(F.lit(1)).over(W.whole(key))})
+    g, lo = F.col("_g"), F.col("_l")
     value = (F.when(lo == 0, F.when(g == 0, F.lit(None).cast("double")).otherwise(F.lit(100.0)))
               .otherwise(100.0 - 100.0 / (1.0 + g / lo)))
-    long_enough = F.count(F.lit(1)).over(W.whole(key)) >= window + 1
-    return out.withColumn("rsi", F.when(long_enough, value)).drop("_gain", "_loss")
+    out = out.withColumn("rsi", F.when(F.col("_n") >= window + 1, value))
+    return out.drop("_gain", "_loss", "_g", "_l", "_n")
 
 
 def true_range(df: DataFrame, key: str = KEY, ts: str = TS, name: str = "true_range") -> DataFrame:

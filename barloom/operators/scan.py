@@ -87,11 +87,17 @@ def ema(df: DataFrame, col: str, span: int, name: str | None = None,
     return ema_columns(df, col, {name or f"ema_{span}": span}, key, ts)
 
 
+FAST_COL, SLOW_COL = "_macd_fast", "_macd_slow"
+
+
 def macd(df: DataFrame, col: str = "close", key: str = KEY, ts: str = TS) -> DataFrame:
     """``macd = EMA12 - EMA26``, ``macd_signal = EMA9(macd)``,
-    ``macd_histogram = macd - macd_signal``."""
-    fast, slow = "_macd_fast", "_macd_slow"
-    out = ema_columns(df, col, {fast: MACD_FAST, slow: MACD_SLOW}, key, ts)
+    ``macd_histogram = macd - macd_signal``.  The two EMAs are reused when an
+    upstream scan already added ``_macd_fast`` / ``_macd_slow``."""
+    fast, slow = FAST_COL, SLOW_COL
+    out = df
+    if fast not in df.columns or slow not in df.columns:
+        out = ema_columns(df, col, {fast: MACD_FAST, slow: MACD_SLOW}, key, ts)
     out = out.withColumn("macd", F.col(fast) - F.col(slow)).drop(fast, slow)
     out = ema_columns(out, "macd", {"macd_signal": MACD_SIGNAL}, key, ts)
     return out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))

@@ -12,8 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators import clean, indicators
-from ..schemas import KEY, TS
+from ..operators import clean, indicators, scan
+from ..schemas import KEY, MA_WINDOWS, MACD_FAST, MACD_SLOW, TS
 
 
 def silver(bronze: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
@@ -27,8 +27,12 @@ def silver(bronze: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
 
 
 def gold_indicators(silver_df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
-    """L2 up to targets: E4-6 -> E7 -> E8-10 -> E11-13 -> E14-15 -> E16."""
-    df = indicators.moving_averages(silver_df, key=key, ts=ts)
+    """L2 up to targets: E4-6 -> E7 -> E8-10 -> E11-13 -> E14-15 -> E16.
+    The six EMAs (four averages, MACD fast and slow) share one block scan."""
+    spans = {f"ema_{n}": n for n in MA_WINDOWS}
+    spans.update({scan.FAST_COL: MACD_FAST, scan.SLOW_COL: MACD_SLOW})
+    df = scan.ema_columns(silver_df, "close", spans, key, ts)
+    df = indicators.moving_averages(df, key=key, ts=ts)
     df = indicators.rsi(df, key=key, ts=ts)
     df = indicators.volatility(df, key=key, ts=ts)
     df = indicators.momentum(df, key=key, ts=ts)

@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The series windows are CPU-heavy per byte: do not let AQE fold a small
+    # (bars-sized) shuffle into one task.  Large shuffles are far above this.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
