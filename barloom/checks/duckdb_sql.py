@@ -56,9 +56,13 @@ WHOLE = f"(PARTITION BY {K})"
 
 
 # ---------------------------------------------------------------- fixtures
-def lineitem_bars() -> list[tuple[str, str]]:
+SERIES_KEYS = {"flag": "l_returnflag || '-' || l_linestatus",
+               "supplier": "'supp-' || CAST(l_suppkey AS VARCHAR)"}
+
+
+def lineitem_bars(by: str = "flag") -> list[tuple[str, str]]:
     tie = "(l_orderkey, l_linenumber, l_extendedprice)"
-    q = f"""SELECT l_returnflag || '-' || l_linestatus AS {K},
+    q = f"""SELECT {SERIES_KEYS[by]} AS {K},
   CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS date,
   arg_min(l_extendedprice, {tie}) AS open, max(l_extendedprice) AS high,
   min(l_extendedprice) AS low, arg_max(l_extendedprice, {tie}) AS close,
@@ -80,7 +84,7 @@ def rn_bars(src: str = "bars", name: str = "rbars") -> list[tuple[str, str]]:
     return [(name, f"SELECT *, row_number() OVER {W()} AS rn, count(*) OVER {WHOLE} AS n FROM {src}")]
 
 
-def dirty_bars() -> list[tuple[str, str]]:
+def dirty_bars(by: str = "flag") -> list[tuple[str, str]]:
     q = f"""SELECT {K},
   CASE WHEN rn % {B.OPEN_X10_EVERY} = 0 OR rn = 1 OR rn = n THEN open * 10 ELSE open END AS open,
   CASE WHEN rn % {B.SWAP_HIGH_LOW_EVERY} = 0 THEN low ELSE high END AS high,
@@ -91,16 +95,16 @@ def dirty_bars() -> list[tuple[str, str]]:
        ELSE close END AS close,
   volume, date
 FROM rbars"""
-    return lineitem_bars() + rn_bars() + [("dirty", q)]
+    return lineitem_bars(by) + rn_bars() + [("dirty", q)]
 
 
-def text_bars() -> list[tuple[str, str]]:
+def text_bars(by: str = "flag") -> list[tuple[str, str]]:
     q = f"""SELECT {K}, CAST(open AS VARCHAR) AS open, CAST(high AS VARCHAR) AS high,
   CAST(low AS VARCHAR) AS low,
   CASE WHEN row_number() OVER {W()} % {B.TEXT_NA_EVERY} = 0 THEN 'n/a' ELSE CAST(close AS VARCHAR) END AS close,
   CAST(volume AS VARCHAR) AS volume, strftime(date, '%Y-%m-%d %H:%M:%S') AS date
 FROM dirty"""
-    return dirty_bars() + [("textbars", q)]
+    return dirty_bars(by) + [("textbars", q)]
 
 
 # ------------------------------------------------------------------ silver
@@ -172,8 +176,8 @@ FROM {src}"""
     return [(name, q)]
 
 
-def silver() -> list[tuple[str, str]]:
-    return text_bars() + coerced() + filled() + interpolated() + repaired() + derived()
+def silver(by: str = "flag") -> list[tuple[str, str]]:
+    return text_bars(by) + coerced() + filled() + interpolated() + repaired() + derived()
 
 
 SILVER_COLS = ["open", "high", "low", "close", "volume", "daily_return", "price_range",
@@ -277,8 +281,8 @@ def gold_fill_drop(src: str = "gind", name: str = "gold") -> list[tuple[str, str
     return [(f"{name}0", q1), (name, q2)]
 
 
-def gold() -> list[tuple[str, str]]:
-    return silver() + gold_indicators() + gold_fill_drop()
+def gold(by: str = "flag") -> list[tuple[str, str]]:
+    return silver(by) + gold_indicators() + gold_fill_drop()
 
 
 # ---------------------------------------------------------------- features
@@ -485,6 +489,13 @@ def oracle() -> dict[str, str]:
                f"1.0::DOUBLE - sum((y_true - y_pred) * (y_true - y_pred)) / nullif(count(*) * var_pop(y_true), 0) AS r2 FROM cand GROUP BY {K}, ordinal, model"),
         ("bm", f"SELECT *, row_number() OVER (PARTITION BY {K} ORDER BY mae, ordinal) AS rk FROM cm")],
         f"SELECT {K}, model, n, {R('mae')} AS mae, {R('rmse')} AS rmse, {R('r2')} AS r2 FROM bm WHERE rk = 1")
+    o["gold_summary"] = sql(gold(), f"SELECT {K}, count(*) AS rows, min(date) AS min_date, max(date) AS max_date, "
+                                    f"CAST({len(GOLD_COLUMNS)} AS INTEGER) AS features, CAST({len(GOLD_COLUMNS)} AS INTEGER) AS numeric_columns "
+                                    f"FROM gold GROUP BY {K}")
+    o["preview"] = sql(silver() + [("pv", f"SELECT *, row_number() OVER {W()} AS rk FROM silver")],
+                       pick(OHLCV, "pv", where="rk <= 5"))
+    o["supplier_silver"] = sql(silver("supplier"), pick(SILVER_COLS, "silver", doubles=[c for c in SILVER_COLS if c not in INT_COLS]))
+    o["supplier_gold"] = sql(gold("supplier"), f"SELECT {K}, " + ", ".join(c if c in INT_COLS else f"{R(c)} AS {c}" for c in GOLD_COLUMNS) + ", date FROM gold")
     # the streamed Bronze must equal the batch history assembly
     o["stream_ingest"] = o["pages_dedupe"]
     return o

@@ -375,3 +375,26 @@ def q_stream_ingest(spark, sf):
 
 
 QUERIES["stream_ingest"] = q_stream_ingest
+
+
+def q_gold_summary(spark, sf):
+    return stats.layer_summary(_gold(spark, sf))
+
+
+def q_preview(spark, sf):
+    return rnd(io.preview(_silver(spark, sf), 5, ["open", "high", "low", "close", "volume"]))
+
+
+def q_supplier_silver(spark, sf):
+    """Many small series: one per supplier."""
+    return _pick(layers.silver(bars.text_bars(spark, sf, bars.supplier_bars)), SILVER_OUT)
+
+
+def q_supplier_gold(spark, sf):
+    return rnd(layers.gold(layers.silver(bars.text_bars(spark, sf, bars.supplier_bars))))
+
+
+QUERIES["supplier_silver"] = q_supplier_silver
+QUERIES["supplier_gold"] = q_supplier_gold
+QUERIES["gold_summary"] = q_gold_summary
+QUERIES["preview"] = q_preview

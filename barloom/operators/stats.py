@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schemas import KEY, TS
+from ..schemas import KEY, TS, numeric_columns
 
 HIST_BINS = 20  # fixed value: residual histogram bins
 
@@ -31,6 +31,15 @@ def range_summary(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
                                F.min(ts).alias("min_date"), F.max(ts).alias("max_date"))
 
 
+def layer_summary(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
+    """Per series rows and date range, plus the layer's feature
+    count (columns other than key and date) and numeric column count."""
+    n_features = len([c for c in df.columns if c not in (key, ts)])
+    n_numeric = len(numeric_columns(df))
+    return range_summary(df, key, ts).select(
+        "*", F.lit(n_features).alias("features"), F.lit(n_numeric).alias("numeric_columns"))
+
+
 def describe(df: DataFrame, cols: list[str], key: str = KEY) -> DataFrame:
     """Count, mean, sample std, min, 25/50/75 % (exact) and max per
     series and column."""

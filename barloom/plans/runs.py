@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features, models
-from ..schemas import BRONZE_SCHEMA
+from ..schemas import BRONZE_SCHEMA, feature_columns, target_columns
 from ..sources import layers as io
 from ..sources import payload
 from . import layers
@@ -57,6 +57,10 @@ def feature_stage(spark: SparkSession, gold_path: str, features_path: str,
     io.write_layer(feats, features_path)
     feats = spark.read.parquet(features_path)
     io.write_layer(features.fit_scaler(feats), scaler_path, partition_by=[])
+    io.write_json_record(spark, {"feature_columns": feature_columns(feats.columns),
+                                 "target_columns": target_columns(feats.columns),
+                                 "num_features": len(feature_columns(feats.columns))},
+                         scaler_path.rstrip("/") + "_feature_config")
     return features.scale_features(feats)
 
 

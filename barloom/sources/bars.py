@@ -78,10 +78,11 @@ def with_rn(bars: DataFrame) -> DataFrame:
                 .withColumn("n", F.count(F.lit(1)).over(W.whole())))
 
 
-def dirty_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lineitem bars with deterministic faults: null close, swapped high/low,
-    open x 10 (also on the first and last row) and a flat run of closes."""
-    b = with_rn(lineitem_bars(spark, sf_dir))
+def dirty_bars(spark: SparkSession, sf_dir: str, source=None) -> DataFrame:
+    """Bars (lineitem by default) with deterministic faults: null close,
+    swapped high/low, open x 10 (also on the first and last row) and a flat
+    run of closes."""
+    b = with_rn((source or lineitem_bars)(spark, sf_dir))
     rn = F.col("rn")
     swap = rn % SWAP_HIGH_LOW_EVERY == 0
     flat = rn.between(FLAT_CLOSE_FROM, FLAT_CLOSE_TO)
@@ -101,10 +102,10 @@ def dirty_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def text_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def text_bars(spark: SparkSession, sf_dir: str, source=None) -> DataFrame:
     """String copy of the dirty bars, with ``'n/a'`` in ``close`` every
     41st row and the date as text (input of the type coercion)."""
-    b = with_rn(dirty_bars(spark, sf_dir))
+    b = with_rn(dirty_bars(spark, sf_dir, source))
     close_txt = F.when(F.col("rn") % TEXT_NA_EVERY == 0, F.lit("n/a")).otherwise(
         F.col("close").cast("string"))
     return b.select(

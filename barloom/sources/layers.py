@@ -47,6 +47,7 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if df.isEmpty():
         return False
     parts = partition_by if partition_by is not None else ([KEY] if KEY in df.columns else [])
+    df = _sorted_by_date(df)
     if mode != "overwrite" or not _is_local(path) or not os.path.exists(path):
         df.write.mode(mode).partitionBy(*parts).parquet(path)
         return True
@@ -59,6 +60,36 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return True
 
 
+def _sorted_by_date(df: DataFrame) -> DataFrame:
+    """rows leave in (series, date) order inside every file; a sort
+    within partitions, no global sort and no extra shuffle."""
+    if KEY in df.columns and TS in df.columns:
+        return df.sortWithinPartitions(KEY, TS)
+    return df
+
+
+def write_json_record(spark: SparkSession, record: dict, path: str) -> None:
+    """One JSON document (feature config, metrics, metadata, tuning
+    summary) written as a one-row table; nested dicts / lists become struct,
+    map and array columns."""
+    import json
+    spark.createDataFrame([(json.dumps(record, default=str),)], "doc string") \
+        .select(F.col("doc")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_json_record(spark: SparkSession, path: str) -> dict:
+    import json
+    return json.loads(spark.read.text(path).first()[0])
+
+
+def preview(df: DataFrame, n: int = 5, cols: list[str] | None = None,
+            key: str = KEY, ts: str = TS) -> DataFrame:
+    """the first ``n`` rows of every series (optionally a column subset)."""
+    w = Window.partitionBy(key).orderBy(F.col(ts).asc())
+    out = df.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= n).drop("_rk")
+    return out.select(key, ts, *cols) if cols else out
+
+
 def _is_local(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 

@@ -24,6 +24,7 @@ HEADLINE = {
     "bars": Q.q_bars,
     "silver": Q.q_silver,
     "gold": Q.q_gold,
+    "supplier_gold": Q.q_supplier_gold,
     "features": Q.q_scaled_features,
     "ema": Q.q_ema,
     "macd": Q.q_macd,
