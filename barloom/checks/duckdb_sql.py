@@ -437,6 +437,10 @@ def oracle() -> dict[str, str]:
     o["scaler_robust"] = sql(fa + [("qs", f"SELECT {K}, {rob} FROM splitted WHERE split = 'train' GROUP BY {K}"),
                                    ("ql", unpivot("qs", [K], items, "feature", "p"))],
                              f"SELECT {K}, feature, {R('p.c')} AS center, {R('CASE WHEN p.s = 0 THEN 1.0::DOUBLE ELSE p.s END')} AS scale FROM ql")
+    items = [(c, f"{{'c': q_{c}[2], 's': q_{c}[3] - q_{c}[1]}}") for c in FEATURE_COLS]
+    o["scaler_robust_pooled"] = sql(fa + [("qp", f"SELECT '*' AS {K}, {rob} FROM splitted WHERE split = 'train'"),
+                                          ("qpl", unpivot("qp", [K], items, "feature", "p"))],
+                                    f"SELECT {K}, feature, {R('p.c')} AS center, {R('CASE WHEN p.s = 0 THEN 1.0::DOUBLE ELSE p.s END')} AS scale FROM qpl")
     std = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_pop(CAST({c} AS DOUBLE)) AS s_{c}" for c in FEATURE_COLS)
     items = [(c, f"{{'c': m_{c}, 's': s_{c}}}") for c in FEATURE_COLS]
     o["scaler_standard"] = sql(fa + [("ms", f"SELECT {K}, {std} FROM splitted WHERE split = 'train' GROUP BY {K}"),

@@ -396,5 +396,10 @@ def q_supplier_gold(spark, sf):
 
 QUERIES["supplier_silver"] = q_supplier_silver
 QUERIES["supplier_gold"] = q_supplier_gold
+def q_scaler_robust_pooled(spark, sf):
+    return rnd(features.fit_scaler(_features(spark, sf), kind="robust", by_key=False))
+
+
+QUERIES["scaler_robust_pooled"] = q_scaler_robust_pooled
 QUERIES["gold_summary"] = q_gold_summary
 QUERIES["preview"] = q_preview

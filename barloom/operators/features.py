@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import windows as W
+from . import quantiles
 from ..schemas import (KEY, LAG_FEATURES, PIPELINE_MAX_LAG, PRIORITY_FEATURES, TARGET_COLUMNS,
                        TEST_SIZE, TS, VAL_SIZE, feature_columns)
 
@@ -87,25 +88,33 @@ def fit_scaler(df: DataFrame, cols: list[str] | None = None, kind: str = "robust
                on: str = "train") -> DataFrame:
     """Scaler parameters fitted on the train rows.
 
-    ``robust``: center = median, scale = Q3 - Q1 (exact, linear).
-    ``standard``: center = mean, scale = population std.
+    ``robust``: center = median, scale = Q3 - Q1 (exact, linear).  Per
+    series with ``percentile`` in one wide aggregate (its value map is
+    bounded by the series' bars); pooled with
+    ``quantiles.exact_percentiles``, which never holds a column in one task.
+    ``standard``: center = mean, scale = population std (partial aggregates).
     A zero scale becomes 1.  Output: ``series_key, feature, center, scale``
     (``series_key`` is ``'*'`` when pooled)."""
     cols = cols or feature_columns(df.columns)
     train = df.where(F.col(split_col) == on) if split_col in df.columns else df
+    if kind not in ("robust", "standard"):
+        raise ValueError(f"unknown scaler: {kind}")
+    if kind == "robust" and not by_key:
+        long = train.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])))
+        q = quantiles.exact_percentiles(long, "value", [0.25, 0.5, 0.75], ["feature"])
+        spread = F.col("p2") - F.col("p0")
+        return q.select(F.lit("*").alias(key), "feature", F.col("p1").alias("center"),
+                        F.when(spread == 0, F.lit(1.0)).otherwise(spread).alias("scale"))
     group = [key] if by_key else []
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         if kind == "robust":
-            q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-            center, spread = q[1], q[2] - q[0]
-            aggs.append(F.struct(F.lit(c).alias("feature"), q.alias("_q")).alias(f"_p_{c}"))
-        elif kind == "standard":
-            aggs.append(F.struct(F.lit(c).alias("feature"),
-                                 F.array(F.avg(x), F.stddev_pop(x)).alias("_q")).alias(f"_p_{c}"))
+            stats_ = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
         else:
-            raise ValueError(f"unknown scaler: {kind}")
+            stats_ = F.array(F.avg(x), F.stddev_pop(x))
+        aggs.append(F.struct(F.lit(c).alias("feature"), stats_.alias("_q")).alias(f"_p_{c}"))
     per = train.groupBy(*group).agg(*aggs) if group else train.agg(*aggs)
     long = per.select(*group, F.explode(F.array(*[F.col(f"_p_{c}") for c in cols])).alias("p"))
     if kind == "robust":
