@@ -63,7 +63,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="barloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - a static conf; the context setting below suffices
+            pass
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path

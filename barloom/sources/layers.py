@@ -118,8 +118,10 @@ def upsert(existing: DataFrame, new: DataFrame, keep: str = "existing",
 
 def new_rows_only(existing: DataFrame, new: DataFrame, keys: list[str] | None = None,
                   order_col: str | None = None) -> DataFrame:
-    """A7 for appends: the rows of ``new`` whose key is not stored yet (first
-    delivered copy wins inside the batch).  Appending these equals the
+    """A7 for appends: the rows of ``new`` whose key is not stored yet.
+    Inside the batch the first copy by ``order_col`` wins; without it the
+    batch must already be unique per key (callers de-duplicate pages first),
+    else an arbitrary copy is kept.  Appending the result equals the
     keep-existing upsert without rewriting the stored layer; replaying the
     same batch appends nothing."""
     keys = keys or [KEY, TS]
