@@ -500,6 +500,9 @@ def oracle() -> dict[str, str]:
                        pick(OHLCV, "pv", where="rk <= 5"))
     o["supplier_silver"] = sql(silver("supplier"), pick(SILVER_COLS, "silver", doubles=[c for c in SILVER_COLS if c not in INT_COLS]))
     o["supplier_gold"] = sql(gold("supplier"), f"SELECT {K}, " + ", ".join(c if c in INT_COLS else f"{R(c)} AS {c}" for c in GOLD_COLUMNS) + ", date FROM gold")
+    o["axis_limits"] = sql(naive_preds(), f"SELECT {R('min(y_true)')} AS lo, {R('max(y_true)')} AS hi FROM preds")
+    o["fetch_limit"] = sql(lineitem_bars() + [("fl", f"SELECT *, row_number() OVER (PARTITION BY {K} ORDER BY date DESC) AS rk FROM bars")],
+                           pick(OHLCV, "fl", where="rk <= 100"))
     # the streamed Bronze must equal the batch history assembly
     o["stream_ingest"] = o["pages_dedupe"]
     return o

@@ -401,5 +401,16 @@ def q_scaler_robust_pooled(spark, sf):
 
 
 QUERIES["scaler_robust_pooled"] = q_scaler_robust_pooled
+def q_axis_limits(spark, sf):
+    return rnd(stats.axis_limits(_naive_predictions(spark, sf), "y_true"))
+
+
+def q_fetch_limit(spark, sf):
+    return _pick(payload.fetch_limit(bars.lineitem_bars(spark, sf), 100),
+                 ["open", "high", "low", "close", "volume"])
+
+
+QUERIES["axis_limits"] = q_axis_limits
+QUERIES["fetch_limit"] = q_fetch_limit
 QUERIES["gold_summary"] = q_gold_summary
 QUERIES["preview"] = q_preview
