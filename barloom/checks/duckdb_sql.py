@@ -95,7 +95,9 @@ def dirty_bars(by: str = "flag") -> list[tuple[str, str]]:
        ELSE close END AS close,
   volume, date
 FROM rbars"""
-    return lineitem_bars(by) + rn_bars() + [("dirty", q)]
+    src = ([(n, q0) for n, q0 in event_bars()] + [("bars", "SELECT * FROM ebars")]
+           if by == "events" else lineitem_bars(by))
+    return src + rn_bars() + [("dirty", q)]
 
 
 def text_bars(by: str = "flag") -> list[tuple[str, str]]:
@@ -499,6 +501,7 @@ def oracle() -> dict[str, str]:
     o["preview"] = sql(silver() + [("pv", f"SELECT *, row_number() OVER {W()} AS rk FROM silver")],
                        pick(OHLCV, "pv", where="rk <= 5"))
     o["supplier_silver"] = sql(silver("supplier"), pick(SILVER_COLS, "silver", doubles=[c for c in SILVER_COLS if c not in INT_COLS]))
+    o["event_gold"] = sql(gold("events"), f"SELECT {K}, " + ", ".join(c if c in INT_COLS else f"{R(c)} AS {c}" for c in GOLD_COLUMNS) + ", date FROM gold")
     o["supplier_gold"] = sql(gold("supplier"), f"SELECT {K}, " + ", ".join(c if c in INT_COLS else f"{R(c)} AS {c}" for c in GOLD_COLUMNS) + ", date FROM gold")
     o["axis_limits"] = sql(naive_preds(), f"SELECT {R('min(y_true)')} AS lo, {R('max(y_true)')} AS hi FROM preds")
     o["fetch_limit"] = sql(lineitem_bars() + [("fl", f"SELECT *, row_number() OVER (PARTITION BY {K} ORDER BY date DESC) AS rk FROM bars")],

@@ -394,6 +394,12 @@ def q_supplier_gold(spark, sf):
     return rnd(layers.gold(layers.silver(bars.text_bars(spark, sf, bars.supplier_bars))))
 
 
+def q_event_gold(spark, sf):
+    """Hourly bars of the events table through Silver and Gold."""
+    return rnd(layers.gold(layers.silver(bars.text_bars(spark, sf, bars.event_bars))))
+
+
+QUERIES["event_gold"] = q_event_gold
 QUERIES["supplier_silver"] = q_supplier_silver
 QUERIES["supplier_gold"] = q_supplier_gold
 def q_scaler_robust_pooled(spark, sf):
