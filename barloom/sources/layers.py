@@ -132,11 +132,27 @@ def new_rows_only(existing: DataFrame, new: DataFrame, keys: list[str] | None =
         new = new.dropDuplicates(keys)
     touched = new.select(KEY).distinct() if KEY in keys else None
     stored = existing.select(*keys)
+    if TS in keys:
+        # only stored rows inside the batch's date range can collide: a
+        # literal range filter reaches the Parquet scan (row-group pruning)
+        lo, hi = new.agg(F.min(TS), F.max(TS)).first()
+        if lo is None:
+            return new.limit(0)
+        stored = stored.where(F.col(TS).between(_ts_lit(lo, new), _ts_lit(hi, new)))
     if touched is not None:
         stored = stored.join(touched, KEY, "left_semi")  # only the touched series
     return new.join(stored, keys, "left_anti")
 
 
+def _ts_lit(value, df: DataFrame):
+    """A literal of the same timestamp type as ``df.date`` (NTZ literals are
+    built from ISO text, so no time zone is involved)."""
+    from pyspark.sql.types import TimestampNTZType
+    if isinstance(df.schema[TS].dataType, TimestampNTZType):
+        return F.to_timestamp_ntz(F.lit(value.isoformat(sep=" ")))
+    return F.lit(value)
+
+
 def append_bronze(spark: SparkSession, new: DataFrame, path: str,
                   order_col: str | None = None) -> int:
     """A7 / L4 incremental load: append the not-yet-stored rows to Bronze.
