@@ -61,7 +61,9 @@ def learners() -> dict:
 
 
 def assembler(cols: list[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="error")
+    # rows with a missing feature (a series without saved scaler parameters)
+    # are skipped; training rows never have one (the feature stage drops them)
+    return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip")
 
 
 def fit(df: DataFrame, name: str, cols: list[str] | None = None) -> PipelineModel:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features, models
-from ..schemas import BRONZE_SCHEMA, feature_columns, target_columns
+from ..schemas import BRONZE_SCHEMA, SCALER_SCHEMA, feature_columns, target_columns
 from ..sources import layers as io
 from ..sources import payload
 from . import layers
@@ -49,19 +49,24 @@ def ingest(spark: SparkSession, mode: str, pages: DataFrame, bronze_path: str) -
 
 
 def feature_stage(spark: SparkSession, gold_path: str, features_path: str,
-                  scaler_path: str) -> DataFrame:
-    """L3: B5 -> E18(3) -> E19 -> E20 -> K1; writes features (A5) and the
-    scaler parameters (A17)."""
+                  scaler_path: str, refit: bool = True) -> DataFrame:
+    """L3: B5 -> E18(3) -> E19 -> E20 -> K1; writes features (A5).  Training
+    runs fit and save the scaler parameters (A17) and the feature config
+    (A15); other runs apply the saved parameters, so a model always sees the
+    scaling it was trained with."""
     gold = spark.read.parquet(gold_path)
     feats = features.pipeline_features(gold)
     io.write_layer(feats, features_path)
     feats = spark.read.parquet(features_path)
-    io.write_layer(features.fit_scaler(feats), scaler_path, partition_by=[])
-    io.write_json_record(spark, {"feature_columns": feature_columns(feats.columns),
-                                 "target_columns": target_columns(feats.columns),
-                                 "num_features": len(feature_columns(feats.columns))},
-                         scaler_path.rstrip("/") + "_feature_config")
-    return features.scale_features(feats)
+    saved = io.read_layer(spark, scaler_path, schema=SCALER_SCHEMA)
+    if refit or saved.isEmpty():
+        io.write_layer(features.fit_scaler(feats), scaler_path, partition_by=[])
+        io.write_json_record(spark, {"feature_columns": feature_columns(feats.columns),
+                                     "target_columns": target_columns(feats.columns),
+                                     "num_features": len(feature_columns(feats.columns))},
+                             scaler_path.rstrip("/") + "_feature_config")
+    params = spark.read.parquet(scaler_path)
+    return features.apply_scaler(feats, params)
 
 
 STAGES = {
@@ -92,7 +97,8 @@ def run(spark: SparkSession, mode: str, pages: DataFrame, root: str,
             io.write_layer(layers.gold(spark.read.parquet(p.silver)), p.gold)
             return spark.read.parquet(p.gold).count()
         if name == "features":
-            state["features"] = feature_stage(spark, p.gold, p.features, p.scaler).cache()
+            state["features"] = feature_stage(spark, p.gold, p.features, p.scaler,
+                                              refit=mode != "daily").cache()
             return state["features"].count()
         if name == "train":
             table, fitted = models.train_all(spark, state["features"], names=model_names)
