@@ -26,3 +26,11 @@ def test_no_unpartitioned_window(spark):
     for line in plan.splitlines():
         if "Window [" in line:
             assert re.search(r"\], \[[^\]]*series_key", line), line
+
+
+def test_many_series_single_exchange(spark):
+    b = bars.supplier_bars(spark, SF0001)
+    plan = _plan(layers.gold(layers.silver(b)))
+    exchanges = re.findall(r"Exchange (\w+)\(([^)]*)\)", plan)
+    keyed = [e for e in exchanges if "series_key" in e[1] and "_groupingexpression" not in e[1]]
+    assert len(keyed) == 1, exchanges
