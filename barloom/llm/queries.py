@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces, simhash_trie
+from . import binary_ids, pieces, simhash_trie
 from .common import read_table
 
 
@@ -15,11 +15,16 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.op5_sentencepiece(read_table(spark, sf_dir, "documents"))
 
 
+def op6_binary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary_ids.op6_binary_ids(read_table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.op7_simhash_trie(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_binary_ids": op6_binary_ids,
     "op7_simhash_trie": op7_simhash_trie,
 }
