@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binary_ids, pieces, simhash_trie
+from . import binary_ids, crf_langid, pieces, simhash_trie
 from .common import read_table
 
 
@@ -23,8 +23,13 @@ def op7_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.op7_simhash_trie(read_table(spark, sf_dir, "documents"))
 
 
+def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf_langid.op10_language_crf(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece": op5_sentencepiece,
     "op6_binary_ids": op6_binary_ids,
     "op7_simhash_trie": op7_simhash_trie,
+    "op10_language_crf": op10_language_crf,
 }
