@@ -2,6 +2,35 @@
 
 from __future__ import annotations
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(text: str) -> str:
+    return (rf"regexp_extract_all(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), "
+            r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+
+def decontamination(documents: str = "documents", benchmark: str = "benchmark") -> str:
+    """Every window of every item against every run of as many words."""
+    return f"""
+WITH item AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {_words('text')} AS w FROM {benchmark}),
+win AS (SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[s : s + 9], ' ') AS gram
+        FROM (SELECT item, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS s FROM item WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+doc AS (SELECT doc_id, {_words('text')} AS w FROM {documents}),
+run AS (SELECT doc_id, n, s, array_to_string(w[s : s + n - 1], ' ') AS gram
+        FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS s
+              FROM doc JOIN sizes ON len(w) >= n)),
+hit AS (SELECT doc_id, run.n, s, item FROM run JOIN win ON run.n = win.n AND run.gram = win.gram),
+place AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+          FROM (SELECT doc_id, unnest(generate_series(s, s + n - 1)) AS p FROM hit) GROUP BY doc_id),
+named AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM hit GROUP BY doc_id)
+SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+       sha256(array_to_string(coalesce(items, []), ',')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN place USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
 
 def oracle() -> dict[str, str]:
-    return {}
+    return {"op2_positional_index": decontamination()}

@@ -7,10 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binary_ids, crf_langid, pieces, simhash_trie
+from . import binary_ids, crf_langid, pieces, positional_index, simhash_trie
 from .common import read_table
 
 
+def op2_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = positional_index.op2_positional_index(read_table(spark, sf_dir, "documents"),
+                                                read_table(spark, sf_dir, "benchmark"))
+    return out.drop("n_near")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.op5_sentencepiece(read_table(spark, sf_dir, "documents"))
 
@@ -28,6 +34,7 @@ def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_positional_index": op2_positional_index,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_binary_ids": op6_binary_ids,
     "op7_simhash_trie": op7_simhash_trie,
