@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binary_ids, crf_langid, pieces, positional_index, simhash_trie
+from . import binary_ids, crf_langid, pieces, positional_index, randomness, simhash_trie
 from .common import read_table
 
 
@@ -17,6 +17,10 @@ def op2_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("n_near")
 
 
+def op4_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return randomness.op4_randomness(read_table(spark, sf_dir, "documents"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.op5_sentencepiece(read_table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_positional_index": op2_positional_index,
+    "op4_randomness": op4_randomness,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_binary_ids": op6_binary_ids,
     "op7_simhash_trie": op7_simhash_trie,
