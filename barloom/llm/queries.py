@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binary_ids, crf_langid, pieces, positional_index, randomness, simhash_trie
+from . import binary_ids, crf_langid, isolation, pieces, positional_index, randomness, simhash_trie
 from .common import read_table
 
 
@@ -33,6 +33,11 @@ def op7_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.op7_simhash_trie(read_table(spark, sf_dir, "documents"))
 
 
+def op8_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = isolation.op8_isolation_forest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return out.drop("anomaly")
+
+
 def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_langid.op10_language_crf(read_table(spark, sf_dir, "documents"))
 
@@ -43,5 +48,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece": op5_sentencepiece,
     "op6_binary_ids": op6_binary_ids,
     "op7_simhash_trie": op7_simhash_trie,
+    "op8_isolation_forest": op8_isolation_forest,
     "op10_language_crf": op10_language_crf,
 }
