@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binary_ids, crf_langid, isolation, pieces, positional_index, randomness, simhash_trie
+from . import binary_ids, crf_langid, isolation, pieces, positional_index, pu_quality, randomness, simhash_trie
 from .common import read_table
 
 
@@ -38,6 +38,10 @@ def op8_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("anomaly")
 
 
+def op9_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.op9_pu_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_langid.op10_language_crf(read_table(spark, sf_dir, "documents"))
 
@@ -49,5 +53,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_binary_ids": op6_binary_ids,
     "op7_simhash_trie": op7_simhash_trie,
     "op8_isolation_forest": op8_isolation_forest,
+    "op9_pu_quality": op9_pu_quality,
     "op10_language_crf": op10_language_crf,
 }
