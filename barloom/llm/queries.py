@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binary_ids, crf_langid, isolation, pieces, positional_index, pu_quality, randomness, simhash_trie
+from . import (binary_ids, crf_langid, isolation, line_chunks, pieces, positional_index, pu_quality, randomness,
+               simhash_trie)
 from .common import read_table
 
 
@@ -17,6 +18,10 @@ def op2_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("n_near")
 
 
+def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.op3_line_chunks(read_table(spark, sf_dir, "documents"))
+
+
 def op4_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return randomness.op4_randomness(read_table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_positional_index": op2_positional_index,
+    "op3_line_chunks": op3_line_chunks,
     "op4_randomness": op4_randomness,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_binary_ids": op6_binary_ids,
