@@ -8,10 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (binary_ids, crf_langid, isolation, line_chunks, pieces, positional_index, pu_quality, randomness,
-               simhash_trie)
+               simhash_trie, suffix_dedup)
 from .common import read_table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.op1_suffix_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op2_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = positional_index.op2_positional_index(read_table(spark, sf_dir, "documents"),
                                                 read_table(spark, sf_dir, "benchmark"))
@@ -52,6 +56,7 @@ def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_positional_index": op2_positional_index,
     "op3_line_chunks": op3_line_chunks,
     "op4_randomness": op4_randomness,
