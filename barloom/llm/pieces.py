@@ -68,31 +68,31 @@ class ChunkTable:
 
 
 def encode_documents(docs: DataFrame, model: str | None = None, key: str = "doc_id",
-                     with_ids: bool = True) -> DataFrame:
-    """Per row: key, ``ids`` (array<int>, end id last; left out when
-    ``with_ids`` is false), ``decoded`` text and the digest columns."""
+                     outputs: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
+    """Per row: key, the ``outputs`` asked for (``ids``, end id last, and the
+    ``decoded`` text), the number of ids and the digests of both."""
     path = model or tokenizer_path(MODEL)
-    kind = docs.schema[key].dataType.simpleString()
-    extra = "ids array<int>, decoded string, " if with_ids else ""
+    kinds = {"ids": "array<int>", "decoded": "string"}
+    first = f"`{key}` {docs.schema[key].dataType.simpleString()}, " + "".join(f"{o} {kinds[o]}, " for o in outputs)
 
     def work(batches):
         table = ChunkTable(path)
         end = np.array([table.sp.eos_id()], "<u4")
         names = [str(i) for i in range(table.sp.get_piece_size())]
         for keys, texts in slices(batches, 2_000_000):
-            ids = [np.concatenate((x, end)).tolist() for x in table.encode([t or "" for t in texts])]
-            back = [table.sp.decode(x) for x in ids]
-            cols = {
-                key: keys,
-                "n_tokens": [len(x) for x in ids],
-                "ids_sha256": [hashlib.sha256(" ".join([names[i] for i in x]).encode()).hexdigest() for x in ids],
+            arrays = [np.concatenate((x, end)).astype(np.int32) for x in table.encode([t or "" for t in texts])]
+            lists = [x.tolist() for x in arrays]
+            back = [table.sp.decode(x) for x in lists]
+            yield {
+                key: keys, "ids": arrays, "decoded": back,
+                "n_tokens": [len(x) for x in lists],
+                "ids_sha256": [hashlib.sha256(" ".join([names[i] for i in x]).encode()).hexdigest() for x in lists],
                 "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in back],
             }
-            yield cols | ({"ids": ids, "decoded": back} if with_ids else {})
 
     return map_batches(docs.select(key, "text"), work,
-                       f"`{key}` {kind}, {extra}n_tokens long, ids_sha256 string, decoded_sha256 string")
+                       first + "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op5_sentencepiece(docs: DataFrame, model: str | None = None) -> DataFrame:
-    return encode_documents(docs, model, with_ids=False)
+    return encode_documents(docs, model, outputs=())
