@@ -22,6 +22,7 @@ def spark():
 def duck():
     import duckdb
     con = duckdb.connect()
-    for t in ["supplier", "lineitem", "events"]:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF0001}/{t}.parquet')")
+    for file in sorted(os.listdir(SF0001)):
+        if file.endswith(".parquet"):
+            con.execute(f"CREATE VIEW {file[:-8]} AS SELECT * FROM read_parquet('{SF0001}/{file}')")
     return con
