@@ -109,38 +109,39 @@ def repeats(docs: DataFrame) -> DataFrame:
 
 
 def with_ranges(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` plus ``_gone`` (null where nothing goes) and
-    ``_left``, the lines that stay."""
-    gone = repeats(docs).select(F.col("doc_id").alias("_id"), F.col("_h").alias("_gh"), F.col("gone").alias("_gone"))
-    rows = keyed(docs)
-    joined = rows.join(gone, rows.doc_id.eqNullSafe(F.col("_id")) & (rows._h == F.col("_gh")), "left")
-    left = F.filter(F.split("text", "\n"), lambda line, i: ~F.exists(
-        "_gone", lambda g: (i >= g["first"]) & (i < g["first"] + g["n"])))
-    return joined.withColumn("_left", F.when(F.col("_gone").isNotNull(), left)).drop("_id", "_gh", "_h")
+    """(row, gone, left): each row as a struct, its removed ranges (null where
+    nothing goes) and the lines that stay of a changed text."""
+    gone = repeats(docs).select(F.col("doc_id").alias("id"), F.col("_h").alias("gh"), "gone")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("h"))
+    joined = rows.join(gone, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("gh")), "left")
+    left = F.filter(F.split("row.text", "\n"), lambda line, i: ~F.exists(
+        "gone", lambda g: (i >= g["first"]) & (i < g["first"] + g["n"])))
+    return joined.select("row", "gone", F.when(F.col("gone").isNotNull(), left).alias("left"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` without the repeated chunks.  ``n_chars`` follows the text; a
     document that loses all its lines goes."""
-    rows = with_ranges(docs)
-    changed = F.col("_gone").isNotNull()
-    text = F.when(changed, F.array_join("_left", "\n")).otherwise(F.col("text"))
-    rows = rows.where(~changed | (F.size("_left") > 0)).withColumn("text", text)
+    changed = F.col("gone").isNotNull()
+    rows = with_ranges(docs).where(~changed | (F.size("left") > 0))
+    text = F.array_join("left", "\n")
+    new = {"text": text}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType))
-                               .otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+        new["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[F.when(changed, new[c]).otherwise(F.col("row")[c]).alias(c) if c in new
+                         else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op3_line_chunks(docs: DataFrame) -> DataFrame:
     """Per document: lines, removed lines and chunks, digest of what stays."""
     rows = with_ranges(docs.select("doc_id", "text"))
-    text = F.coalesce(F.when(F.col("_gone").isNotNull(), F.array_join("_left", "\n")).otherwise(F.col("text")), F.lit(""))
+    whole = F.coalesce("row.text", F.lit(""))
     none = F.array().cast("array<struct<first:int,n:int>>")
-    gone = F.coalesce("_gone", none)
+    gone = F.coalesce("gone", none)
     return rows.select(
-        "doc_id",
-        F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"),
+        "row.doc_id",
+        F.size(F.split(whole, "\n")).cast("long").alias("n_lines"),
         F.aggregate(gone, F.lit(0).cast("long"), lambda a, g: a + g["n"]).alias("n_removed_lines"),
         F.size(gone).cast("long").alias("n_removed_chunks"),
-        F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
+        F.sha2(F.when(F.col("gone").isNotNull(), F.array_join("left", "\n")).otherwise(whole).cast("binary"), 256)
+        .alias("kept_sha256"))

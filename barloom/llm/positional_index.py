@@ -44,15 +44,15 @@ def words_of(text: str = "text") -> Column:
     return F.regexp_extract_all(plain, F.lit(WORD), F.lit(0))
 
 
+def _key() -> list[Column]:
+    return [F.xxhash64("doc_id", "text").alias("_k1"), F.xxhash64(F.lit("2"), "text", "doc_id").alias("_k2")]
+
+
 def _sized(df: DataFrame) -> DataFrame:
     """Broadcast a table that a count has shown to be small."""
     return F.broadcast(df) if fits(df, BROADCAST_ROWS) else df
 
 
-def document_key(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"_k1": F.xxhash64("doc_id", "text"), "_k2": F.xxhash64(F.lit("2"), "text", "doc_id")})
-
-
 def test_windows(items: DataFrame, width: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """(gid, words) for each distinct window and (gid, item) for its items."""
     w = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
@@ -83,8 +83,7 @@ def postings(docs: DataFrame, terms: DataFrame, width: int = WINDOW) -> DataFram
     """The stored index: (_k1, _k2, term, pos, near).  ``near`` holds the words
     from ``width - 1`` places before to as many after, for first-rank terms."""
     wanted = _sized(terms.groupBy("term").agg((F.min("rank") == 0).alias("first")))
-    tokens = (document_key(docs.select("doc_id", "text"))
-              .select("_k1", "_k2", words_of().alias("w"))
+    tokens = (docs.select(*_key(), words_of().alias("w"))
               .select("_k1", "_k2", "w", F.posexplode("w").alias("pos", "term")))
     around = F.slice("w", F.greatest(F.lit(1), F.col("pos") - (width - 2)), F.least(F.col("pos"), F.lit(width - 1)) + width)
     return saved(tokens.join(wanted, "term")
@@ -137,8 +136,7 @@ def op2_positional_index(docs: DataFrame, items: DataFrame, width: int = WINDOW)
     named = (exact.select(*key, "gid").distinct().join(items_of, "gid")
              .groupBy(*key).agg(F.sort_array(F.collect_set("item")).alias("items")))
     near = close.groupBy(*key).agg(F.count(F.lit(1)).alias("n_near"))
-    rows = document_key(docs.select("doc_id", "text")).select(
-        "doc_id", *key, F.size(words_of()).cast("long").alias("n_words"))
+    rows = docs.select("doc_id", *_key(), F.size(words_of()).cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
     out = rows.join(hits, key, "left").join(named, key, "left").join(near, key, "left")
     return out.select(
@@ -154,4 +152,5 @@ def keep_clean(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFr
     """The rows of ``docs`` without any exact match; all columns."""
     exact, _, _ = matches(docs, items, width)
     found = exact.select("_k1", "_k2").distinct()
-    return document_key(docs).join(found, ["_k1", "_k2"], "left_anti").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *_key())
+    return rows.join(found, ["_k1", "_k2"], "left_anti").select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -201,10 +201,11 @@ def op7_simhash_trie(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, width: int = SHINGLE_WORDS, budget: int = MAX_BITS) -> DataFrame:
     """One row of each near-duplicate group: the smallest ``doc_id`` (null ids
     last), then the smallest text hash; repeated rows leave one row."""
-    rows = docs.withColumn("_h", F.xxhash64("text"))
-    keyed = rows.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_h").alias("doc_id"), "text")
+    own = F.xxhash64("text")
+    keyed = docs.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", own.alias("h")).alias("doc_id"), "text")
     groups = near_groups(keyed, width, budget).select("root", "doc_id")
     chosen = (groups.groupBy("root").agg(F.min("doc_id").alias("k"))
-              .select(F.col("k.doc_id").alias("_id"), F.col("k._h").alias("_kh")))
-    kept = rows.join(chosen, rows.doc_id.eqNullSafe(F.col("_id")) & (rows._h == F.col("_kh")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_h"]).select(*docs.columns)
+              .select(F.col("k.doc_id").alias("kept_id"), F.col("k.h").alias("kept_h")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), own.alias("h"))
+    kept = rows.join(chosen, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("h") == F.col("kept_h")), "left_semi")
+    return kept.dropDuplicates(["id", "h"]).select(*[F.col("row")[c].alias(c) for c in docs.columns])
