@@ -9,15 +9,18 @@ Spark has no recursive window, so the recurrence is unrolled in blocks of
 * local part: ``loc_t = b^pos * SUM(u * b^-pos) OVER (PARTITION BY key, blk
   ORDER BY ts)`` with ``u = x`` on the first row and ``a*x`` after it.  ``B``
   is chosen from the smallest span so that ``b^-(B-1)`` stays below 1e100;
-* carry: the value at the end of block k is ``loc_last(k) + b^B * Y(k-1)``;
+* carry: the value at the end of block k is ``loc_last(k) + w(k) * Y(k-1)``
+  with the block's whole weight ``w(k)`` (``b^B`` without nulls);
   the previous block ends are collected in order and folded with
   ``aggregate`` (a handful of entries per series for daily bars);
 * result: ``y_t = loc_t + b^(pos+1) * Y(blk-1)``.
 
 All windows are partitioned by the series key (alone, or with the block), so
 they reuse the series exchange: no extra shuffle, no Python, no join.
-Interior nulls (not produced by Silver) decay the average instead of
-carrying it.
+A null row carries the last value; the first value after ``g - 1`` nulls
+weighs the past by ``b^g / (b^g + a)`` and itself by ``a / (b^g + a)``, the rule
+of an average whose weights go by position.  Such gaps enter the block sums as
+an extra factor that is exactly 1 where there are none.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 from ..functions import windows as W
 from ..schemas import KEY, MACD_FAST, MACD_SIGNAL, MACD_SLOW, TS
 
+LEAST_SHARE = 1e-20  # below double precision: the past no longer counts
 _LOG_RANGE = 100 * math.log(10.0)  # keep b^-(B-1) <= 1e100
 
 
@@ -52,33 +56,47 @@ def ema_columns(df: DataFrame, col: str, spans: dict[str, int],
         return out
     B = block_rows(list(work.values()))
     w = W.series(key, ts)
-    rn, rn0, blk, pos = "_ema_rn", "_ema_rn0", "_ema_blk", "_ema_pos"
-    start = F.min(F.when(F.col(col).isNotNull(), F.col(rn))).over(W.whole(key))
-    out = out.withColumn(rn, F.row_number().over(w))
-    out = out.withColumn(rn0, F.col(rn) - start)
-    out = out.withColumns({blk: F.floor(F.col(rn0) / B), pos: F.col(rn0) % B})
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    rn, rn0, blk, gap, pos = "_ema_rn", "_ema_rn0", "_ema_blk", "_ema_gap", "_ema_pos"
+    valid = F.col(col).isNotNull()
+    out = df.withColumn(rn, F.row_number().over(w))
+    start = F.min(F.when(valid, F.col(rn))).over(W.whole(key))
+    seen = F.last(F.when(valid, F.col(rn)), ignorenulls=True).over(before)
+    # rows since the last value: 1 in a run without nulls, 0 on a null row
+    out = out.withColumns({rn0: F.col(rn) - start, gap: F.when(valid, F.coalesce(F.col(rn) - seen, F.lit(1)))
+                           .otherwise(F.lit(0))})
+    out = out.withColumn(blk, F.floor(F.col(rn0) / B))
     wb = Window.partitionBy(key, blk).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    out = out.withColumn(pos, F.sum(F.when(F.col(gap) > 0, 1).otherwise(0)).over(wb) - 1)
     x = F.coalesce(F.col(col), F.lit(0.0))
+    after_gap = F.col(gap) > 1
+    rest = {}
+    for name, s in work.items():
+        b = 1.0 - 2.0 / (s + 1.0)
+        old = F.pow(F.lit(b), F.col(gap))
+        share = F.greatest(old / (old + (1.0 - b)), F.lit(LEAST_SHARE))
+        # what a gap weighs the past by beyond one ordinary step; exactly 1 where there is none
+        rest[f"_gap_{name}"] = F.exp(F.sum(F.when(after_gap, F.log(share / b)).otherwise(0.0)).over(wb))
+    out = out.withColumns(rest)
     locs = {}
     for name, s in work.items():
         a = 2.0 / (s + 1.0)
         b = 1.0 - a
-        u = F.when(F.col(rn0) == 0, x).otherwise(a * x)
-        scaled = u * F.pow(F.lit(b), -F.col(pos))
-        locs[f"_loc_{name}"] = F.pow(F.lit(b), F.col(pos)) * F.sum(scaled).over(wb)
+        old = F.pow(F.lit(b), F.col(gap))
+        u = F.when(F.col(rn0) == 0, x).when(after_gap, x * (a / (old + a))).otherwise(a * x)
+        scaled = u * F.pow(F.lit(b), -F.col(pos)) / F.col(f"_gap_{name}")
+        locs[f"_loc_{name}"] = F.pow(F.lit(b), F.col(pos)) * F.col(f"_gap_{name}") * F.sum(scaled).over(wb)
     out = out.withColumns(locs)
-    prev_rows = w.rowsBetween(Window.unboundedPreceding, -1)
-    is_last = F.col(pos) == B - 1
+    is_last = F.col(rn0) % B == B - 1
     results = {}
     for name, s in work.items():
         b = 1.0 - 2.0 / (s + 1.0)
-        bB = b ** B
-        ends = F.collect_list(F.when(is_last, F.col(f"_loc_{name}"))).over(prev_rows)
-        carry = F.aggregate(ends, F.lit(0.0), lambda acc, e: acc * F.lit(bB) + e)
-        y = F.col(f"_loc_{name}") + F.pow(F.lit(b), F.col(pos) + 1) * carry
-        results[name] = F.when(F.col(rn0) >= 0, y)
+        weight = F.pow(F.lit(b), F.col(pos) + 1) * F.col(f"_gap_{name}")
+        ends = F.collect_list(F.when(is_last, F.struct(weight.alias("w"), F.col(f"_loc_{name}").alias("y")))).over(before)
+        carry = F.aggregate(ends, F.lit(0.0), lambda acc, e: acc * e["w"] + e["y"])
+        results[name] = F.when(F.col(rn0) >= 0, F.col(f"_loc_{name}") + weight * carry)
     out = out.withColumns(results)
-    return out.drop(rn, rn0, blk, pos, *locs.keys())
+    return out.drop(rn, rn0, blk, gap, pos, *rest.keys(), *locs.keys())
 
 
 def ema(df: DataFrame, col: str, span: int, name: str | None = None,
@@ -103,18 +121,4 @@ def macd(df: DataFrame, col: str = "close", key: str = KEY, ts: str = TS) -> Dat
     return out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
 
 
-def ema_expr_reference(values: list[float | None], span: int) -> list[float | None]:
-    """Plain sequential recurrence, used by tests as the brute-force check."""
-    a = 2.0 / (span + 1.0)
-    out, y = [], None
-    for v in values:
-        if v is None:
-            out.append(y if y is None else y * (1 - a))
-            y = out[-1]
-            continue
-        y = v if y is None else (1 - a) * y + a * v
-        out.append(y)
-    return out
-
-
-__all__ = ["ema", "ema_columns", "macd", "block_rows", "ema_expr_reference", "Column"]
+__all__ = ["ema", "ema_columns", "macd", "block_rows", "Column"]
