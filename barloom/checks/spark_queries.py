@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions import windows as W
 from ..operators import clean, features, indicators, scan, stats
 from ..plans import layers
-from ..schemas import GOLD_COLUMNS, KEY, MA_WINDOWS, PRICE_COLS, TS
+from ..schemas import BRONZE_SCHEMA, GOLD_COLUMNS, KEY, MA_WINDOWS, PRICE_COLS, TS
 from ..sources import bars, layers as io, payload
 
 GRID = 16384.0
@@ -370,7 +370,7 @@ def q_stream_ingest(spark, sf):
     ingest.land_pages(docs, f"{root}/landing")
     q = ingest.ingest_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint")
     q.awaitTermination()
-    out = spark.read.parquet(f"{root}/bronze")
+    out = io.read_layer(spark, f"{root}/bronze", BRONZE_SCHEMA)
     return rnd(out.select(KEY, TS, "open", "high", "low", "close", "volume"))
 
 

@@ -22,8 +22,8 @@ Search grids (10 draws without replacement, 3 contiguous folds, MAE):
 from __future__ import annotations
 
 import itertools
-import json
 import random
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -34,8 +34,9 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..schemas import KEY, MODEL_RUNS_SCHEMA, TS, feature_columns
-from . import stats
+from ..schemas import KEY, MODEL_RUNS_SCHEMA, SCALER_SCHEMA, TS, feature_columns
+from ..sources import layers as io
+from . import features, stats
 
 LABEL = "target_close"
 SEED = 42
@@ -61,9 +62,9 @@ def learners() -> dict:
 
 
 def assembler(cols: list[str]) -> VectorAssembler:
-    # rows with a missing feature (a series without saved scaler parameters)
-    # are skipped; training rows never have one (the feature stage drops them)
-    return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip")
+    # a training row with a missing feature is an error; scoring sets such
+    # rows apart before it assembles them (see score)
+    return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="error")
 
 
 def fit(df: DataFrame, name: str, cols: list[str] | None = None) -> PipelineModel:
@@ -74,14 +75,23 @@ def fit(df: DataFrame, name: str, cols: list[str] | None = None) -> PipelineMode
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Batch scoring -> ``series_key, date, y_true, y_pred``."""
-    out = model.transform(df)
-    return out.select(KEY, TS, F.col(LABEL).alias("y_true"), F.col("prediction").alias("y_pred"))
+    """Batch scoring -> ``series_key, date, y_true, y_pred, status``.
+    Every row comes back: one that lacks a feature has a null ``y_pred`` and
+    the status ``missing_features``, the others ``scored``."""
+    inputs = model.stages[0].getInputCols()
+    missing = F.lit(False)
+    for c in inputs:
+        missing = missing | F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+    rows = df.select(KEY, TS, F.col(LABEL).alias("y_true"), missing.alias("_missing"),
+                     *[F.when(missing, F.lit(0.0)).otherwise(F.col(c)).alias(c) for c in inputs])
+    return model.transform(rows).select(
+        KEY, TS, "y_true", F.when(~F.col("_missing"), F.col("prediction")).alias("y_pred"),
+        F.when(F.col("_missing"), F.lit("missing_features")).otherwise(F.lit("scored")).alias("status"))
 
 
 def metrics_row(scored: DataFrame) -> dict:
-    """D9 as a small dict (one aggregate row)."""
-    r = stats.regression_metrics(scored).first()
+    """D9 over the scored rows as a small dict (one aggregate row)."""
+    r = stats.regression_metrics(scored.where("y_pred IS NOT NULL AND y_true IS NOT NULL")).first()
     return {"mae": r.mae, "rmse": r.rmse, "r2": r.r2}
 
 
@@ -106,18 +116,62 @@ def best(table: DataFrame) -> DataFrame:
     return stats.argmin_row(table, "mae", "ordinal")
 
 
-def save_model(model: PipelineModel, path: str, metadata: dict) -> None:
-    """Persist the pipeline and its metadata (JSON next to it)."""
-    model.write().overwrite().save(path)
+SCALER, PIPELINE, METADATA, SERIES = "scaler", "pipeline", "metadata", "series"
+
+
+def save_model(model: PipelineModel, path: str, metadata: dict, scaler: DataFrame | None = None,
+               series: DataFrame | None = None) -> None:
+    """One folder holds all that scoring needs: the pipeline, the
+    scaler parameters its features were scaled with, the series it was trained
+    on and the metadata.  A new version of the folder takes over at once."""
     spark = SparkSession.getActiveSession()
-    spark.createDataFrame([(json.dumps(metadata, default=str),)], "metadata string") \
-        .coalesce(1).write.mode("overwrite").text(path.rstrip("/") + "_metadata")
+    version = f"v-{uuid.uuid4().hex}"
+    at = f"{path}/{version}"
+    model.write().save(f"{at}/{PIPELINE}")
+    if scaler is not None:
+        scaler.select(*SCALER_SCHEMA.fieldNames()).coalesce(1).write.parquet(f"{at}/{SCALER}")
+    if series is not None:
+        series.select(KEY).distinct().write.parquet(f"{at}/{SERIES}")
+    record = {"training_date": datetime.now(timezone.utc).isoformat(),
+              "feature_names": list(model.stages[0].getInputCols()), **metadata}
+    io.write_json_record(spark, record, f"{at}/{METADATA}")
+    io.publish(spark, path, version)
 
 
 def load_model(path: str) -> tuple[PipelineModel, dict]:
+    """The pipeline and its metadata."""
+    spark = SparkSession.getActiveSession()
+    at = _version(spark, path)
+    return PipelineModel.load(f"{at}/{PIPELINE}"), io.read_json_record(spark, f"{at}/{METADATA}")
+
+
+def _version(spark: SparkSession, path: str) -> str:
+    at = io.current_version(spark, path)
+    if at is None:
+        raise FileNotFoundError(f"no model at {path}")
+    return at
+
+
+def load_scaler(path: str) -> DataFrame:
+    """The scaler parameters saved with the model at ``path``."""
+    spark = SparkSession.getActiveSession()
+    return spark.read.schema(SCALER_SCHEMA).parquet(f"{_version(spark, path)}/{SCALER}")
+
+
+def load_series(path: str) -> DataFrame:
+    """The series that the model at ``path`` was trained on."""
     spark = SparkSession.getActiveSession()
-    meta = spark.read.text(path.rstrip("/") + "_metadata").first()[0]
-    return PipelineModel.load(path), json.loads(meta)
+    return spark.read.schema(f"{KEY} string").parquet(f"{_version(spark, path)}/{SERIES}")
+
+
+def mark_untrained(scored: DataFrame, series: DataFrame) -> DataFrame:
+    """Status ``untrained_series`` for scored rows of a series that the model
+    has not seen; their prediction stands, from the pooled scaling."""
+    known = series.withColumn("_known", F.lit(True))
+    return (scored.join(known, KEY, "left")
+            .withColumn("status", F.when((F.col("status") == "scored") & F.col("_known").isNull(),
+                                         F.lit("untrained_series")).otherwise(F.col("status")))
+            .drop("_known"))
 
 
 def log_run(spark: SparkSession, path: str, run_name: str, params: dict, metrics: dict) -> None:
@@ -156,12 +210,6 @@ def sample_grid(est, grid: dict, n_iter: int, seed: int = SEED) -> list[dict]:
     return maps
 
 
-def with_folds(df: DataFrame, k: int = 3) -> DataFrame:
-    """E21 on the train rows: contiguous folds per series."""
-    w = Window.partitionBy(KEY).orderBy(TS)
-    return df.where(F.col("split") == "train").withColumn("fold", F.ntile(k).over(w) - 1)
-
-
 def random_search(spark: SparkSession, df: DataFrame, n_iter: int = 10, folds: int = 3,
                   families: list[str] | None = None, parallelism: int = 4,
                   cols: list[str] | None = None,
@@ -172,8 +220,8 @@ def random_search(spark: SparkSession, df: DataFrame, n_iter: int = 10, folds: i
     overall best model (lowest val MAE, earlier family wins ties)."""
     cols = cols or feature_columns(df.columns)
     space = space or search_space()
-    families = families or list(space)
-    train = with_folds(df, folds)
+    families = list(space) if families is None else families
+    train = features.folds(df, folds)
     val = df.where(F.col("split") == "val")
     va = assembler(cols)
     train_v = va.transform(train)
@@ -201,14 +249,18 @@ def random_search(spark: SparkSession, df: DataFrame, n_iter: int = 10, folds: i
 def evaluate(model: PipelineModel, df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Test-split rows ``date, y_true, y_pred, residual`` (with the
     real date) and their metrics."""
-    rows = score(model, df.where(F.col("split") == "test"))
-    rows = rows.withColumn("residual", F.col("y_true") - F.col("y_pred"))
-    return rows, stats.regression_metrics(rows)
+    rows = residual_rows(score(model, df.where(F.col("split") == "test")))
+    return rows, stats.regression_metrics(rows.where("residual IS NOT NULL"))
+
+
+def residual_rows(scored: DataFrame) -> DataFrame:
+    """Scored rows with their residual."""
+    return scored.withColumn("residual", F.col("y_true") - F.col("y_pred"))
 
 
 def predict_latest(model: PipelineModel, df: DataFrame, prediction_ts=None) -> DataFrame:
     """The newest test row of every series scored:
-    ``series_key, date, y_true, y_pred, prediction_date``."""
+    ``series_key, date, y_true, y_pred, status, prediction_date``."""
     w = Window.partitionBy(KEY).orderBy(F.col(TS).desc())
     last = df.where(F.col("split") == "test").withColumn("_rk", F.row_number().over(w)).where("_rk = 1")
     ts = F.lit(prediction_ts) if prediction_ts is not None else F.current_timestamp()

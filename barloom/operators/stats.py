@@ -8,7 +8,7 @@ result must equal the linear-interpolated quantile.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import KEY, TS, numeric_columns
@@ -58,76 +58,64 @@ def describe(df: DataFrame, cols: list[str], key: str = KEY) -> DataFrame:
 
 def correlation(df: DataFrame, cols: list[str], key: str | None = None) -> DataFrame:
     """Pearson correlation of every ordered column pair over pairwise
-    complete rows, long format ``(a, b, corr)`` (per ``key`` when given).
-
-    The matrix is built from mergeable sufficient statistics: with the
-    presence mask M and zero-filled values X of each Arrow batch,
-    ``N = M'M``, ``Sx = X'M``, ``Sxx = (X*X)'M`` and ``Sxy = X'X`` give, for
-    every pair, the count, sums, sums of squares and cross products over the
-    rows where both values are present.  Each task folds its batches into
-    one set of matrices per group (numpy, 4 x p^2 numbers), Spark sums the
-    partial matrices per group (map-side partial aggregation, so a hot group
-    is spread over all tasks), and one small task per group turns the sums
-    into correlations.  Values are centred by their group mean first, which
-    keeps the sums well conditioned."""
+    complete rows, long format ``(a, b, corr)`` (per ``key`` when given; rows
+    with a null key form a group of their own).
+
+    Each task turns its batches into co-moments, one row per group and column
+    pair: the count, both means and the centred sums of squares and products
+    over the rows that have both values (numpy matrix products, centred by the
+    batch's own column means).  These rows merge exactly by the parallel rule
+    for co-moments, folded per (group, pair) in the JVM, so a hot group is
+    spread over all tasks and a fold holds one small row for each batch."""
     import numpy as np
     import pandas as pd
 
     p = len(cols)
-    group = [key] if key else []
-    if key:
-        wk = Window.partitionBy(key)
-        centred = df.select(key, *[(F.col(c).cast("double") - F.avg(F.col(c).cast("double")).over(wk)).alias(c)
-                                   for c in cols])
-        gname = key
-    else:
-        means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"_m{i}") for i, c in enumerate(cols)])
-        centred = df.crossJoin(F.broadcast(means)).select(
-            F.lit("*").alias("_g"), *[(F.col(c).cast("double") - F.col(f"_m{i}")).alias(c)
-                                      for i, c in enumerate(cols)])
-        gname = "_g"
+    upper = [(i, j) for i in range(p) for j in range(i, p)]
+    values = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]
+    rows = df.select((F.col(key) if key else F.lit("*")).alias("g"), *values)
+    names = [f"x{i}" for i in range(p)]
+    ia, ib = (np.array(v) for v in zip(*upper))
 
     def partial(batches):
-        acc: dict = {}
         for pdf in batches:
-            for g, part in pdf.groupby(gname, sort=False):
-                x = part[cols].to_numpy(dtype="float64", na_value=np.nan)
+            for g, part in pdf.groupby("g", sort=False, dropna=False):
+                x = part[names].to_numpy(dtype="float64", na_value=np.nan)
                 m = ~np.isnan(x)
-                x0 = np.where(m, x, 0.0)
-                mf = m.astype("float64")
-                st = np.concatenate([(mf.T @ mf).ravel(), (x0.T @ mf).ravel(),
-                                     ((x0 * x0).T @ mf).ravel(), (x0.T @ x0).ravel()])
-                acc[g] = acc[g] + st if g in acc else st
-        if acc:
-            yield pd.DataFrame({gname: list(acc.keys()), "st": [v.tolist() for v in acc.values()]})
-
-    gtype = dict(centred.dtypes)[gname]
-    partials = centred.mapInPandas(partial, f"{gname} {gtype}, st array<double>")
-    summed = (partials.select(gname, F.posexplode("st").alias("i", "v"))
-              .groupBy(gname, "i").agg(F.sum("v").alias("v")))
-    per_group = summed.groupBy(gname).agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("st"))
-
-    def finish(batches):
-        q = p * p
-        for pdf in batches:
-            out = []
-            for g, st in zip(pdf[gname], pdf["st"]):
-                v = np.array([e["v"] for e in st], dtype="float64")
-                n, sx, sxx, sxy = (v[k * q:(k + 1) * q].reshape(p, p) for k in range(4))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    cov = sxy - sx * sx.T / n
-                    va = sxx - sx * sx / n
-                    vb = va.T
-                    r = cov / np.sqrt(va * vb)
-                r = np.where((n > 1) & (va > 0) & (vb > 0), r, np.nan)
-                for a in range(p):
-                    for b in range(p):
-                        out.append((g, cols[a], cols[b], None if np.isnan(r[a, b]) else float(r[a, b])))
-            if out:
-                yield pd.DataFrame(out, columns=[gname, "a", "b", "corr"])
-
-    res = per_group.mapInPandas(finish, f"{gname} {gtype}, a string, b string, corr double")
-    return res if key else res.drop("_g")
+                mid = np.where(m, x, 0.0).sum(axis=0) / np.maximum(m.sum(axis=0), 1)
+                x0, mf = np.where(m, x - mid, 0.0), m.astype("float64")
+                n = mf.T @ mf
+                safe = np.maximum(n, 1.0)
+                sx, sxx, sxy = x0.T @ mf, (x0 * x0).T @ mf, x0.T @ x0
+                ma = sx / safe
+                yield pd.DataFrame({"g": [None if pd.isna(g) else g] * len(upper), "ia": ia, "ib": ib, "n": n[ia, ib],
+                                    "ma": (ma + mid[:, None])[ia, ib], "mb": (ma + mid[:, None])[ib, ia],
+                                    "ca": (sxx - ma * sx)[ia, ib], "cb": (sxx - ma * sx)[ib, ia],
+                                    "cab": (sxy - ma * ma.T * n)[ia, ib]})
+
+    gtype = dict(rows.dtypes)["g"]
+    moments = ["n", "ma", "mb", "ca", "cb", "cab"]
+    partials = rows.mapInPandas(partial, f"g {gtype}, ia int, ib int, " + ", ".join(f"{c} double" for c in moments))
+
+    def merge(acc, s):
+        n = acc["n"] + s["n"]
+        part = s["n"] / F.greatest(n, F.lit(1.0))  # pairs without a complete row keep n = 0
+        da, db, w = s["ma"] - acc["ma"], s["mb"] - acc["mb"], acc["n"] * part
+        return F.struct(n.alias("n"), (acc["ma"] + da * part).alias("ma"), (acc["mb"] + db * part).alias("mb"),
+                        (acc["ca"] + s["ca"] + da * da * w).alias("ca"), (acc["cb"] + s["cb"] + db * db * w).alias("cb"),
+                        (acc["cab"] + s["cab"] + da * db * w).alias("cab"))
+
+    zero = F.struct(*[F.lit(0.0).alias(c) for c in moments])
+    folded = partials.groupBy("g", "ia", "ib").agg(
+        F.aggregate(F.sort_array(F.collect_list(F.struct(*moments))), zero, merge).alias("s"))
+    corr = F.when((F.col("s.n") > 1) & (F.col("s.ca") > 0) & (F.col("s.cb") > 0),
+                  F.col("s.cab") / F.sqrt(F.col("s.ca") * F.col("s.cb")))
+    label = F.array(*[F.lit(c) for c in cols])
+    one = F.struct(label[F.col("ia")].alias("a"), label[F.col("ib")].alias("b"), corr.alias("corr"))
+    two = F.struct(label[F.col("ib")].alias("a"), label[F.col("ia")].alias("b"), corr.alias("corr"))
+    sides = F.when(F.col("ia") == F.col("ib"), F.array(one)).otherwise(F.array(one, two))
+    res = folded.select(F.col("g").alias(key or "g"), F.inline(sides))
+    return res if key else res.drop("g")
 
 
 def regression_metrics(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred",
@@ -151,9 +139,11 @@ def residual_histogram(df: DataFrame, residual: str = "residual", bins: int = HI
     the right edge falls into the last bin.  Output ``bin`` (1..bins),
     ``lo``, ``hi``, ``count``."""
     g = group or []
-    if g:  # per-group limits as window aggregates: no join, no broadcast
-        wg = Window.partitionBy(*g)
-        joined = df.withColumns({"_lo": F.min(residual).over(wg), "_hi": F.max(residual).over(wg)})
+    if g:  # per-group limits are pre-aggregated and joined back, so a hot group is never gathered
+        lims = df.groupBy(*g).agg(F.min(residual).alias("_lo"), F.max(residual).alias("_hi"))
+        lims = lims.withColumnsRenamed({c: f"_g_{c}" for c in g})
+        same = [df[c].eqNullSafe(lims[f"_g_{c}"]) for c in g]
+        joined = df.join(lims, same).drop(*[f"_g_{c}" for c in g])
     else:  # one row of limits: its size is fixed, so it is broadcast
         lims = df.agg(F.min(residual).alias("_lo"), F.max(residual).alias("_hi"))
         joined = df.crossJoin(F.broadcast(lims))

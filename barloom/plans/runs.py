@@ -6,6 +6,10 @@ historical run in order and appends one status row per stage to the
 (``error``); a model-stage failure gives ``partial_success``; evaluation
 still runs after a failed training.  Every layer is written before the next
 stage reads it, which also cuts the lineage of the long window plans.
+
+Features are stored unscaled.  A training run fits a pooled scaler on them and
+saves it inside the model's folder; evaluation and prediction scale with what
+the model they load was saved with, whatever other runs have fitted since.
 """
 
 from __future__ import annotations
@@ -18,8 +22,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import features, models
-from ..schemas import BRONZE_SCHEMA, SCALER_SCHEMA, feature_columns, target_columns
+from ..operators import features, models, stats
+from ..schemas import (BRONZE_SCHEMA, feature_columns, features_schema, gold_schema, silver_schema, target_columns)
 from ..sources import layers as io
 from ..sources import payload
 from . import layers
@@ -38,35 +42,122 @@ class Paths:
 
 def ingest(spark: SparkSession, mode: str, pages: DataFrame, bronze_path: str) -> int:
     """L4: ``historical`` replaces Bronze with the assembled pages (A8 -> A6);
-    otherwise the new rows are appended, stored rows win (A7)."""
+    otherwise the new rows are appended, stored rows win (A7).  Pages that
+    could not be read go to the quarantine table."""
+    if payload.CORRUPT in pages.columns:
+        bad = payload.corrupt_pages(pages).withColumn("found_at", F.current_timestamp())
+        if not bad.isEmpty():
+            bad.write.mode("append").parquet(bronze_path + "_quarantine")
     rows = payload.normalize_ohlcv(pages, extra_cols=["page_no"])
     if mode == "historical":
-        hist = payload.assemble_history(rows)
-        io.write_layer(hist, bronze_path)
-        return spark.read.parquet(bronze_path).count()
-    first = payload.assemble_history(rows)
-    return io.append_bronze(spark, first, bronze_path)
-
-
-def feature_stage(spark: SparkSession, gold_path: str, features_path: str,
-                  scaler_path: str, refit: bool = True) -> DataFrame:
-    """L3: B5 -> E18(3) -> E19 -> E20 -> K1; writes features (A5).  Training
-    runs fit and save the scaler parameters (A17) and the feature config
-    (A15); other runs apply the saved parameters, so a model always sees the
-    scaling it was trained with."""
-    gold = spark.read.parquet(gold_path)
-    feats = features.pipeline_features(gold)
-    io.write_layer(feats, features_path)
-    feats = spark.read.parquet(features_path)
-    saved = io.read_layer(spark, scaler_path, schema=SCALER_SCHEMA)
-    if refit or saved.isEmpty():
-        io.write_layer(features.fit_scaler(feats), scaler_path, partition_by=[])
-        io.write_json_record(spark, {"feature_columns": feature_columns(feats.columns),
-                                     "target_columns": target_columns(feats.columns),
-                                     "num_features": len(feature_columns(feats.columns))},
-                             scaler_path.rstrip("/") + "_feature_config")
-    params = spark.read.parquet(scaler_path)
-    return features.apply_scaler(feats, params)
+        return io.write_layer(payload.assemble_history(rows), bronze_path)
+    return io.append_bronze(spark, payload.assemble_history(rows), bronze_path)
+
+
+def feature_stage(spark: SparkSession, gold_path: str, features_path: str) -> DataFrame:
+    """L3: B5 -> E18(3) -> E19 -> E20; writes the features (A5), their config
+    (A15) and correlations (D8) and returns the stored rows."""
+    gold = io.read_layer(spark, gold_path, gold_schema(), missing_ok=False)
+    io.write_layer(features.pipeline_features(gold), features_path)
+    feats = io.read_layer(spark, features_path, features_schema(), missing_ok=False)
+    names = feature_columns(feats.columns)
+    io.write_json_record(spark, {"feature_columns": names, "target_columns": target_columns(feats.columns),
+                                 "num_features": len(names), "created_at": _now()}, features_path + "_config")
+    stats.correlation(feats, names + target_columns(feats.columns)).write.mode("overwrite").parquet(
+        features_path + "_correlation")
+    return feats
+
+
+def _now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def fitted_scaler(feats: DataFrame) -> DataFrame:
+    """Pooled parameters (one row a feature): one model serves all series, so
+    the features keep the price level that the target has."""
+    return features.fit_scaler(feats, by_key=False).checkpoint()
+
+
+def scaled(feats: DataFrame, params: DataFrame) -> DataFrame:
+    return features.apply_scaler(feats, params, by_key=False)
+
+
+def train_stage(spark: SparkSession, feats: DataFrame, p: Paths, names: list[str] | None = None) -> int:
+    """Fit all learners, save the best with its scaler."""
+    params = fitted_scaler(feats)
+    ready = scaled(feats, params).persist()
+    try:
+        table, fitted = models.train_all(spark, ready, names=names)
+        best = models.best(table).first()
+        models.save_model(fitted[best.model], p.model, {"model_type": best.model, "metrics": best.asDict()}, params, feats)
+        rows = table.collect()  # a row for each learner
+        for r in rows:
+            models.log_run(spark, p.model_runs, f"baseline_{r.model}", {"model": r.model},
+                           {"mae": r.mae, "rmse": r.rmse, "r2": r.r2})
+        return len(rows)
+    finally:
+        ready.unpersist()
+
+
+def search_stage(spark: SparkSession, feats: DataFrame, p: Paths, families: list[str] | None = None,
+                 **search) -> int:
+    """Random search; saves the best model with its scaler, the
+    tuning results and their metadata, and logs a run for each family."""
+    params = fitted_scaler(feats)
+    ready = scaled(feats, params).persist()
+    try:
+        table, best_model = models.random_search(spark, ready, families=families, **search)
+        table = table.persist()
+        table.write.mode("overwrite").parquet(p.tuning_results)
+        rows = table.collect()  # a row for each family
+        for r in rows:
+            models.log_run(spark, p.model_runs, f"tuning_{r.model}", dict(r.best_params),
+                           {"mae": r.mae, "rmse": r.rmse, "r2": r.r2})
+        if best_model is not None:
+            best = min(rows, key=lambda r: r.mae)
+            record = {"model_type": best.model, "best_params": dict(best.best_params), "tuned_at": _now(),
+                      "metrics": {"mae": best.mae, "rmse": best.rmse, "r2": best.r2}}
+            models.save_model(best_model, p.tuned_model, record, params, feats)
+            io.write_json_record(spark, record, p.tuning_metadata)
+        return len(rows)
+    finally:
+        ready.unpersist()
+
+
+def evaluate_stage(spark: SparkSession, feats: DataFrame, p: Paths) -> int:
+    """Score the test rows with the saved model and its
+    own scaler; rows, metrics document, histogram and axis limits."""
+    model, meta = models.load_model(p.model)
+    rows, metrics = models.evaluate(model, scaled(feats, models.load_scaler(p.model)))
+    n = io.write_layer(models.mark_untrained(rows, models.load_series(p.model)), p.eval_predictions)
+    m = metrics.first()
+    found = {"mae": m.mae, "rmse": m.rmse, "r2": m.r2}
+    models.log_run(spark, p.model_runs, "evaluation", {"model": meta.get("model_type")}, found)
+    io.write_json_record(spark, {"evaluation_date": _now(), "model_type": meta.get("model_type"),
+                                 "test_metrics": found, "test_samples": m.n}, p.evaluation_results)
+    stored = io.read_layer(spark, p.eval_predictions, rows.schema)
+    stats.residual_histogram(stored).write.mode("overwrite").parquet(p.residual_histogram)
+    stats.axis_limits(stored).write.mode("overwrite").parquet(p.axis_limits)
+    return n
+
+
+def predict_stage(spark: SparkSession, feats: DataFrame, p: Paths) -> int:
+    """Score the newest row of every series and merge it into
+    the stored predictions."""
+    model, meta = models.load_model(p.model)
+    new = models.predict_latest(model, scaled(feats, models.load_scaler(p.model)))
+    new = models.mark_untrained(new, models.load_series(p.model)).checkpoint()
+    old = io.read_layer(spark, p.predictions, schema=new.schema)
+    merged = io.upsert(old, new, keep="new", order_col="prediction_date").checkpoint()
+    io.write_layer(merged, p.predictions)
+    counts = {r.status: r["count"] for r in new.groupBy("status").count().collect()}  # a row for each status
+    models.log_run(spark, p.model_runs, "prediction", {"model": meta.get("model_type")}, counts)
+    return new.count()
+
+
+def summary_stage(df: DataFrame, path: str) -> None:
+    """The summary of a layer beside it."""
+    stats.layer_summary(df).write.mode("overwrite").parquet(path + "_summary")
 
 
 STAGES = {
@@ -79,7 +170,8 @@ MODEL_STAGES = {"train", "evaluate", "predict", "search"}
 
 
 def run(spark: SparkSession, mode: str, pages: DataFrame, root: str,
-        model_names: list[str] | None = None, search_families: list[str] | None = None) -> DataFrame:
+        model_names: list[str] | None = None, search_families: list[str] | None = None,
+        search: dict | None = None) -> DataFrame:
     """Run every stage of ``mode``; returns this run's status rows."""
     p = Paths(root)
     run_id = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
@@ -91,44 +183,24 @@ def run(spark: SparkSession, mode: str, pages: DataFrame, root: str,
             return ingest(spark, "historical" if mode == "historical" else "incremental", pages, p.bronze)
         if name == "silver":
             bronze = io.read_layer(spark, p.bronze, schema=BRONZE_SCHEMA)
-            io.write_layer(layers.silver(bronze), p.silver)
-            return spark.read.parquet(p.silver).count()
+            n = io.write_layer(layers.silver(bronze), p.silver)
+            summary_stage(io.read_layer(spark, p.silver, silver_schema()), p.silver)
+            return n
         if name == "gold":
-            io.write_layer(layers.gold(spark.read.parquet(p.silver)), p.gold)
-            return spark.read.parquet(p.gold).count()
+            n = io.write_layer(layers.gold(io.read_layer(spark, p.silver, silver_schema(), missing_ok=False)), p.gold)
+            summary_stage(io.read_layer(spark, p.gold, gold_schema()), p.gold)
+            return n
         if name == "features":
-            state["features"] = feature_stage(spark, p.gold, p.features, p.scaler,
-                                              refit=mode != "daily").cache()
+            state["features"] = feature_stage(spark, p.gold, p.features)
             return state["features"].count()
         if name == "train":
-            table, fitted = models.train_all(spark, state["features"], names=model_names)
-            best = models.best(table).first()
-            state["model"] = fitted[best.model]
-            models.save_model(state["model"], p.model, {"model_type": best.model, "metrics": best.asDict()})
-            for r in table.collect():
-                models.log_run(spark, p.model_runs, f"baseline_{r.model}", {"model": r.model},
-                               {"mae": r.mae, "rmse": r.rmse, "r2": r.r2})
-            return table.count()
+            return train_stage(spark, state["features"], p, model_names)
         if name == "search":
-            table, best_model = models.random_search(spark, state["features"], families=search_families)
-            io.write_layer(table, p.tuning_results, partition_by=[])
-            if best_model is not None:
-                models.save_model(best_model, p.tuned_model, {"source": "search"})
-            return table.count()
+            return search_stage(spark, state["features"], p, search_families, **(search or {}))
         if name == "evaluate":
-            model = state.get("model") or models.load_model(p.model)[0]
-            rows, metrics = models.evaluate(model, state["features"])
-            io.write_layer(rows, p.eval_predictions)
-            m = metrics.first()
-            models.log_run(spark, p.model_runs, "evaluation", {}, {"mae": m.mae, "rmse": m.rmse, "r2": m.r2})
-            return rows.count()
+            return evaluate_stage(spark, state["features"], p)
         if name == "predict":
-            model = models.load_model(p.model)[0]
-            new = models.predict_latest(model, state["features"])
-            old = io.read_layer(spark, p.predictions, schema=new.schema)
-            merged = io.upsert(old, new, keep="new", order_col="prediction_date").checkpoint()
-            io.write_layer(merged, p.predictions)
-            return new.count()
+            return predict_stage(spark, state["features"], p)
         raise ValueError(name)
 
     failed = False
@@ -139,7 +211,7 @@ def run(spark: SparkSession, mode: str, pages: DataFrame, root: str,
             n = stage(name)
             status.append((run_id, mode, name, "success", int(n), None))
         except Exception as e:  # noqa: BLE001 - recorded in the status table
-            status.append((run_id, mode, name, "failed", None, "".join(traceback.format_exception_only(e))[:2000]))
+            status.append((run_id, mode, name, "failed", None, "".join(traceback.format_exception_only(e))))
             if name not in MODEL_STAGES:
                 failed = True
                 break

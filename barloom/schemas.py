@@ -65,6 +65,27 @@ BRONZE_SCHEMA = T.StructType([
 
 SILVER_EXTRA = ["daily_return", "price_range", "avg_price", "volume_millions",
                 "day_of_week", "month", "year"]
+INT_COLUMNS = {"day_of_week", "month", "year", "target_direction"}
+
+
+def _layer(cols: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.IntegerType() if c in INT_COLUMNS else T.DoubleType()) for c in cols])
+
+
+def silver_schema() -> T.StructType:
+    return T.StructType([*BRONZE_SCHEMA.fields, *_layer(SILVER_EXTRA).fields])
+
+
+def gold_schema() -> T.StructType:
+    return T.StructType([T.StructField(KEY, T.StringType()), *_layer(GOLD_COLUMNS).fields,
+                         T.StructField(TS, T.TimestampNTZType())])
+
+
+def features_schema() -> T.StructType:
+    lagged = [f"{c}_lag_{i}" for c in LAG_FEATURES for i in range(1, PIPELINE_MAX_LAG + 1)]
+    types = _layer([*PRIORITY_FEATURES, *TARGET_COLUMNS, *lagged, *ROLLING_FEATURES])
+    return T.StructType([T.StructField(KEY, T.StringType()), T.StructField(TS, T.TimestampNTZType()), *types.fields,
+                         T.StructField("split", T.StringType())])
 
 OHLCV_PAYLOAD_SCHEMA = T.StructType([
     T.StructField("data", T.StructType([

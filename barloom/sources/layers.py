@@ -1,84 +1,143 @@
 """Layer storage: Parquet scans and sinks, keyed upserts.
 
-Layers are Parquet folders partitioned by ``series_key``.  Writes go to a
-fresh folder and are swapped in only when complete, because Spark cannot
-overwrite a folder it is reading.  An incremental Bronze load appends only
-the rows whose (series, date) is not stored yet, reading only the touched
-series partitions, instead of rewriting the layer.
+A layer is a folder of versions, ``v-<id>``, and a pointer file ``CURRENT``
+that names the one in force.  A version is written completely before the
+pointer is replaced, by one atomic rename of the Hadoop file system, so readers
+see the old version or the new one, on any store.  Inside a version rows lie
+in ``BUCKETS`` folders by a hash of the series key, sorted by (series, date);
+the key itself is a column of the files, so its type and text stay as they
+are.  An incremental Bronze load appends only the rows whose (series, date) is
+not stored yet, reading only the touched buckets and dates.
 """
 
 from __future__ import annotations
 
-import os
-import shutil
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import StructType, TimestampNTZType
 
 from ..schemas import KEY, TS
 
+BUCKETS = 64
+BUCKET = "key_bucket"
+POINTER = "CURRENT"
+
+
+# ------------------------------------------------------------ version pointer
+def _store(spark: SparkSession, path: str):
+    """The Hadoop FileContext and Path class for ``path``."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return jvm, at.getFileSystem(conf), conf
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder that holds the layer now, or None."""
+    jvm, fs, _ = _store(spark, path)
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{path}/{POINTER}")
+    if not fs.exists(pointer):
+        return None
+    stream = fs.open(pointer)
+    try:
+        return f"{path}/{stream.readUTF()}"
+    finally:
+        stream.close()
+
+
+def publish(spark: SparkSession, path: str, version: str) -> None:
+    """Point the layer at ``version`` by an atomic rename, then delete the
+    version before it."""
+    jvm, fs, conf = _store(spark, path)
+    hadoop = jvm.org.apache.hadoop.fs
+    old = current_version(spark, path)
+    draft = hadoop.Path(f"{path}/.{POINTER}-{uuid.uuid4().hex}")
+    stream = fs.create(draft, True)
+    try:
+        stream.writeUTF(version)
+    finally:
+        stream.close()
+    context = hadoop.FileContext.getFileContext(draft.toUri() if draft.toUri().getScheme() else
+                                                fs.getUri(), conf)
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(draft, hadoop.Path(f"{path}/{POINTER}"), options)
+    if old and old != f"{path}/{version}":
+        fs.delete(hadoop.Path(old), True)
+
 
 # ----------------------------------------------------------------- scans
 def read_layer(spark: SparkSession, path: str, schema: StructType | None = None,
                missing_ok: bool = True) -> DataFrame:
-    """Read a layer.  A path that does not exist gives an
-    empty frame when ``missing_ok`` (A2), else raises (A3).  Other read
-    errors always raise."""
-    try:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        return reader.parquet(path)
-    except AnalysisException as e:
-        if missing_ok and "PATH_NOT_FOUND" in str(e) and schema is not None:
-            return spark.createDataFrame([], schema)
-        if missing_ok and "PATH_NOT_FOUND" in str(e):
-            return spark.createDataFrame([], "series_key string")
-        raise
+    """Read a layer.  A layer that does not exist gives an
+    empty frame of ``schema`` when ``missing_ok`` (A2), else raises (A3)."""
+    at = current_version(spark, path)
+    if at is None:
+        if not missing_ok:
+            raise FileNotFoundError(f"no layer at {path}")
+        if schema is None:
+            raise ValueError("a layer that may be missing needs a schema")
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(at).drop(BUCKET)
 
 
 # ----------------------------------------------------------------- sinks
-def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                mode: str = "overwrite") -> bool:
-    """Write a layer unless the frame is empty.  Overwrites go
-    to a sibling folder first and replace the old one only after the job
-    has committed.  Returns False when nothing was written."""
-    if df.isEmpty():
-        return False
-    parts = partition_by if partition_by is not None else ([KEY] if KEY in df.columns else [])
-    df = _sorted_by_date(df)
-    if mode != "overwrite" or not _is_local(path) or not os.path.exists(path):
-        df.write.mode(mode).partitionBy(*parts).parquet(path)
-        return True
-    staging = f"{path.rstrip('/')}.__staging_{uuid.uuid4().hex}"
-    df.write.mode("overwrite").partitionBy(*parts).parquet(staging)
-    old = f"{path.rstrip('/')}.__old_{uuid.uuid4().hex}"
-    os.rename(path, old)
-    os.rename(staging, path)
-    shutil.rmtree(old, ignore_errors=True)
-    return True
+def _bucketed(df: DataFrame) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.hash(KEY), F.lit(BUCKETS))) if KEY in df.columns else df
+
+
+def _write(df: DataFrame, at: str, mode: str) -> None:
+    df = _bucketed(df)
+    writer = _sorted_by_date(df).write.mode(mode)
+    (writer.partitionBy(BUCKET) if BUCKET in df.columns else writer).parquet(at)
+
+
+def write_layer(df: DataFrame, path: str) -> int:
+    """Write a new version of a layer and put it in force,
+    unless the frame is empty.  The plan runs once; the rows are counted in the
+    written files.  Returns their number."""
+    spark = df.sparkSession
+    version = f"v-{uuid.uuid4().hex}"
+    _write(df, f"{path}/{version}", "errorifexists")
+    rows = spark.read.schema(df.schema).parquet(f"{path}/{version}").count()
+    if rows:
+        publish(spark, path, version)
+    else:
+        jvm, fs, _ = _store(spark, path)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{version}"), True)
+    return rows
+
+
+def append_layer(df: DataFrame, path: str) -> None:
+    """Add rows to the version in force; the first rows make one."""
+    spark = df.sparkSession
+    at = current_version(spark, path)
+    if at is None:
+        write_layer(df, path)
+    else:
+        _write(df, at, "append")
 
 
 def _sorted_by_date(df: DataFrame) -> DataFrame:
     """rows leave in (series, date) order inside every file; a sort
     within partitions, no global sort and no extra shuffle."""
     if KEY in df.columns and TS in df.columns:
-        return df.sortWithinPartitions(KEY, TS)
+        return df.sortWithinPartitions(BUCKET, KEY, TS)
     return df
 
 
 def write_json_record(spark: SparkSession, record: dict, path: str) -> None:
     """One JSON document (feature config, metrics, metadata, tuning
-    summary) written as a one-row table; nested dicts / lists become struct,
-    map and array columns."""
-    import json
+    summary), stored as text in one file."""
     spark.createDataFrame([(json.dumps(record, default=str),)], "doc string") \
-        .select(F.col("doc")).coalesce(1).write.mode("overwrite").text(path)
+        .coalesce(1).write.mode("overwrite").text(path)
 
 
 def read_json_record(spark: SparkSession, path: str) -> dict:
-    import json
     return json.loads(spark.read.text(path).first()[0])
 
 
@@ -90,10 +149,6 @@ def preview(df: DataFrame, n: int = 5, cols: list[str] | None = None,
     return out.select(key, ts, *cols) if cols else out
 
 
-def _is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
 # --------------------------------------------------------------- upserts
 def upsert(existing: DataFrame, new: DataFrame, keep: str = "existing",
            keys: list[str] | None = None, order_col: str | None = None) -> DataFrame:
@@ -119,18 +174,15 @@ def upsert(existing: DataFrame, new: DataFrame, keep: str = "existing",
 def new_rows_only(existing: DataFrame, new: DataFrame, keys: list[str] | None = None,
                   order_col: str | None = None) -> DataFrame:
     """A7 for appends: the rows of ``new`` whose key is not stored yet.
-    Inside the batch the first copy by ``order_col`` wins; without it the
-    batch must already be unique per key (callers de-duplicate pages first),
-    else an arbitrary copy is kept.  Appending the result equals the
-    keep-existing upsert without rewriting the stored layer; replaying the
-    same batch appends nothing."""
+    Inside the batch the first copy by ``order_col`` wins; a batch without one
+    must be unique per key.  Appending the result equals the keep-existing
+    upsert without rewriting the stored layer; replaying the same batch appends
+    nothing.  ``new`` is evaluated once more for its date range, so callers
+    pass a written or persisted batch."""
     keys = keys or [KEY, TS]
     if order_col:
         w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc())
         new = new.withColumn("_rk", F.row_number().over(w)).where("_rk = 1").drop("_rk")
-    else:
-        new = new.dropDuplicates(keys)
-    touched = new.select(KEY).distinct() if KEY in keys else None
     stored = existing.select(*keys)
     if TS in keys:
         # only stored rows inside the batch's date range can collide: a
@@ -139,15 +191,12 @@ def new_rows_only(existing: DataFrame, new: DataFrame, keys: list[str] | None =
         if lo is None:
             return new.limit(0)
         stored = stored.where(F.col(TS).between(_ts_lit(lo, new), _ts_lit(hi, new)))
-    if touched is not None:
-        stored = stored.join(touched, KEY, "left_semi")  # only the touched series
     return new.join(stored, keys, "left_anti")
 
 
 def _ts_lit(value, df: DataFrame):
     """A literal of the same timestamp type as ``df.date`` (NTZ literals are
     built from ISO text, so no time zone is involved)."""
-    from pyspark.sql.types import TimestampNTZType
     if isinstance(df.schema[TS].dataType, TimestampNTZType):
         return F.to_timestamp_ntz(F.lit(value.isoformat(sep=" ")))
     return F.lit(value)
@@ -157,14 +206,15 @@ def append_bronze(spark: SparkSession, new: DataFrame, path: str,
                   order_col: str | None = None) -> int:
     """A7 / L4 incremental load: append the not-yet-stored rows to Bronze.
     A missing Bronze gets the batch as it is."""
-    existing = read_layer(spark, path, schema=new.drop(*( [order_col] if order_col else [])).schema)
+    new = new.checkpoint()  # the batch is read for its range, for the join and for the count
+    existing = read_layer(spark, path, schema=new.drop(*([order_col] if order_col else [])).schema)
     body = new_rows_only(existing, new, order_col=order_col)
     if order_col:
         body = body.drop(order_col)
     body = body.checkpoint()  # cut lineage to the stored layer before appending to it
     n = body.count()
     if n:
-        body.write.mode("append").partitionBy(KEY).parquet(path)
+        append_layer(body, path)
     return n
 
 

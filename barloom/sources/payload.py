@@ -29,9 +29,29 @@ POOL_DOC_SCHEMA = T.StructType([
 ])
 
 
+CORRUPT = "corrupt_record"
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed OHLCV page documents (JSON lines) with the fixed schema."""
-    return spark.read.schema(PAGE_DOC_SCHEMA).json(path)
+    """Landed OHLCV page documents (JSON lines) with the fixed schema; a line
+    that is no such document keeps its text in ``corrupt_record``."""
+    return parse_pages(spark.read.text(path))
+
+
+def parse_pages(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Page documents of JSON text, one a row (also of a stream)."""
+    schema = T.StructType([*PAGE_DOC_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    doc = F.from_json(column, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return lines.where(F.length(F.trim(column)) > 0).select(doc.alias("d")).select("d.*")
+
+
+def sound_pages(pages: DataFrame) -> DataFrame:
+    return pages.where(F.col(CORRUPT).isNull()) if CORRUPT in pages.columns else pages
+
+
+def corrupt_pages(pages: DataFrame) -> DataFrame:
+    """The quarantine: what could not be read, with what could be told of it."""
+    return pages.where(F.col(CORRUPT).isNotNull()).select(KEY, "page_no", CORRUPT)
 
 
 def normalize_ohlcv(docs: DataFrame, extra_cols: list[str] | None = None) -> DataFrame:
@@ -40,6 +60,7 @@ def normalize_ohlcv(docs: DataFrame, extra_cols: list[str] | None = None) -> Dat
     numeric are dropped.  A missing path or an empty list yields no rows."""
     extra = [c for c in (extra_cols or []) if c in docs.columns]
     keep = [c for c in [KEY] if c in docs.columns] + extra
+    docs = sound_pages(docs)
     lists = F.col("data.attributes.ohlcv_list")
     rows = docs.select(*keep, F.explode_outer(lists).alias("_e")).where(F.col("_e").isNotNull())
     vals = {name: S.to_double(F.col("_e")[i + 1]) for i, name in enumerate(NUMERIC_COLS)}

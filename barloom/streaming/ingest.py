@@ -2,45 +2,55 @@
 
 Landed page documents (JSON lines, one page per line) are read as a file
 stream with a fixed schema, flattened by the payload scan (A1) and merged
+(lines that are no such document go to a quarantine table beside Bronze)
 into Bronze in ``foreachBatch``: inside a micro-batch the earliest-fetched
 page wins per (series, date); against stored Bronze the stored row wins
-(A7), so only new (series, date) rows are appended.  The stream checkpoint
+(A7), so only new (series, date) rows are appended.  Pages of one fetch must
+land before the trigger that reads them: over several triggers the rows that
+arrive first stay, whatever their page number.  The stream checkpoint
 records which files were consumed; a replayed batch appends nothing because
 its rows are already stored, so the job survives executor and driver loss.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import KEY, TS
 from ..sources import layers, payload
 
 
 def _merge_batch(spark: SparkSession, bronze_path: str):
     def merge(batch: DataFrame, batch_id: int) -> None:
-        w = Window.partitionBy(KEY, TS).orderBy(F.col("page_no").asc())
-        first = batch.withColumn("_rk", F.row_number().over(w)).where("_rk = 1").drop("_rk", "page_no")
-        existing = layers.read_layer(spark, bronze_path, schema=first.schema)
-        fresh = layers.new_rows_only(existing, first)
-        fresh.write.mode("append").partitionBy(KEY).parquet(bronze_path)
+        batch = batch.persist()  # read for the quarantine and for the rows
+        try:
+            corrupt = payload.corrupt_pages(batch).withColumn("batch_id", F.lit(batch_id))
+            if not corrupt.isEmpty():
+                corrupt.write.mode("append").parquet(quarantine_path(bronze_path))
+            rows = payload.normalize_ohlcv(batch, extra_cols=["page_no"])
+            layers.append_bronze(spark, rows, bronze_path, order_col="page_no")
+        finally:
+            batch.unpersist()
     return merge
 
 
+def quarantine_path(bronze_path: str) -> str:
+    return bronze_path.rstrip("/") + "_quarantine"
+
+
 def ingest_stream(spark: SparkSession, landing_path: str, bronze_path: str,
                   checkpoint_path: str, max_files_per_trigger: int | None = None):
     """Start the ingest; with the default ``availableNow`` trigger it
     processes every landed file once and stops.  Returns the query."""
-    reader = spark.readStream.schema(payload.PAGE_DOC_SCHEMA)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = payload.normalize_ohlcv(reader.json(landing_path), extra_cols=["page_no"])
-    return (rows.writeStream
-                .foreachBatch(_merge_batch(spark, bronze_path))
-                .option("checkpointLocation", checkpoint_path)
-                .trigger(availableNow=True)
-                .start())
+    pages = payload.parse_pages(reader.text(landing_path))
+    return (pages.writeStream
+                 .foreachBatch(_merge_batch(spark, bronze_path))
+                 .option("checkpointLocation", checkpoint_path)
+                 .trigger(availableNow=True)
+                 .start())
 
 
 def land_pages(docs: DataFrame, landing_path: str) -> None:

@@ -32,7 +32,7 @@ def test_append_bronze_idempotent(spark, tmp_path):
     assert io.append_bronze(spark, batch, path) == 0
     again = _bars(spark, [("k", 7.0, 7.0, 7.0, 7.0, 7.0, D[1]), ("k", 3.0, 3.0, 3.0, 3.0, 3.0, D[2])])
     assert io.append_bronze(spark, again, path) == 1
-    stored = {r.date: r.close for r in spark.read.parquet(path).collect()}
+    stored = {r.date: r.close for r in io.read_layer(spark, path, BRONZE_SCHEMA).collect()}
     assert stored == {D[0]: 1.0, D[1]: 2.0, D[2]: 3.0}
 
 
@@ -41,6 +41,42 @@ def test_missing_layer_is_empty(spark, tmp_path):
     assert df.count() == 0 and df.columns == BRONZE_SCHEMA.fieldNames()
 
 
+def test_layer_versions(spark, tmp_path):
+    import os
+
+    import pytest
+    path = str(tmp_path / "layer")
+    with pytest.raises(FileNotFoundError):
+        io.read_layer(spark, path, BRONZE_SCHEMA, missing_ok=False)
+    rows = [(k, 1.0, 1.0, 1.0, float(i), 1.0, D[i]) for k in ("007", "7", None) for i in range(3)]
+    assert io.write_layer(_bars(spark, rows), path) == 9
+    first = io.current_version(spark, path)
+    back = io.read_layer(spark, path, BRONZE_SCHEMA)
+    assert back.schema.fieldNames() == BRONZE_SCHEMA.fieldNames()
+    assert {(r.series_key, r["count"]) for r in back.groupBy("series_key").count().collect()} == {
+        ("007", 3), ("7", 3), (None, 3)}
+    assert io.write_layer(back.where("series_key = '7'"), path) == 3  # reads the version it replaces
+    assert io.current_version(spark, path) != first and not os.path.exists(first)
+    assert io.read_layer(spark, path, BRONZE_SCHEMA).count() == 3
+    assert io.write_layer(back.limit(0).sparkSession.createDataFrame([], BRONZE_SCHEMA), path) == 0
+    assert io.read_layer(spark, path, BRONZE_SCHEMA).count() == 3  # an empty frame writes nothing
+
+
+def test_corrupt_pages_are_set_apart(spark, tmp_path):
+    from barloom.streaming import ingest
+    good = '{"series_key":"k","page_no":0,"data":{"attributes":{"ohlcv_list":[["1704067200","1","2","1","1","5"]]}}}'
+    land = tmp_path / "landing"
+    land.mkdir()
+    (land / "a.json").write_text(good + "\n" + good[:-30] + "\n\nnot json\n")
+    pages = payload.read_pages(spark, str(land))
+    assert payload.normalize_ohlcv(pages).count() == 1
+    assert payload.corrupt_pages(pages).count() == 2
+    bronze = str(tmp_path / "bronze")
+    ingest.ingest_stream(spark, str(land), bronze, str(tmp_path / "ck")).awaitTermination()
+    assert io.read_layer(spark, bronze, BRONZE_SCHEMA).count() == 1
+    assert spark.read.parquet(ingest.quarantine_path(bronze)).count() == 2
+
+
 def test_payload_empty_and_bad_rows(spark):
     docs = spark.createDataFrame(
         [("k", 0, {"attributes": {"ohlcv_list": []}}),

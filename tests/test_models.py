@@ -9,6 +9,7 @@ from barloom.checks import spark_queries as Q
 from barloom.operators import features, models
 from barloom.plans import runs
 from barloom.sources import bars, payload
+from barloom.sources import layers as io
 from barloom.streaming import ingest
 from conftest import SF0001
 
@@ -51,7 +52,7 @@ def test_random_search_small_grid(spark):
 
 
 def test_folds_contiguous(spark):
-    f = models.with_folds(Q._features(spark, SF0001))
+    f = features.folds(Q._features(spark, SF0001))
     per = f.groupBy("series_key", "fold").agg(F.min("date").alias("lo"), F.max("date").alias("hi")).collect()
     by = {}
     for r in per:
@@ -60,18 +61,74 @@ def test_folds_contiguous(spark):
         assert folds[0].hi < folds[1].lo and folds[1].hi < folds[2].lo
 
 
-def test_runs_historical_then_daily(spark, tmp_path):
-    pages = payload.fixture_pages(bars.lineitem_bars(spark, SF0001))
+def _status(df):
+    return {r.stage: r.status for r in df.collect()}
+
+
+def _layer(spark, path):
+    return spark.read.parquet(io.current_version(spark, path))
+
+
+def _predictions(spark, root):
+    return {(r.series_key, r.date): r.y_pred for r in _layer(spark, f"{root}/predictions").collect()}
+
+
+def test_layer_schemas_are_what_is_written(spark):
+    from barloom import schemas
+    kinds = lambda t: {f.name: f.dataType for f in t.fields}
+    assert kinds(Q._silver(spark, SF0001).schema) == kinds(schemas.silver_schema())
+    assert kinds(Q._gold(spark, SF0001).schema) == kinds(schemas.gold_schema())
+    assert kinds(Q._features(spark, SF0001).schema) == kinds(schemas.features_schema())
+
+
+def test_runs_keep_model_and_scaler_together(spark, tmp_path):
+    """historical -> daily -> monthly on other data -> daily: what the monthly
+    run fits leaves the stored model's predictions as they were."""
+    pages = payload.fixture_pages(bars.lineitem_bars(spark, SF0001).where("series_key IN ('A-F', 'R-F')"))
+    older = pages.where("page_no >= 1")
     root = str(tmp_path / "lake")
-    st = {r.stage: r.status for r in runs.run(spark, "historical", pages, root,
-                                              model_names=["linear_regression"]).collect()}
+    st = _status(runs.run(spark, "historical", older, root, model_names=["linear_regression"]))
+    assert st["overall"] == "success", st
+    assert _status(runs.run(spark, "daily", older, root))["overall"] == "success"
+    before = _predictions(spark, root)
+    grid = {"gbt": (GBTRegressor(featuresCol="features", labelCol=models.LABEL, seed=42), {"maxIter": [2]})}
+    st = _status(runs.run(spark, "monthly", older, root, search={"space": grid, "n_iter": 1}))
     assert st["overall"] == "success", st
-    for _ in range(2):
-        d = {r.stage: r.status for r in runs.run(spark, "daily", pages, root).collect()}
-        assert d["overall"] == "success", d
-    preds = spark.read.parquet(f"{root}/predictions")
-    assert preds.count() == preds.select("series_key", "date").distinct().count() > 0
-    assert spark.read.parquet(f"{root}/pipeline_runs").where("stage = 'overall'").count() == 3
+    st = _status(runs.run(spark, "daily", older, root))
+    assert st["overall"] == "success", st
+    assert _predictions(spark, root) == before
+    # a failed training leaves the stored model in force, and is reported
+    st = _status(runs.run(spark, "weekly", older, root, model_names=["no such learner"]))
+    assert st["train"] == "failed" and st["evaluate"] == "success" and st["overall"] == "partial_success"
+    # new pages add a series that the model has not seen: it is scored and marked
+    more = payload.fixture_pages(bars.lineitem_bars(spark, SF0001).where("series_key IN ('A-F', 'N-O')"))
+    assert _status(runs.run(spark, "daily", more, root))["overall"] == "success"
+    last = {r.series_key: r.status for r in _layer(spark, f"{root}/predictions").where("series_key = 'N-O'").collect()}
+    assert last == {"N-O": "untrained_series"}
+    names = {r.run_name for r in spark.read.parquet(f"{root}/model_runs").collect()}
+    assert {"baseline_linear_regression", "evaluation", "prediction", "tuning_gbt"} <= names
+    meta = models.load_model(f"{root}/model")[1]
+    assert len(meta["feature_names"]) == 35 and meta["training_date"]
+    for doc in ["features_config", "evaluation_results", "tuning_metadata"]:
+        assert io.read_json_record(spark, f"{root}/{doc}")
+    for table in ["features_correlation", "residual_histogram", "axis_limits", "silver_summary", "gold_summary",
+                  "tuning_results"]:
+        assert spark.read.parquet(f"{root}/{table}").count() > 0
+    assert spark.read.parquet(f"{root}/pipeline_runs").where("stage = 'overall'").count() == 6
+
+
+def test_scoring_keeps_rows_without_features(spark):
+    df = _scaled(spark)
+    model = models.fit(df, "linear_regression", ["close", "rsi"])
+    holes = df.withColumn("rsi", F.when(F.col("series_key") != "A-F", F.col("rsi")))
+    out = models.score(model, holes)
+    assert out.count() == df.count()
+    by = {(r.status, r.none): r["count"] for r in
+          out.groupBy("status", F.col("y_pred").isNull().alias("none")).count().collect()}
+    assert set(by) == {("scored", False), ("missing_features", True)}
+    rows, metrics = models.evaluate(model, holes)
+    assert rows.count() == df.where("split = 'test'").count()
+    assert metrics.first().n == rows.where("status = 'scored'").count()
 
 
 def test_stream_replay_appends_nothing(spark, tmp_path):
@@ -79,9 +136,9 @@ def test_stream_replay_appends_nothing(spark, tmp_path):
     docs = payload.fixture_pages(bars.lineitem_bars(spark, SF0001))
     ingest.land_pages(docs, f"{root}/landing")
     ingest.ingest_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ck1").awaitTermination()
-    n1 = spark.read.parquet(f"{root}/bronze").count()
+    n1 = _layer(spark, f"{root}/bronze").count()
     # a fresh checkpoint re-reads every file: nothing new may be appended
     ingest.ingest_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ck2").awaitTermination()
-    assert spark.read.parquet(f"{root}/bronze").count() == n1
+    assert _layer(spark, f"{root}/bronze").count() == n1
     batch = payload.assemble_history(payload.normalize_ohlcv(docs, extra_cols=["page_no"]))
     assert batch.count() == n1
