@@ -364,6 +364,15 @@ WHERE q >= 1 AND rd - q * {step} < {B.PAGE_OVERLAP}"""
     return lineitem_bars() + rn_bars() + [("pg", q1), ("members", q2), ("pagerows", q3)]
 
 
+def oracle_upsert() -> str:
+    """Bronze after the second delivery: stored rows win."""
+    deliveries = lineitem_bars() + rn_bars() + [
+        ("existing", f"SELECT {K}, open, high, low, close, volume, date, 0 AS src FROM rbars WHERE rn <= floor(n * {D(0.9)})"),
+        ("newrows", f"SELECT {K}, open, high, low, close + {D(1.0)} AS close, volume, date, 1 AS src FROM rbars WHERE rn > floor(n * {D(0.9)}) - 10"),
+        ("ups", f"SELECT *, row_number() OVER (PARTITION BY {K}, date ORDER BY src) AS rk FROM (SELECT * FROM existing UNION ALL SELECT * FROM newrows)")]
+    return sql(deliveries, pick(OHLCV, "ups", where="rk = 1"))
+
+
 def oracle() -> dict[str, str]:
     o: dict[str, str] = {}
     o["bars"] = sql(lineitem_bars(), pick(OHLCV, "bars"))
@@ -372,11 +381,7 @@ def oracle() -> dict[str, str]:
                                  ", ".join(f"{R(c)} AS {c}" for c in OHLCV) + " FROM pagerows")
     o["pages_dedupe"] = sql(pages() + [("dd", f"SELECT *, row_number() OVER (PARTITION BY {K}, date ORDER BY page_no) AS rk FROM pagerows")],
                             pick(OHLCV, "dd", where="rk = 1"))
-    deliveries = lineitem_bars() + rn_bars() + [
-        ("existing", f"SELECT {K}, open, high, low, close, volume, date, 0 AS src FROM rbars WHERE rn <= floor(n * {D(0.9)})"),
-        ("newrows", f"SELECT {K}, open, high, low, close + {D(1.0)} AS close, volume, date, 1 AS src FROM rbars WHERE rn > floor(n * {D(0.9)}) - 10"),
-        ("ups", f"SELECT *, row_number() OVER (PARTITION BY {K}, date ORDER BY src) AS rk FROM (SELECT * FROM existing UNION ALL SELECT * FROM newrows)")]
-    o["bronze_upsert_keep_first"] = sql(deliveries, pick(OHLCV, "ups", where="rk = 1"))
+    o["bronze_upsert_keep_first"] = oracle_upsert()
     o["latest_bar"] = sql(lineitem_bars() + [("lt", f"SELECT *, row_number() OVER (PARTITION BY {K} ORDER BY date DESC) AS rk FROM bars")],
                           f"SELECT {K}, " + ", ".join(f"{R(c)} AS {c}" for c in OHLCV) + ", date FROM lt WHERE rk = 1")
     o["pool_argmax"] = ("SELECT network, replace(id, 'eth_', '') AS pool_id, reserve FROM ("
@@ -431,15 +436,10 @@ def oracle() -> dict[str, str]:
     o["split"] = sql(fa, f"SELECT {K}, date, split FROM splitted")
     o["folds"] = sql(fa, f"SELECT {K}, date, CAST(ntile(3) OVER {W()} - 1 AS INTEGER) AS fold FROM splitted WHERE split = 'train'")
     rob = ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), [0.25, 0.5, 0.75]) AS q_{c}" for c in FEATURE_COLS)
-    o["scaler_robust"] = sql(fa + [("qs", f"SELECT {K}, {rob} FROM splitted WHERE split = 'train' GROUP BY {K}")],
-                             unpivot("qs", [K], [(c, f"q_{c}[2]") for c in FEATURE_COLS], "feature", "center_raw")
-                             .replace("SELECT", "SELECT", 1))
-    # rewrite scaler_robust with scale as well (center + scale per feature)
     items = [(c, f"{{'c': q_{c}[2], 's': q_{c}[3] - q_{c}[1]}}") for c in FEATURE_COLS]
     o["scaler_robust"] = sql(fa + [("qs", f"SELECT {K}, {rob} FROM splitted WHERE split = 'train' GROUP BY {K}"),
                                    ("ql", unpivot("qs", [K], items, "feature", "p"))],
                              f"SELECT {K}, feature, {R('p.c')} AS center, {R('CASE WHEN p.s = 0 THEN 1.0::DOUBLE ELSE p.s END')} AS scale FROM ql")
-    items = [(c, f"{{'c': q_{c}[2], 's': q_{c}[3] - q_{c}[1]}}") for c in FEATURE_COLS]
     o["scaler_robust_pooled"] = sql(fa + [("qp", f"SELECT '*' AS {K}, {rob} FROM splitted WHERE split = 'train'"),
                                           ("qpl", unpivot("qp", [K], items, "feature", "p"))],
                                     f"SELECT {K}, feature, {R('p.c')} AS center, {R('CASE WHEN p.s = 0 THEN 1.0::DOUBLE ELSE p.s END')} AS scale FROM qpl")
