@@ -8,6 +8,7 @@ when the setting is absent, which happens in tests on a bare install.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,7 +40,8 @@ def get_session(master: str | None = None, app_name: str = "barloom",
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     if driver_memory or (master or "").startswith("local"):
-        conf["spark.driver.memory"] = driver_memory or "16g"
+        half = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") >> 31
+        conf["spark.driver.memory"] = driver_memory or f"{max(1, half)}g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
@@ -54,13 +56,14 @@ def get_session(master: str | None = None, app_name: str = "barloom",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    Only when ``spark.checkpoint.dir`` is unset (a bare local test) a
-    scratch folder is made; on a cluster the setting always points at
-    shared storage.
+    Only when ``spark.checkpoint.dir`` is unset in local mode (a bare test) a
+    scratch folder is made; on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
+    if not path and not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="barloom-ckpt-")
         try:

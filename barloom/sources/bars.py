@@ -27,7 +27,6 @@ NULL_CLOSE_EVERY = 53
 SWAP_HIGH_LOW_EVERY = 37
 OPEN_X10_EVERY = 71
 TEXT_NA_EVERY = 41
-REPEAT_DATE_EVERY = 29
 FLAT_CLOSE_FROM, FLAT_CLOSE_TO = 200, 220
 PAGE_SIZE, PAGE_OVERLAP = 100, 5
 # ---------------------------------------------------------------------------
@@ -47,23 +46,28 @@ def _ohlcv(df: DataFrame, key: F.Column, ts: F.Column, price: str, qty: str,
                  F.sum(qty).alias("volume")))
 
 
+def _order_line_tie() -> F.Column:
+    """(order, line, cents) as one number of fixed width: the aggregate's
+    buffer can be updated in place, so the bars are a hash aggregate."""
+    return F.expr("cast(l_orderkey AS decimal(18,0)) * 1000000000000000BD + cast(l_linenumber AS decimal(4,0)) "
+                  "* 100000000000BD + cast(round(l_extendedprice * 100) AS decimal(11,0))")
+
+
 def lineitem_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     key = F.concat_ws("-", "l_returnflag", "l_linestatus")
-    tie = F.struct("l_orderkey", "l_linenumber", "l_extendedprice")
-    return _ohlcv(li, key, S.day_floor("l_shipdate"), "l_extendedprice", "l_quantity", tie)
+    return _ohlcv(li, key, S.day_floor("l_shipdate"), "l_extendedprice", "l_quantity", _order_line_tie())
 
 
 def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     key = F.concat(F.lit("supp-"), F.col("l_suppkey").cast("string"))
-    tie = F.struct("l_orderkey", "l_linenumber", "l_extendedprice")
-    return _ohlcv(li, key, S.day_floor("l_shipdate"), "l_extendedprice", "l_quantity", tie)
+    return _ohlcv(li, key, S.day_floor("l_shipdate"), "l_extendedprice", "l_quantity", _order_line_tie())
 
 
 def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
-    tie = F.struct("ts", "event_id")
+    tie = F.expr("cast(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS decimal(19,0)) * 1000000000000000BD + cast(event_id AS decimal(15,0))")
     return (ev.groupBy(F.col("event_type").alias(KEY), S.hour_floor("ts").alias(TS))
             .agg(F.min_by("value", tie).alias("open"),
                  F.max("value").alias("high"),
@@ -119,15 +123,6 @@ def text_bars(spark: SparkSession, sf_dir: str, source=None) -> DataFrame:
     )
 
 
-def repeated_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second delivery of every 29th bar with a changed close (upsert
-    input: the existing row must win)."""
-    b = with_rn(lineitem_bars(spark, sf_dir))
-    return (b.where(F.col("rn") % REPEAT_DATE_EVERY == 0)
-             .select(KEY, "open", "high", "low", (F.col("close") + 1.0).alias("close"),
-                     "volume", TS))
-
-
 def pools(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pool list rows: one list per nation (``network``), pools in supplier
     order, reserve as text."""

@@ -34,3 +34,9 @@ def test_many_series_single_exchange(spark):
     exchanges = re.findall(r"Exchange (\w+)\(([^)]*)\)", plan)
     keyed = [e for e in exchanges if "series_key" in e[1] and "_groupingexpression" not in e[1]]
     assert len(keyed) == 1, exchanges
+
+
+def test_bars_are_a_hash_aggregate(spark):
+    for source in (bars.lineitem_bars, bars.supplier_bars, bars.event_bars):
+        plan = source(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
