@@ -25,6 +25,7 @@ STAMP = datetime(2026, 1, 1)
 COARSE = 16.0  # grid of predictions: solvers differ in the last digits
 HIDDEN = "A-F"  # the series that a query keeps from training or from scaling
 CUT_EVERY = 7  # pages whose JSON text is cut short
+SMALL, SCALE_UP = ["volume_millions", "daily_return", "target_return"], 1e6
 PAIRS = ["close", "volume", "rsi"]
 
 
@@ -142,7 +143,15 @@ def q_forest_facts(spark, sf):
         F.min(F.col("p0") == F.col("p1")).alias("repeatable")))
 
 
+def q_small_columns(spark, sf):
+    """Columns of small values, scaled up before they are rounded, so
+    that a wrong divisor cannot hide below the grid."""
+    g = Q._gold(spark, sf)
+    return Q.rnd(g.select(KEY, TS, *[(F.col(c) * SCALE_UP).alias(c) for c in SMALL]))
+
+
 QUERIES = {
+    "small_columns": q_small_columns,
     "layer_roundtrip": q_layer_roundtrip,
     "bronze_append": q_bronze_append,
     "payload_corrupt": q_payload_corrupt,
@@ -186,6 +195,8 @@ def oracle() -> dict[str, str]:
                     f"WHERE page_no % {CUT_EVERY} = 3)")]
     o["payload_corrupt"] = S.sql(S.pages() + kept, f"SELECT {K}, count(*) AS n_bars, {R('sum(volume)')} AS volume, "
                                  f"any_value(n_quarantined) AS n_quarantined FROM dd, bad WHERE rk = 1 GROUP BY {K}")
+    o["small_columns"] = S.sql(S.gold(), f"SELECT {K}, date, " + ", ".join(
+        f"{R(f'{c} * {S.D(SCALE_UP)}')} AS {c}" for c in SMALL) + " FROM gold")
     fa = S.features_all()
     nulled = [("nk", f"SELECT * REPLACE (CASE WHEN {K} <> '{HIDDEN}' THEN {K} END AS {K}) FROM splitted")]
     o["correlation_null_key"] = S.sql(fa + nulled, " UNION ALL ".join(
