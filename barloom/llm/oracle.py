@@ -32,5 +32,25 @@ SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM doc LEFT JOIN place USING (doc_id) LEFT JOIN named USING (doc_id)"""
 
 
+def repeated_bytes(documents: str = "documents") -> str:
+    """Every string of 100 bytes of every document, as hex."""
+    return f"""
+WITH doc AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM {documents}),
+hexed AS (SELECT doc_id, hex(b) AS h, octet_length(b) AS n FROM doc),
+place AS (SELECT doc_id, n, h, unnest(range(n)) AS p FROM hexed),
+start AS (SELECT doc_id, p, substring(h, 2 * p + 1, 2) AS byte,
+                 CASE WHEN p + 100 <= n THEN substring(h, 2 * p + 1, 200) END AS s FROM place),
+earlier AS (SELECT doc_id, p, byte, s IS NOT NULL AND row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1 AS again
+            FROM start),
+gone AS (SELECT doc_id, p, byte, coalesce(max(CASE WHEN again THEN p END) OVER (
+             PARTITION BY doc_id ORDER BY p) > p - 100, false) AS gone FROM earlier),
+edge AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS head FROM gone),
+sums AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (head) AS n_spans,
+                string_agg(byte, '' ORDER BY p) FILTER (NOT gone) AS kept FROM edge GROUP BY doc_id)
+SELECT hexed.doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM hexed LEFT JOIN sums USING (doc_id)"""
+
+
 def oracle() -> dict[str, str]:
-    return {"op2_positional_index": decontamination()}
+    return {"op1_suffix_dedup": repeated_bytes(), "op2_positional_index": decontamination()}
