@@ -280,7 +280,8 @@ def q_latest_bar(spark, sf):
 
 
 def q_pool_argmax(spark, sf):
-    return payload.best_pool(bars.pools(spark, sf), group="network")
+    docs = payload.fixture_pool_docs(bars.pools(spark, sf))
+    return payload.best_pool(payload.normalize_pools(docs), group="network")
 
 
 def q_bronze_upsert_keep_first(spark, sf):

@@ -36,16 +36,6 @@ def coerce_types(df: DataFrame, ts: str = TS) -> DataFrame:
     return out
 
 
-def drop_null_subset(df: DataFrame, cols: list[str]) -> DataFrame:
-    """B2: drop rows where any of ``cols`` is null."""
-    return df.dropna(subset=[c for c in cols if c in df.columns])
-
-
-def drop_any_null(df: DataFrame) -> DataFrame:
-    """Drop rows with a null in any column."""
-    return df.dropna(how="any")
-
-
 def fill_missing(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
     """Drop rows without a date; per series forward-fill then
     backward-fill each numeric column; drop rows still missing a numeric."""

@@ -95,15 +95,6 @@ OHLCV_PAYLOAD_SCHEMA = T.StructType([
     ])),
 ])
 
-POOL_PAYLOAD_SCHEMA = T.StructType([
-    T.StructField("data", T.ArrayType(T.StructType([
-        T.StructField("id", T.StringType()),
-        T.StructField("attributes", T.StructType([
-            T.StructField("reserve_in_usd", T.StringType()),
-        ])),
-    ]))),
-])
-
 SCALER_SCHEMA = T.StructType([
     T.StructField(KEY, T.StringType()),
     T.StructField("feature", T.StringType()),
@@ -133,9 +124,3 @@ def target_columns(cols: list[str]) -> list[str]:
 def numeric_columns(df: DataFrame) -> list[str]:
     """Names of numeric columns, in schema order."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-
-
-def require_columns(df: DataFrame, cols: list[str]) -> None:
-    missing = [c for c in cols if c not in df.columns]
-    if missing:
-        raise ValueError(f"missing columns: {missing}")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalar as S
-from ..schemas import KEY, NUMERIC_COLS, OHLCV_PAYLOAD_SCHEMA, POOL_PAYLOAD_SCHEMA, TS
+from ..schemas import KEY, NUMERIC_COLS, OHLCV_PAYLOAD_SCHEMA, TS
 from .bars import PAGE_OVERLAP, PAGE_SIZE, TEXT_NA_EVERY
 
 PAGE_DOC_SCHEMA = T.StructType([
@@ -23,12 +23,6 @@ PAGE_DOC_SCHEMA = T.StructType([
     *OHLCV_PAYLOAD_SCHEMA.fields,
 ])
 
-POOL_DOC_SCHEMA = T.StructType([
-    T.StructField("network", T.StringType()),
-    *POOL_PAYLOAD_SCHEMA.fields,
-])
-
-
 CORRUPT = "corrupt_record"
 
 
@@ -103,6 +97,13 @@ def best_pool(pools: DataFrame, group: str = "network", prefix: str = "eth_") ->
     return best.select(group, S.strip_prefix("id", prefix).alias("pool_id"), "reserve")
 
 
+def fixture_pool_docs(pools: DataFrame) -> DataFrame:
+    """Pool list documents, one a network, pools in order."""
+    entry = F.struct("id", F.struct("reserve_in_usd").alias("attributes"))
+    listed = pools.groupBy("network").agg(F.sort_array(F.collect_list(F.struct("ordinal", entry.alias("e")))).alias("l"))
+    return listed.select("network", F.transform("l", lambda s: s["e"]).alias("data"))
+
+
 # ---------------------------------------------------------- page fixture
 def fixture_pages(bars: DataFrame) -> DataFrame:
     """Payload documents built from bars: pages of 100 bars, newest first,
