@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from urllib.parse import urlparse
 
@@ -24,6 +25,15 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Like ``saved``, as a Parquet table in the shared folder: smaller than a
+    checkpoint, and readers take the columns they need."""
+    spark = df.sparkSession
+    path = joined_path(ensure_checkpoint_dir(spark), f"table-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder as a path that every executor has mounted.
     Memory-mapped files need one; other stores raise."""

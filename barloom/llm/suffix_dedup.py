@@ -12,11 +12,11 @@ of one document are handled in runs:
    gram and by the hash of all bytes of its strings.
 2. Runs are dealt out by gram hash; a task sends one run of each gram it has,
    packed, and passes on the other runs of a repeated gram as known, so a gram
-   that is everywhere moves once from each task.  Runs whose gram is unique in
-   the corpus hold no repeated string and end here.
+   that is everywhere is asked for once by each task.  Runs whose gram is
+   unique in the corpus hold no repeated string and end here.
 3. Runs with equal bytes form a class.  All but the first of a class are
-   repeats.  The first of a class is settled too if its gram has no other
-   class.
+   repeats; a task settles its own, so a class has one row from each task at
+   most.  The first of a class is settled too if its gram has no other class.
 4. The suffixes that are left start in first runs of grams with several
    classes, mostly at the edges of shared passages.  They are range-partitioned
    by leading bytes with sampled splitters; every bucket sorts them by multikey
@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType
 
-from .common import map_batches, saved, slices
+from .common import map_batches, saved, slices, written
 
 LENGTH = 100  # fixed value of the contract
 GRAM = 24
@@ -96,7 +96,10 @@ def runs_of(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
 
 
 # ------------------------------------------------------------ packed runs
-#: Columns of a packed block: gram hash, bytes' hash, row id, first start, starts, anchor's place, known.
+#: Columns of a packed block: gram hash, bytes' hash, row id, first start, starts, anchor's place, state.
+#: States: a run that asks whether its gram is repeated; one of a gram that the task has more of; the run that
+#: asks for such a gram; and a run whose bytes the task has from an earlier place, which is settled.
+ASKS, KNOWN, ASKS_REPEATED, SETTLED = range(4)
 PACKED = ["<u8", "<u8", "<i8", "<i4", "u1", "u1", "u1"]
 
 
@@ -127,12 +130,16 @@ def packed_runs(rows: DataFrame, buckets: int, length: int = LENGTH, gram: int =
     """(bucket, block): the runs of all rows, dealt out by gram hash."""
     def flush(parts):
         cols = [np.concatenate(c) for c in zip(*parts)]
-        order = np.argsort(cols[0], kind="stable")
+        order = np.lexsort((cols[3], cols[2], cols[1], cols[0]))
         cols = [c[order] for c in cols]
         first = np.concatenate(([True], cols[0][1:] != cols[0][:-1]))
-        again = np.concatenate((~first[1:], [False])) & first  # the task has more of this gram
-        # one run of a gram asks; the others are known to be repeated and only pass through
-        known = np.where(first, np.where(again, 2, 0), 1)
+        again = np.concatenate((~first[1:], [False])) & first
+        later = ~first & np.concatenate(([False], cols[1][1:] == cols[1][:-1]))
+        # rows of one document may come twice; none of them is later than the other
+        same = np.concatenate(([False], (cols[2][1:] == cols[2][:-1]) & (cols[3][1:] == cols[3][:-1])))
+        head = np.maximum.accumulate(np.where(~later, np.arange(len(later)), 0))
+        own = same & (cols[2] == cols[2][head]) & (cols[3] == cols[3][head])
+        known = np.where(first, np.where(again, ASKS_REPEATED, ASKS), np.where(later & ~own, SETTLED, KNOWN))
         by_gram = (cols[0] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
         by_row = _mix(cols[2].view(np.uint64) + cols[3].astype(np.uint64)) % np.uint64(buckets)
         bucket = np.where(first, by_gram, by_row)
@@ -169,15 +176,18 @@ def repeated_runs(blocks: DataFrame, partitions: int) -> DataFrame:
     """The runs whose gram is found more than once in the corpus."""
     def settle(held):
         cols = [np.concatenate(c) for c in zip(*map(_unpack, held))]
-        asks = cols[6] != 1
+        asks = (cols[6] == ASKS) | (cols[6] == ASKS_REPEATED)
         grams, where, count = np.unique(cols[0], return_inverse=True, return_counts=True)
         ask_count = np.bincount(where[asks], minlength=len(grams))
         more = np.zeros(len(grams), bool)
-        more[where[cols[6] == 2]] = True
+        more[where[cols[6] == ASKS_REPEATED]] = True
         keep = ~asks | (ask_count > 1)[where] | more[where]
-        g, body, rid, first, n, off = (c[keep] for c in cols[:6])
+        g, body, rid, first, n, off, state = (c[keep] for c in cols)
+        gone = state == SETTLED
+        # settled runs are members of no class any more; a gram of their own spreads them
+        g = np.where(gone, _mix(rid.view(np.uint64) * np.uint64(31) + first.astype(np.uint64)), g)
         return {"g": g.view(np.int64), "c": body.view(np.int64), "rid": rid, "start": first,
-                "n": n.astype(np.int32), "off": off.astype(np.int32)}
+                "n": n.astype(np.int32), "off": off.astype(np.int32), "gone": gone}
 
     def work(batches):
         held, now = [], None
@@ -192,7 +202,7 @@ def repeated_runs(blocks: DataFrame, partitions: int) -> DataFrame:
             yield settle(held)
 
     dealt = blocks.repartition(partitions, "bucket").sortWithinPartitions("bucket")
-    return map_batches(dealt, work, "g long, c long, rid long, start int, n int, off int")
+    return map_batches(dealt, work, "g long, c long, rid long, start int, n int, off int, gone boolean")
 
 
 # ------------------------------------------------------------ suffix sort
@@ -256,12 +266,13 @@ def edge_suffixes(texts: DataFrame, open_runs: DataFrame, length: int = LENGTH,
     under their anchor's gram; suffixes of hot grams one by one under all
     their bytes.  Rows with ``n`` set are repeats already (seen in this task)."""
     wanted = open_runs.groupBy("rid").agg(F.collect_list(F.struct("start", "n", "off", "hot")).alias("runs"))
-    joined = texts.join(wanted, "rid").select("rid", "text", "runs")
+    # all columns of ``texts``, so that its exchange is the one the last join uses too
+    joined = texts.join(wanted, "rid").select("rid", "doc_id", "text", "runs")
 
     def work(batches):
         seen: dict[bytes, tuple] = {}
         names = ["key", "body", "rid", "start", "n"]
-        for rids, texts, runs in slices(batches):
+        for rids, _, texts, runs in slices(batches):
             rows = []
             for rid, text, own in zip(rids, texts, runs):
                 for r in own:
@@ -360,25 +371,27 @@ def repeats(rows: DataFrame, texts: DataFrame, partitions: int, length: int = LE
             hot: int = HOT_CLASSES) -> DataFrame:
     """(rid, start, n): runs of starts whose strings also start earlier."""
     members = repeated_runs(packed_runs(rows, 8 * partitions, length, gram), partitions)
-    classes = members.groupBy("g", "c").agg(F.min(F.struct("rid", "start")).alias("first"))
-    per_gram = classes.groupBy("g").agg(F.count(F.lit(1)).alias("kinds"))
-    placed = members.join(classes.join(per_gram, "g"), ["g", "c"])
-    own = F.struct("rid", "start") == F.col("first")
-    settled = placed.where(~own).select("rid", "start", "n")
-    left = placed.where(own & (F.col("kinds") > 1)).select("rid", "start", "n", "off", (F.col("kinds") > hot).alias("hot"))
+    # a class has one row from each task at most (and equal rows), so it fits a window
+    first = F.min(F.struct("rid", "start")).over(Window.partitionBy("g", "c", "gone"))
+    placed = written(members.withColumn("own", ~F.col("gone") & (F.struct("rid", "start") == first)))
+    settled = placed.where(~F.col("own")).select("rid", "start", "n")
+    heads = placed.where("own").select("g", "c", "rid", "start", "n", "off").distinct()
+    per_gram = heads.groupBy("g").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    left = heads.join(per_gram, "g").select("rid", "start", "n", "off", (F.col("kinds") > hot).alias("hot"))
     # rows of one document may stand for several equal ones
-    edges = sorted_repeats(edge_suffixes(texts, left.distinct(), length, gram), partitions, length)
+    edges = sorted_repeats(edge_suffixes(texts, left, length, gram), partitions, length)
     return settled.union(edges)
 
 
 def marked(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT_CLASSES) -> DataFrame:
-    """(doc_id, text as bytes, marks) for every row of ``docs``."""
+    """(rid, doc_id, text as bytes, marks) for every row of ``docs``."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = numbered(docs)
-    texts = rows.repartition(partitions, "rid")  # texts move once; both joins use this
+    # texts move once, for both joins: they need the same columns and the same filter
+    texts = rows.where(F.col("rid").isNotNull()).repartition(partitions, "rid")
     gone = repeats(rows, texts, partitions, length, gram, hot)
     gone = gone.groupBy("rid").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
-    return texts.join(gone, "rid", "left").select("doc_id", "text", "marks")
+    return texts.join(gone, "rid", "left").select("rid", "doc_id", "text", "marks")
 
 
 def spans_of(marks: list, length: int = LENGTH) -> list[tuple[int, int]]:
@@ -398,7 +411,7 @@ def op1_suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def work(batches):
-        for keys, texts, marks in slices(batches):
+        for _, keys, texts, marks in slices(batches):
             n, gone, runs, digest = [], [], [], []
             for text, own in zip(texts, marks):
                 spans = spans_of(own or [], length)
@@ -423,7 +436,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def work(batches):
-        for keys, texts, marks in slices(batches):
+        for _, keys, texts, marks in slices(batches):
             out = []
             for text, own in zip(texts, marks):
                 at, parts = 0, []
