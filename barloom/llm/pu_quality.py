@@ -136,11 +136,16 @@ def non_negative_fit(p: np.ndarray, u: np.ndarray, prior: float) -> Scorer:
     return _fit(p, u, slope)
 
 
-def calibrate(model: Scorer, p: np.ndarray, u: np.ndarray, prior: float) -> None:
-    """Shift the margins so that the share ``prior`` of the unlabelled rows
-    scores ``THRESHOLD`` or more, and nearly all trusted positives do."""
-    cut = min(np.quantile(model.margin(u), 1 - prior), np.quantile(model.margin(p), 0.01))
-    model.bias += float(np.log(THRESHOLD / (1 - THRESHOLD)) - cut)
+def calibrate(model: Scorer, p: np.ndarray, u: np.ndarray) -> None:
+    """Shift the margins so that ``THRESHOLD`` lies at the cut that positives
+    and unlabelled rows call best: the most of ``recall ** 2 / share``, with
+    the recall of the positives and the share of the unlabelled rows above.
+    Without labelled negatives this stands in for the F score."""
+    zp, zu = np.sort(model.margin(p)), np.sort(model.margin(u))
+    recall = 1 - np.arange(len(zp)) / len(zp)
+    share = 1 - np.searchsorted(zu, zp, side="left") / len(zu)
+    best = int(np.argmax(recall ** 2 / np.maximum(share, 1 / len(zu))))
+    model.bias += float(np.log(THRESHOLD / (1 - THRESHOLD)) - zp[best])
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Scorer | None:
@@ -163,9 +168,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer | None:
     # rows in the order of a fixed shuffle, so that halves are alike
     rng = np.random.default_rng(3)
     p, u = p[rng.permutation(len(p))], u[rng.permutation(len(u))]
-    prior = estimate_prior(p, u)
-    model = non_negative_fit(p, u, prior)
-    calibrate(model, p, u, prior)
+    model = non_negative_fit(p, u, estimate_prior(p, u))
+    calibrate(model, p, u)
     return model
 
 
