@@ -50,8 +50,8 @@ from .common import map_batches, saved, slices, written
 LENGTH = 100  # fixed value of the contract
 GRAM = 24
 HOT_CLASSES = 4096
-RUNS_AT_ONCE = 1_000_000
-SUFFIXES_AT_ONCE = 400_000
+RUNS_AT_ONCE = 500_000
+SUFFIXES_AT_ONCE = 200_000
 SMALL = 64
 
 
@@ -270,6 +270,8 @@ def edge_suffixes(texts: DataFrame, open_runs: DataFrame, length: int = LENGTH,
     joined = texts.join(wanted, "rid").select("rid", "doc_id", "text", "runs")
 
     def work(batches):
+        import xxhash
+
         seen: dict[bytes, tuple] = {}
         names = ["key", "body", "rid", "start", "n"]
         for rids, _, texts, runs in slices(batches):
@@ -286,7 +288,9 @@ def edge_suffixes(texts: DataFrame, open_runs: DataFrame, length: int = LENGTH,
                         here, there = (rid, p), seen.setdefault(s, (rid, p))
                         if there != here:
                             seen[s] = min(here, there)
-                            rows.append((b"", None, *max(here, there), 1))
+                            late = max(here, there)
+                            # any key will do for a settled row: one that spreads them over the buckets
+                            rows.append((xxhash.xxh64_digest(b"%d:%d" % late), None, *late, 1))
                 if len(seen) > SUFFIXES_AT_ONCE:
                     rows += [(s, None, *place, None) for s, place in seen.items()]
                     seen = {}
