@@ -84,7 +84,7 @@ def gram_hashes(data: np.ndarray, width: int = GRAM) -> np.ndarray:
 def runs_of(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """(gram hash, first start, starts, anchor - first start) of each run."""
     hashes = gram_hashes(data, gram)
-    least, place, size, width = hashes, np.arange(len(hashes), dtype=np.int64), 1, length - gram + 1
+    least, place, size, width = hashes, np.arange(len(hashes), dtype=np.int32), 1, length - gram + 1
     while size < width:
         step = min(size, width - size)
         m = len(least) - step
@@ -249,15 +249,18 @@ def later_equals(words: np.ndarray, rid: np.ndarray, start: np.ndarray) -> np.nd
         return np.zeros(0, bool)
     order = multikey_quicksort(words)
     s = words[order]
-    new = np.concatenate(([True], (s[1:] != s[:-1]).any(axis=1)))
-    group = np.cumsum(new) - 1
-    by = np.lexsort((start[order], rid[order], group))
-    first = np.concatenate(([True], group[by][1:] != group[by][:-1]))
+    new = np.concatenate(([True], (s[1:] != s[:-1]).any(axis=1), [True]))
+    out = np.zeros(len(words), bool)
+    shared = ~(new[:-1] & new[1:])  # in a group of two or more
+    if not shared.any():
+        return out
+    rows, group = order[shared], np.cumsum(new[:-1])[shared]
+    by = np.lexsort((start[rows], rid[rows], group))
+    rows, group = rows[by], group[by]
+    first = np.concatenate(([True], group[1:] != group[:-1]))
     # the first of a group, and its own repeated rows, are originals
-    head = np.maximum.accumulate(np.where(first, np.arange(len(by)), 0))
-    r, p = rid[order][by], start[order][by]
-    out = np.empty(len(words), bool)
-    out[order[by]] = (r != r[head]) | (p != p[head])
+    head = rows[np.maximum.accumulate(np.where(first, np.arange(len(rows)), 0))]
+    out[rows] = (rid[rows] != rid[head]) | (start[rows] != start[head])
     return out
 
 
