@@ -2,11 +2,12 @@
 
 The lines of a text are hashed, and a rolling hash over ``WINDOW_LINES`` line
 hashes ends a chunk wherever it falls into one of ``SPREAD`` classes; a chunk
-has ``LEAST_LINES`` lines or more.  Boundaries depend on nearby lines alone,
-so texts that share a passage at different places share its chunks.  Chunks
-with two or more visible lines are compared over the whole corpus: they are
-grouped by hash and by their bytes, and every occurrence but the first (the
-smallest id, then place) is removed.  Two chunks whose 128-bit hashes agree
+has ``LEAST_LINES`` visible (non-blank) lines or more.  Boundaries depend on
+nearby lines alone, so texts that share a passage at different places share
+its chunks.  All chunks are compared over the whole corpus, but for texts that
+have fewer than ``LEAST_LINES`` visible lines in all: they are grouped by hash
+and by their bytes, and every occurrence but the first (the smallest id, then
+place) is removed.  Two chunks whose 128-bit hashes agree
 but whose bytes differ are never removed.
 
 Groups are pre-aggregated in every task, so a chunk that is everywhere moves
@@ -32,23 +33,28 @@ MASK = (1 << 64) - 1
 ROLL = 0x9E3779B97F4A7C15
 
 
+def visible(line: str) -> bool:
+    return bool(line.strip())
+
+
 def cut(lines: list[str]) -> list[tuple[int, int]]:
-    """(first line, lines) of each chunk; a last single line joins the chunk
-    before it."""
+    """(first line, lines) of each chunk; a last part with too few visible
+    lines joins the chunk before it."""
     import xxhash
 
-    chunks, start, roll = [], 0, 0
+    chunks, start, roll, seen = [], 0, 0, 0
     hashes = [xxhash.xxh64_intdigest(line.encode()) for line in lines]
     drop = pow(ROLL, WINDOW_LINES, 1 << 64)
     for i, h in enumerate(hashes):
         roll = (roll * ROLL + h) & MASK
         if i >= WINDOW_LINES:
             roll = (roll - hashes[i - WINDOW_LINES] * drop) & MASK
-        if i + 1 - start >= LEAST_LINES and (roll >> 33) % SPREAD == 0:
+        seen += visible(lines[i])
+        if seen >= LEAST_LINES and (roll >> 33) % SPREAD == 0:
             chunks.append((start, i + 1 - start))
-            start = i + 1
+            start, seen = i + 1, 0
     if start < len(lines):
-        if chunks and len(lines) - start < LEAST_LINES:
+        if chunks and seen < LEAST_LINES:
             last, n = chunks.pop()
             chunks.append((last, n + len(lines) - start))
         else:
@@ -74,7 +80,7 @@ def chunks(docs: DataFrame, with_text: bool) -> DataFrame:
                 lines = (text or "").split("\n")
                 for first, n in cut(lines) if len(lines) > 1 else []:
                     part = lines[first:first + n]
-                    if sum(1 for line in part if line.strip()) >= LEAST_LINES:
+                    if sum(map(visible, part)) >= LEAST_LINES:
                         whole = "\n".join(part)
                         d = xxhash.xxh3_128_intdigest(whole.encode())
                         rows.append((_signed(d >> 64), _signed(d & MASK), own, key, first, n, whole))
