@@ -7,9 +7,10 @@ line of the text is one chain, so code-switched text is labelled word by
 word; the document's language is the one with the most posterior mass, each
 word weighted by its letters.
 
-Training reads a bounded sample of labelled rows (``LINES`` lines of at most
-``LINE_CHARS`` characters for each language, from ``DOCS`` hash-chosen
-documents of each).  Lines of different documents are joined into
+Training reads a bounded sample of labelled rows (``LINES`` lines for each
+language, from ``DOCS`` hash-chosen documents of each).  A line of more than
+``LINE_CHARS`` characters is cut between words into pieces of at most as many,
+so a language whose texts have no newlines is learnt like any other.  Lines of different documents are joined into
 code-switched chains so that the transitions can be learnt.  The model has a
 fixed size.  Scoring reads whole texts.
 
@@ -40,6 +41,9 @@ TABLE_ENTRIES = 300_000
 SLICE = 2_000_000
 LEAST_SHARE = 0.35  # four even languages would share a quarter each
 UNKNOWN = "und"  # fixed value of the contract
+#: Pieces of a line: as long as they may be, ending where no letter follows;
+#: only a longer run of letters is cut inside.
+PIECE = rf"(?s).{{1,{LINE_CHARS}}}(?!\p{{L}})|.{{1,{LINE_CHARS}}}"
 
 find_words = re.compile(r"[^\W\d_]+").findall
 
@@ -200,8 +204,8 @@ def training_lines(docs: DataFrame, doc_id: str = "doc_id") -> list[tuple[str, s
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(whole, whole * DOCS // r["count"]))])
     draw = F.pmod(F.xxhash64(F.col(doc_id), F.lit("crf")), F.lit(whole))
     lines = (rows.where(draw < F.element_at(share, F.col("lang")))
-             .select("lang", F.explode(F.split("text", "\n")).alias("line"))
-             .where((F.length("line") > 0) & (F.length("line") <= LINE_CHARS)))
+             .select("lang", F.explode(F.split("text", "\n")).alias("whole"))
+             .select("lang", F.explode(F.regexp_extract_all("whole", F.lit(PIECE), F.lit(0))).alias("line")))
     total = {r["lang"]: r["count"] for r in lines.groupBy("lang").count().collect()}
     if not total:
         return []
