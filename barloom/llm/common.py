@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+SALTS = 128  # groups that the rows of one key are dealt over in salted_lookup
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -93,6 +95,25 @@ def fits(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def with_salt(df: DataFrame, salts: int = SALTS) -> DataFrame:
+    """``df`` with a group number by position, for ``salted_lookup``.  Store
+    the result: the numbers must not change between two readings."""
+    return df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+
+
+def salted_lookup(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Stored rows of ``with_salt``, left-joined to ``table``, which has at
+    most one row for each key (nulls are equal).  The rows of one key are
+    spread over its salts and only the (key, salt) pairs that occur are looked
+    up, so a hot key is spread and nothing is multiplied."""
+    pairs = rows.select(*keys, "_salt").distinct()
+    named = table.withColumnsRenamed({k: f"_t_{k}" for k in keys})
+    found = pairs.join(named, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys]).drop(*[f"_t_{k}" for k in keys])
+    found = found.withColumnsRenamed({k: f"_f_{k}" for k in [*keys, "_salt"]})
+    same = [F.col(k).eqNullSafe(F.col(f"_f_{k}")) for k in [*keys, "_salt"]]
+    return rows.join(found, same, "left").drop("_salt", *[f"_f_{k}" for k in [*keys, "_salt"]])
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)

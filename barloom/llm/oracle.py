@@ -52,5 +52,73 @@ SELECT hexed.doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_r
 FROM hexed LEFT JOIN sums USING (doc_id)"""
 
 
+def filter_audit(documents: str = "documents", labels: str = "labels") -> str:
+    """All 120 orders, each step by step over all documents' failures."""
+    return f"""
+WITH text AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM {documents}),
+word AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS first_id FROM text),
+label AS (SELECT doc_id AS label_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic
+          FROM {labels} GROUP BY doc_id),
+doc AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+               CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+               || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+               || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+               || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+               || CASE WHEN first_id < doc_id THEN 'E' ELSE '' END AS failed
+        FROM word LEFT JOIN label ON doc_id = label_id),
+combo AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM doc GROUP BY part, failed),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+           WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS before
+          FROM orders, (SELECT unnest(generate_series(1, 5)) AS step)),
+cell AS (SELECT *, contains(failed, f) AS hit,
+                len(list_intersect(string_split(failed, ''), string_split(before, ''))) > 0
+                AND failed <> '' AND before <> '' AS gone FROM combo, steps),
+report AS (SELECT part, filter_order, step, f,
+                  CAST(coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0) AS BIGINT) AS kept,
+                  CAST(coalesce(sum(n) FILTER (hit AND NOT gone), 0) AS BIGINT) AS removed,
+                  CAST(coalesce(sum(n) FILTER (hit AND gone), 0) AS BIGINT) AS redundant,
+                  CAST(coalesce(sum(n) FILTER (failed = f), 0) AS BIGINT) AS unique_fails,
+                  CAST(coalesce(sum(good) FILTER (hit AND NOT gone), 0) AS BIGINT) AS good_lost,
+                  CAST(coalesce(sum(toxic) FILTER (hit AND NOT gone), 0) AS BIGINT) AS toxic_lost
+           FROM cell GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM report"""
+
+
+def vector_codes(embeddings: str = "embeddings", rounds: int = 2) -> str:
+    """Every part against every entry, in each round."""
+    width = "(SELECT len(v) // 16 FROM whole ORDER BY vec_id, v LIMIT 1)"
+    sql = f"""
+WITH whole AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+               FROM {embeddings} WHERE embedding IS NOT NULL
+               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+piece AS (SELECT vec_id, label, p, v[p * {width} + 1 : (p + 1) * {width}] AS x
+          FROM whole, (SELECT unnest(range(16)) AS p)),
+seed AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM whole ORDER BY vec_id LIMIT 64),
+book0 AS (SELECT p, e, x AS c FROM piece JOIN seed USING (vec_id)),"""
+    for r in range(rounds + 1):
+        sql += f"""
+near{r} AS (SELECT vec_id, label, piece.p, x, min(struct_pack(
+                d := CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), e := e)) AS best
+          FROM piece JOIN book{r} ON piece.p = book{r}.p GROUP BY vec_id, label, piece.p, x),"""
+        if r < rounds:
+            sql += f"""
+mean{r} AS (SELECT p, e, list(CAST(floor(total / n) AS BIGINT) ORDER BY j) AS c
+          FROM (SELECT p, best.e AS e, j, count(*) AS n, sum(x[j]) AS total
+                FROM near{r}, (SELECT unnest(range(1, {width} + 1)) AS j) GROUP BY p, best.e, j) GROUP BY p, e),
+book{r + 1} AS (SELECT book{r}.p, book{r}.e, coalesce(mean{r}.c, book{r}.c) AS c
+          FROM book{r} LEFT JOIN mean{r} ON book{r}.p = mean{r}.p AND book{r}.e = mean{r}.e),"""
+    return sql + f"""
+coded AS (SELECT vec_id, label, string_agg(printf('%02x', CAST(best.e AS INT)), '' ORDER BY p) AS code,
+                 CAST(sum(best.d) AS BIGINT) AS error FROM near{rounds} GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM coded"""
+
+
 def oracle() -> dict[str, str]:
-    return {"op1_suffix_dedup": repeated_bytes(), "op2_positional_index": decontamination()}
+    return {"op1_suffix_dedup": repeated_bytes(), "op2_positional_index": decontamination(),
+            "op11_filter_audit": filter_audit(), "op12_cover_codes": vector_codes()}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (binary_ids, crf_langid, isolation, line_chunks, pieces, positional_index, pu_quality, randomness,
-               simhash_trie, suffix_dedup)
+from . import (binary_ids, cover_codes, crf_langid, filter_audit, isolation, line_chunks, pieces, positional_index,
+               pu_quality, randomness, simhash_trie, suffix_dedup, token_counts)
 from .common import read_table
 
 
@@ -55,6 +55,18 @@ def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_langid.op10_language_crf(read_table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.op11_filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op12_cover_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_codes.op12_cover_codes(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.op13_token_counts(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_positional_index": op2_positional_index,
@@ -66,4 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_isolation_forest": op8_isolation_forest,
     "op9_pu_quality": op9_pu_quality,
     "op10_language_crf": op10_language_crf,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_cover_codes": op12_cover_codes,
+    "op13_token_counts": op13_token_counts,
 }
