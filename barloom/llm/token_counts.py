@@ -29,6 +29,7 @@ one task.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import uuid
 
@@ -40,14 +41,31 @@ from .common import fits, joined_path, map_batches, salted_lookup, slices, token
 
 MODEL = "word_bpe_49k.json"
 LIMIT = 2048
+TABLE_ENTRIES, LONGEST_KEPT = 300_000, 100  # words kept by a task, characters of a kept word
 BROADCAST_MISSES = 200_000  # 32 bytes each; above it misses are found after the shuffle
 CACHE_SCHEMA = "content binary, tokenizer binary, n_tokens long"
 
 
+# fixed values of the tokenizer files that are cut into words here
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+# Characters whose classes, lower case and normal form are the same in all
+# Unicode versions: Latin without the dotted capital I, which lower-cases to two
+# characters, common punctuation and currency.  U+001C to U+001F are white space
+# for Python only.
+PLAIN = re.compile("[\x00-\x1b\x20-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]*")
+LETTER, DIGIT = "A-Za-zªµºÀ-ÖØ-öø-\u024f", "0-9²³¹¼-¾"
+PLAIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{DIGIT}]|[^\\s{LETTER}{DIGIT}]+")
+
+
 class Counter:
-    """The library's tokenizer in one task."""
+    """The library's tokenizer in one task.  Words of plain texts are counted
+    once while they are in a bounded table; a token never crosses a word.
+    Other texts, and other tokenizers, go through the library whole."""
 
-    def __init__(self, model_file: str):
+    def __init__(self, model_file: str, entries: int = TABLE_ENTRIES):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -56,27 +74,63 @@ class Counter:
         self.lib = Tokenizer.from_file(model_file)
         self.lib.no_padding()
         self.lib.no_truncation()
-        added = {t.content: i for i, t in self.lib.get_added_tokens_decoder().items() if not t.normalized}
-        simple = all(not (t.lstrip or t.rstrip or t.single_word or t.normalized)
-                     for t in self.lib.get_added_tokens_decoder().values())
-        self.normal = self.lib.normalizer if simple else None
-        names = sorted(added, key=len, reverse=True)
+        added = self.lib.get_added_tokens_decoder().values()
+        alone = all(not (t.lstrip or t.rstrip or t.single_word or t.normalized) for t in added)
+        self.normal = self.lib.normalizer if alone else None
+        names = sorted((t.content for t in added), key=len, reverse=True)
         self.specials = re.compile(f"({'|'.join(map(re.escape, names))})") if names else None
+        with open(model_file, encoding="utf-8") as f:
+            parts = json.load(f)
+        cut = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        model = parts["model"]
+        self.by_word = (
+            alone and parts["normalizer"] == NORMALIZER and len(cut) == 2 and cut[1]["type"] == "ByteLevel"
+            and not cut[1]["add_prefix_space"] and not cut[1]["use_regex"]
+            and cut[0] == {"type": "Split", "pattern": {"Regex": WORDS}, "behavior": "Removed", "invert": True}
+            and model["type"] == "BPE" and not model["dropout"])
+        self.entries = entries
+        self.table: dict[str, int] = {}
+
+    def parts(self, text: str) -> list[str]:
+        """Text and special strings in turn."""
+        return self.specials.split(text) if self.specials else [text]
 
     def digest(self, text: str) -> bytes:
         """Digest of the normalised content: parts between special strings,
         each with its kind and length before it."""
         if self.normal is None:  # no normaliser, or added tokens that reach over their neighbours
             return hashlib.sha256(b"r" + text.encode()).digest()
-        parts = self.specials.split(text) if self.specials else [text]
         out = hashlib.sha256()
-        for i, part in enumerate(parts):
-            raw = (part if i % 2 else self.normal.normalize_str(part) if part else "").encode()
-            out.update((b"s%d:" if i % 2 else b"t%d:") % len(raw) + raw)
+        for i, part in enumerate(self.parts(text)):
+            kind, raw = b"s", part
+            if not i % 2:
+                plain = self.by_word and PLAIN.fullmatch(part)
+                kind = b"p" if plain else b"t"
+                raw = " ".join(part.lower().split()) if plain else self.normal.normalize_str(part)
+            raw = raw.encode()
+            out.update(kind + b"%d:" % len(raw) + raw)
         return out.digest()
 
     def count(self, texts: list[str]) -> list[int]:
-        return [len(e) for e in self.lib.encode_batch(texts, add_special_tokens=False)]
+        plain = [self.by_word and PLAIN.fullmatch(t) is not None for t in texts]
+        rest = iter([len(e) for e in self.lib.encode_batch(
+            [t for t, p in zip(texts, plain) if not p], add_special_tokens=False)])
+        return [self._by_words(t) if p else next(rest) for t, p in zip(texts, plain)]
+
+    def _by_words(self, text: str) -> int:
+        parts = self.parts(text)
+        words = [w for part in parts[::2] for w in PLAIN_WORDS.findall(part.lower())]
+        new = list(set(words).difference(self.table))
+        if len(self.table) + len(new) > self.entries:
+            self.table = {}
+            new = list(set(words))
+        if new:
+            self.table.update(zip(new, map(len, self.lib.encode_batch(new, add_special_tokens=False))))
+        n = sum(map(self.table.__getitem__, words)) + len(parts) // 2
+        for w in new:
+            if len(w) > LONGEST_KEPT:
+                del self.table[w]
+        return n
 
 
 def tokenizer_digest(model_file: str) -> bytes:

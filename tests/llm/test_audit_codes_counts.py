@@ -235,3 +235,23 @@ def test_cache_of_another_tokenizer_is_not_used(spark, tmp_path):
 
 def test_counts_empty(empty):
     assert token_counts.op13_token_counts(empty).count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(
+    st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "'s", "'LL", "don't", "''s", "\x1c", "\x85", "\xa0",
+                     "\u2028", "İ", "ß", "Σ", "e\u0301", "½²", "ǅ", "’s", "…", "日本", "🙂", "\x00", "  \n"]),
+    st.text(st.characters(max_codepoint=0x24f), max_size=8), st.text(max_size=5)), max_size=10))
+def test_words_count_as_the_library_counts(pieces):
+    text = "".join(pieces)
+    counter = _counter()
+    assert counter.count([text]) == [len(counter.lib.encode(text, add_special_tokens=False))]
+    for other in (text.lower(), text.upper(), " " + text + "\n", text.replace(" ", "\t ")):
+        if counter.digest(other) == counter.digest(text):
+            assert counter.count([other]) == counter.count([text])
+
+
+def _counter(made=[]):
+    if not made:
+        made.append(token_counts.Counter(tokenizer_path(token_counts.MODEL), entries=50))
+    return made[0]
