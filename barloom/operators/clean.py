@@ -9,10 +9,11 @@ the whole series, not joins.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import quantiles, segments
 from ..functions import scalar as S
 from ..functions import windows as W
 from ..schemas import KEY, NUMERIC_COLS, PRICE_COLS, TS
@@ -46,21 +47,15 @@ def fill_missing(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
     return filled.dropna(subset=cols)
 
 
-def iqr_bounds(df: DataFrame, cols: list[str] = PRICE_COLS, key: str = KEY) -> DataFrame:
+def iqr_bounds(df: DataFrame, cols: list[str] = PRICE_COLS, key: str = KEY,
+               budget: int = quantiles.BUDGET) -> DataFrame:
     """D1 as a table: per series and column, Q1, Q3 (exact, linear
-    interpolation) and the fences ``Q1 - 1.5 IQR`` / ``Q3 + 1.5 IQR``."""
-    aggs = []
-    for c in cols:
-        q = F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.75)))
-        aggs.append(q.alias(f"_q_{c}"))
-    per = df.groupBy(key).agg(*aggs)
-    rows = []
-    for c in cols:
-        q1, q3 = F.col(f"_q_{c}")[0], F.col(f"_q_{c}")[1]
-        rows.append(F.struct(F.lit(c).alias("column"), q1.alias("q1"), q3.alias("q3"),
-                             (q1 - IQR_K * (q3 - q1)).alias("lower"),
-                             (q3 + IQR_K * (q3 - q1)).alias("upper")))
-    return per.select(key, F.inline(F.array(*rows)))
+    interpolation) and the fences ``Q1 - 1.5 IQR`` / ``Q3 + 1.5 IQR``, by
+    refining selection: a series may be of any length."""
+    q = quantiles.exact_percentiles_of(df, cols, [0.25, 0.75], key, budget=budget)
+    spread = F.col("q3") - F.col("q1")
+    return q.select(key, "column", F.col("p0").alias("q1"), F.col("p1").alias("q3")).select(
+        "*", (F.col("q1") - IQR_K * spread).alias("lower"), (F.col("q3") + IQR_K * spread).alias("upper"))
 
 
 def _fences(c: str, key: str):
@@ -77,12 +72,25 @@ def outlier_flags(df: DataFrame, cols: list[str] = PRICE_COLS, key: str = KEY) -
     return df.withColumns(flags)
 
 
+def wide_fences(bounds: DataFrame, cols: list[str] = PRICE_COLS, key: str = KEY) -> DataFrame:
+    """``iqr_bounds`` as one row a series, ``_lo_<c>`` and ``_hi_<c>``."""
+    def pick(c, side):
+        return F.max(F.when(F.col("column") == c, F.col(side)))
+
+    return bounds.groupBy(key).agg(*[x for c in cols for x in (pick(c, "lower").alias(f"_lo_{c}"),
+                                                               pick(c, "upper").alias(f"_hi_{c}"))])
+
+
 def outlier_counts(df: DataFrame, cols: list[str] = PRICE_COLS, key: str = KEY) -> DataFrame:
     """Per series and column, the number of values outside the fences."""
-    flagged = outlier_flags(df, cols, key)
-    per = flagged.groupBy(key).agg(
-        *[F.count_if(F.col(f"_out_{c}")).alias(c) for c in cols])
-    return per.select(key, F.stack(F.lit(len(cols)), *[x for c in cols for x in (F.lit(c), F.col(c))])
+    rows = segments.written(df.select(F.coalesce(F.col(key), F.lit(segments.NO_KEY)).alias(key), *cols))
+    fences = segments.written(wide_fences(iqr_bounds(rows, cols, key), cols, key).withColumn(
+        key, F.coalesce(F.col(key), F.lit(segments.NO_KEY))))
+    joined = segments.per_series(rows, fences, key, F.struct(*cols))
+    per = joined.groupBy(key).agg(
+        *[F.count_if((F.col(c) < F.col(f"_lo_{c}")) | (F.col(c) > F.col(f"_hi_{c}"))).alias(c) for c in cols])
+    return per.select(F.nullif(F.col(key), F.lit(segments.NO_KEY)).alias(key),
+                      F.stack(F.lit(len(cols)), *[x for c in cols for x in (F.lit(c), F.col(c))])
                       .alias("column", "outliers"))
 
 
@@ -138,12 +146,14 @@ def repair_ohlc(df: DataFrame, key: str = KEY) -> DataFrame:
     })
 
 
-def add_derived(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
+def add_derived(df: DataFrame, key: str = KEY, ts: str = TS, previous: Column | None = None) -> DataFrame:
     """E3 + H5/H6/H11: log return, range, average price, volume in
-    millions, calendar fields (Monday = 0)."""
-    w = W.series(key, ts)
+    millions, calendar fields (Monday = 0).  ``previous`` is the close of the
+    row before; a window over the series if not given."""
+    if previous is None:
+        previous = F.lag("close", 1).over(W.series(key, ts))
     return df.withColumns({
-        "daily_return": S.log_return("close", F.lag("close", 1).over(w)),
+        "daily_return": S.log_return("close", previous),
         "price_range": F.col("high") - F.col("low"),
         "avg_price": (F.col("open") + F.col("high") + F.col("low") + F.col("close")) / 4,
         "volume_millions": F.col("volume") / 1_000_000,

@@ -88,43 +88,28 @@ def fit_scaler(df: DataFrame, cols: list[str] | None = None, kind: str = "robust
                on: str = "train") -> DataFrame:
     """Scaler parameters fitted on the train rows.
 
-    ``robust``: center = median, scale = Q3 - Q1 (exact, linear).  Per
-    series with ``percentile`` in one wide aggregate (its value map is
-    bounded by the series' bars); pooled with
-    ``quantiles.exact_percentiles``, which never holds a column in one task.
-    ``standard``: center = mean, scale = population std (partial aggregates).
-    A zero scale becomes 1.  Output: ``series_key, feature, center, scale``
-    (``series_key`` is ``'*'`` when pooled)."""
+    ``robust``: center = median, scale = Q3 - Q1 (exact, linear), by refining
+    selection over one written copy of the columns: neither a series nor a
+    pooled column is held in one task.  ``standard``: center = mean, scale =
+    population std (partial aggregates).  A zero scale becomes 1.  Output:
+    ``series_key, feature, center, scale`` (``series_key`` is ``'*'`` when
+    pooled)."""
     cols = cols or feature_columns(df.columns)
     train = df.where(F.col(split_col) == on) if split_col in df.columns else df
     if kind not in ("robust", "standard"):
         raise ValueError(f"unknown scaler: {kind}")
-    if kind == "robust" and not by_key:
-        long = train.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])))
-        q = quantiles.exact_percentiles(long, "value", [0.25, 0.5, 0.75], ["feature"])
-        spread = F.col("p2") - F.col("p0")
-        return q.select(F.lit("*").alias(key), "feature", F.col("p1").alias("center"),
-                        F.when(spread == 0, F.lit(1.0)).otherwise(spread).alias("scale"))
-    group = [key] if by_key else []
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        if kind == "robust":
-            stats_ = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        else:
-            stats_ = F.array(F.avg(x), F.stddev_pop(x))
-        aggs.append(F.struct(F.lit(c).alias("feature"), stats_.alias("_q")).alias(f"_p_{c}"))
-    per = train.groupBy(*group).agg(*aggs) if group else train.agg(*aggs)
-    long = per.select(*group, F.explode(F.array(*[F.col(f"_p_{c}") for c in cols])).alias("p"))
+    keycol = F.col(key) if by_key else F.lit("*")
     if kind == "robust":
-        center, spread = F.col("p._q")[1], F.col("p._q")[2] - F.col("p._q")[0]
+        q = quantiles.exact_percentiles_of(train, cols, [0.25, 0.5, 0.75], key if by_key else None)
+        long = q.select(keycol.alias(key), F.col("column").alias("feature"), F.col("p1").alias("center"),
+                        (F.col("p2") - F.col("p0")).alias("spread"))
     else:
-        center, spread = F.col("p._q")[0], F.col("p._q")[1]
-    keycol = F.col(key) if by_key else F.lit("*")
-    return long.select(keycol.alias(key), F.col("p.feature").alias("feature"),
-                       center.alias("center"),
-                       F.when(spread == 0, F.lit(1.0)).otherwise(spread).alias("scale"))
+        parts = F.array(*[F.struct(F.lit(c).alias("feature"), F.avg(F.col(c).cast("double")).alias("center"),
+                                   F.stddev_pop(F.col(c).cast("double")).alias("spread")) for c in cols])
+        per = train.groupBy(key).agg(parts.alias("_p")) if by_key else train.agg(parts.alias("_p"))
+        long = per.select(keycol.alias(key), F.inline("_p"))
+    return long.select(key, "feature", "center",
+                       F.when(F.col("spread") == 0, F.lit(1.0)).otherwise(F.col("spread")).alias("scale"))
 
 
 def apply_scaler(df: DataFrame, params: DataFrame, cols: list[str] | None = None,

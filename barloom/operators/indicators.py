@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
@@ -75,10 +75,9 @@ def volatility(df: DataFrame, windows: list[int] | None = None,
     return out.withColumns(cols).drop("_tr")
 
 
-def momentum(df: DataFrame, periods: list[int] | None = None,
-             key: str = KEY, ts: str = TS) -> DataFrame:
-    """``roc_n = close/lag_n - 1``, ``momentum_n = close - lag_n``,
-    then MACD."""
+def rates(df: DataFrame, periods: list[int] | None = None,
+          key: str = KEY, ts: str = TS) -> DataFrame:
+    """``roc_n = close/lag_n - 1``, ``momentum_n = close - lag_n``."""
     periods = periods or ROC_PERIODS
     w = W.series(key, ts)
     cols = {}
@@ -86,19 +85,34 @@ def momentum(df: DataFrame, periods: list[int] | None = None,
         cols[f"roc_{n}"] = S.safe_div("close", F.lag("close", n).over(w)) - 1
     for n in periods:
         cols[f"momentum_{n}"] = F.col("close") - F.lag("close", n).over(w)
-    return scan.macd(df.withColumns(cols), "close", key, ts)
+    return df.withColumns(cols)
 
 
-def volume_indicators(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
-    """Volume SMA / ratio and on-balance volume."""
+def momentum(df: DataFrame, periods: list[int] | None = None,
+             key: str = KEY, ts: str = TS) -> DataFrame:
+    """``rates``, then MACD."""
+    return scan.macd(rates(df, periods, key, ts), "close", key, ts)
+
+
+def volume_averages(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
+    """Volume SMA and the volume's ratio to it."""
     w = W.series(key, ts)
     out = df.withColumns({f"volume_sma_{n}": W.rolling_mean("volume", w, n)
                           for n in VOLUME_SMA_WINDOWS})
-    out = out.withColumns({f"volume_ratio_{n}": S.safe_div("volume", f"volume_sma_{n}")
-                           for n in VOLUME_SMA_WINDOWS})
-    step = F.coalesce(F.signum(F.col("close") - F.lag("close", 1).over(w)) * F.col("volume"),
-                      F.lit(0.0))
-    return out.withColumn("obv", F.sum(step).over(W.running(w)))
+    return out.withColumns({f"volume_ratio_{n}": S.safe_div("volume", f"volume_sma_{n}")
+                            for n in VOLUME_SMA_WINDOWS})
+
+
+def obv_step(key: str = KEY, ts: str = TS) -> Column:
+    """What a row adds to the on-balance volume."""
+    change = F.col("close") - F.lag("close", 1).over(W.series(key, ts))
+    return F.coalesce(F.signum(change) * F.col("volume"), F.lit(0.0))
+
+
+def volume_indicators(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
+    """Volume SMA / ratio and on-balance volume."""
+    out = volume_averages(df, key, ts)
+    return out.withColumn("obv", F.sum(obv_step(key, ts)).over(W.running(W.series(key, ts))))
 
 
 def targets(df: DataFrame, horizon: int = 1, key: str = KEY, ts: str = TS) -> DataFrame:

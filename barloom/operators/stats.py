@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import quantiles, segments
 from ..schemas import KEY, TS, numeric_columns
 
 HIST_BINS = 20  # fixed value: residual histogram bins
@@ -41,19 +42,23 @@ def layer_summary(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: list[str], key: str = KEY) -> DataFrame:
-    """Count, mean, sample std, min, 25/50/75 % (exact) and max per
-    series and column."""
+    """Count, mean, sample std, min, 25/50/75 % (exact, by refining
+    selection) and max per series and column.  The columns are read from one
+    written copy."""
+    rows = segments.written(df.select(key, *cols))
     parts = []
     for c in cols:
         x = F.col(c)
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
         parts.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"),
                               F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                              F.min(x).cast("double").alias("min"), q[0].alias("p25"),
-                              q[1].alias("p50"), q[2].alias("p75"),
+                              F.min(x).cast("double").alias("min"),
                               F.max(x).cast("double").alias("max")).alias(f"_d_{c}"))
-    agg = df.groupBy(key).agg(*parts)
-    return agg.select(key, F.inline(F.array(*[F.col(f"_d_{c}") for c in cols])))
+    plain = rows.groupBy(key).agg(*parts).select(key, F.inline(F.array(*[F.col(f"_d_{c}") for c in cols])))
+    q = quantiles.exact_percentiles_of(rows, cols, [0.25, 0.5, 0.75], key).withColumnsRenamed(
+        {key: "_key", "column": "_column"})
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("column") == F.col("_column"))
+    return plain.join(q, same).select(key, "column", "count", "mean", "std", "min", F.col("p0").alias("p25"),
+                                      F.col("p1").alias("p50"), F.col("p2").alias("p75"), "max")
 
 
 def correlation(df: DataFrame, cols: list[str], key: str | None = None) -> DataFrame:

@@ -26,7 +26,7 @@ from ..operators import features, models, stats
 from ..schemas import (BRONZE_SCHEMA, feature_columns, features_schema, gold_schema, silver_schema, target_columns)
 from ..sources import layers as io
 from ..sources import payload
-from . import layers
+from . import long_layers
 
 RUN_SCHEMA = ("run_id string, mode string, stage string, status string, rows long, "
               "error string, finished_at timestamp")
@@ -58,7 +58,7 @@ def feature_stage(spark: SparkSession, gold_path: str, features_path: str) -> Da
     """L3: B5 -> E18(3) -> E19 -> E20; writes the features (A5), their config
     (A15) and correlations (D8) and returns the stored rows."""
     gold = io.read_layer(spark, gold_path, gold_schema(), missing_ok=False)
-    io.write_layer(features.pipeline_features(gold), features_path)
+    io.write_layer(long_layers.build_features(gold), features_path)
     feats = io.read_layer(spark, features_path, features_schema(), missing_ok=False)
     names = feature_columns(feats.columns)
     io.write_json_record(spark, {"feature_columns": names, "target_columns": target_columns(feats.columns),
@@ -183,11 +183,12 @@ def run(spark: SparkSession, mode: str, pages: DataFrame, root: str,
             return ingest(spark, "historical" if mode == "historical" else "incremental", pages, p.bronze)
         if name == "silver":
             bronze = io.read_layer(spark, p.bronze, schema=BRONZE_SCHEMA)
-            n = io.write_layer(layers.silver(bronze), p.silver)
+            n = io.write_layer(long_layers.build_silver(bronze), p.silver)
             summary_stage(io.read_layer(spark, p.silver, silver_schema()), p.silver)
             return n
         if name == "gold":
-            n = io.write_layer(layers.gold(io.read_layer(spark, p.silver, silver_schema(), missing_ok=False)), p.gold)
+            stored = io.read_layer(spark, p.silver, silver_schema(), missing_ok=False)
+            n = io.write_layer(long_layers.build_gold(stored), p.gold)
             summary_stage(io.read_layer(spark, p.gold, gold_schema()), p.gold)
             return n
         if name == "features":

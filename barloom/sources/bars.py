@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..functions import windows as W
+from ..operators import segments
 from ..schemas import KEY, TS
 
 # ---- fixed values of the fault fixture (row number in series, 1-based) ----
@@ -29,6 +30,9 @@ OPEN_X10_EVERY = 71
 TEXT_NA_EVERY = 41
 FLAT_CLOSE_FROM, FLAT_CLOSE_TO = 200, 220
 PAGE_SIZE, PAGE_OVERLAP = 100, 5
+FINE_KEY, HALF_HOURS = "all", 48
+FINE_GAP_FROM, FINE_GAP_TO = 1500, 2200
+FINE_HIGH_FROM, FINE_HIGH_TO = 3000, 3599
 # ---------------------------------------------------------------------------
 
 
@@ -76,6 +80,33 @@ def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.count(F.lit(1)).cast("double").alias("volume")))
 
 
+def fine_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole ``lineitem`` table as one series of half-hour bars (the half
+    hour of a line is its order's number modulo the half hours of a day)."""
+    li = read_table(spark, sf_dir, "lineitem")
+    at = F.expr(f"timestampadd(MINUTE, 30 * (l_orderkey % {HALF_HOURS}), cast(cast(l_shipdate AS date) AS timestamp_ntz))")
+    return _ohlcv(li, F.lit(FINE_KEY), at, "l_extendedprice", "l_quantity", _order_line_tie())
+
+
+def fine_text_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fine_bars`` with faults: every fault of ``dirty_bars`` and
+    ``text_bars`` but the flat run, a run of missing closes and a run of far
+    too high opens, both longer than a segment.  Rows are numbered without a
+    window over the series."""
+    b = segments.number_rows(segments.written(fine_bars(spark, sf_dir))).withColumn("rn", F.col(segments.POS) + 1)
+    rn, last = F.col("rn"), F.col(segments.LENGTH)
+    swap = rn % SWAP_HIGH_LOW_EVERY == 0
+    gone = (rn % NULL_CLOSE_EVERY == 0) | rn.between(FINE_GAP_FROM, FINE_GAP_TO)
+    open_ = (F.when(rn.between(FINE_HIGH_FROM, FINE_HIGH_TO), F.col("open") * 1000)
+             .when((rn % OPEN_X10_EVERY == 0) | (rn == 1) | (rn == last), F.col("open") * 10).otherwise(F.col("open")))
+    close = F.when(rn % TEXT_NA_EVERY == 0, F.lit("n/a")).when(~gone, F.col("close").cast("string"))
+    return b.select(KEY, open_.cast("string").alias("open"),
+                    F.when(swap, F.col("low")).otherwise(F.col("high")).cast("string").alias("high"),
+                    F.when(swap, F.col("high")).otherwise(F.col("low")).cast("string").alias("low"),
+                    close.alias("close"), F.col("volume").cast("string").alias("volume"),
+                    F.date_format(TS, "yyyy-MM-dd HH:mm:ss").alias(TS))
+
+
 def with_rn(bars: DataFrame) -> DataFrame:
     """1-based row number and length of each series (fixture helper)."""
     return (bars.withColumn("rn", F.row_number().over(W.series()))
