@@ -20,12 +20,33 @@ from ..sources import bars
 from ..sources import bars as B
 from . import duckdb_sql as S
 from . import spark_queries as Q
-from .duckdb_sql import D, K, R, W
+from .duckdb_sql import D, K, W
 
-FORGOTTEN = 1e-12  # weight of the rows that the SQL averages leave out
+FORGOTTEN = 1e-18  # weight of the rows that the SQL averages leave out
+LARGE = 64
 FEW_ROWS = 2000    # budget of a range in the percentile query: the ranges are divided several times
 
 
+def rnd(df: DataFrame) -> DataFrame:
+    """Doubles on the grid of the other queries up to ``LARGE``, beyond on one
+    of 1/16: a moving average of prices differs in its last digits by the order
+    of additions, and the more rows, the more often that meets a fine grid."""
+    grid = [(F.when(F.abs(c) < LARGE, F.round(F.col(c) * S.GRID) / S.GRID).otherwise(F.round(F.col(c) * 16.0) / 16.0)
+             + 0.0).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
+    return df.select(*grid)
+
+
+def R(e: str) -> str:  # noqa: N802 - as in duckdb_sql
+    x = f"({e})::DOUBLE"
+    g = f"{S.GRID!r}::DOUBLE"
+    return (f"(CASE WHEN abs({x}) < {LARGE} THEN round({x} * {g}) / {g} ELSE round({x} * 16.0::DOUBLE) / 16.0::DOUBLE END "
+            f"+ 0.0::DOUBLE)")
+
+
+def _picked(cols: list[str], src: str) -> str:
+    return f"SELECT {K}, date, " + ", ".join(c if c in S.INT_COLS else f"{R(c)} AS {c}" for c in cols) + f" FROM {src}"
+
+
 def _fresh(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """A stored layer, as a run would read it."""
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
@@ -58,38 +79,38 @@ def q_long_positions(spark, sf):
 
 def q_long_fill(spark, sf):
     parts = _filled(spark, sf)
-    return Q._pick(parts.uncut(), NUMERIC_COLS)
+    return rnd(parts.uncut().select(KEY, TS, *NUMERIC_COLS))
 
 
 def q_long_iqr_bounds(spark, sf):
-    return Q.rnd(clean.iqr_bounds(_filled(spark, sf).uncut(), budget=FEW_ROWS))
+    return rnd(clean.iqr_bounds(_filled(spark, sf).uncut(), budget=FEW_ROWS))
 
 
 def q_long_interpolate(spark, sf):
     parts = _filled(spark, sf)
     rows = long_series.interpolate(parts, long_series.fences(parts, PRICE_COLS), PRICE_COLS)
-    return Q._pick(parts.uncut(rows), NUMERIC_COLS)
+    return rnd(parts.uncut(rows).select(KEY, TS, *NUMERIC_COLS))
 
 
 def q_long_silver(spark, sf):
-    return Q._pick(_silver(spark, sf), Q.SILVER_OUT)
+    return rnd(_silver(spark, sf).select(KEY, TS, *Q.SILVER_OUT))
 
 
 def q_long_ema(spark, sf):
     out = long_series.ema(_silver(spark, sf), "close", {f"ema_{n}": n for n in MA_WINDOWS})
-    return Q._pick(out, [f"ema_{n}" for n in MA_WINDOWS])
+    return rnd(out.select(KEY, TS, *[f"ema_{n}" for n in MA_WINDOWS]))
 
 
 def q_long_macd(spark, sf):
-    return Q._pick(long_series.macd(_silver(spark, sf)), ["macd", "macd_signal", "macd_histogram"])
+    return rnd(long_series.macd(_silver(spark, sf)).select(KEY, TS, *["macd", "macd_signal", "macd_histogram"]))
 
 
 def q_long_targets(spark, sf):
-    return Q._pick(long_series.targets(_silver(spark, sf)), ["target_close", "target_return", "target_direction"])
+    return rnd(long_series.targets(_silver(spark, sf)).select(KEY, TS, *["target_close", "target_return", "target_direction"]))
 
 
 def q_long_gold(spark, sf):
-    return Q.rnd(_gold(spark, sf))
+    return rnd(_gold(spark, sf))
 
 
 def _features(spark, sf):
@@ -97,7 +118,7 @@ def _features(spark, sf):
 
 
 def q_long_features(spark, sf):
-    return Q.rnd(_features(spark, sf))
+    return rnd(_features(spark, sf))
 
 
 def q_long_folds(spark, sf):
@@ -170,16 +191,16 @@ def oracle() -> dict[str, str]:
     o = {}
     o["long_positions"] = S.sql(_fine(), f"SELECT {K}, date, rn - 1 AS position, n AS length FROM rbars")
     fill = _fine_text() + S.coerced() + S.filled()
-    o["long_fill"] = S.sql(fill, S.pick(S.OHLCV, "filled"))
+    o["long_fill"] = S.sql(fill, _picked(S.OHLCV, "filled"))
     base = fill + [("pos", f"SELECT *, row_number() OVER {W()} AS pos FROM filled")] + S.fences("pos")
     o["long_iqr_bounds"] = S.sql(base, " UNION ALL ".join(
         f"SELECT {K}, '{c}' AS \"column\", {R(f'q1_{c}')} AS q1, {R(f'q3_{c}')} AS q3, {R(f'lo_{c}')} AS lower, "
         f"{R(f'hi_{c}')} AS upper FROM fences" for c in PRICE_COLS))
-    o["long_interpolate"] = S.sql(fill + S.interpolated(), S.pick(S.OHLCV, "interp"))
+    o["long_interpolate"] = S.sql(fill + S.interpolated(), _picked(S.OHLCV, "interp"))
     silver = _silver_sql()
-    o["long_silver"] = S.sql(silver, S.pick(S.SILVER_COLS, "silver", doubles=[c for c in S.SILVER_COLS if c not in S.INT_COLS]))
+    o["long_silver"] = S.sql(silver, _picked(S.SILVER_COLS, "silver"))
     o["long_ema"] = S.sql(silver + looked_back("silver", "close", {f"ema_{n}": n for n in MA_WINDOWS}, "avgs"),
-                          S.pick([f"ema_{n}" for n in MA_WINDOWS], "avgs"))
+                          _picked([f"ema_{n}" for n in MA_WINDOWS], "avgs"))
     o["long_macd"] = S.sql(silver + _averages(), f"SELECT {K}, date, {R('ema_fast - ema_slow')} AS macd, "
                            f"{R('macd_signal_raw')} AS macd_signal, {R('ema_fast - ema_slow - macd_signal_raw')} "
                            f"AS macd_histogram FROM emas")
@@ -187,7 +208,7 @@ def oracle() -> dict[str, str]:
         ("t0", f"SELECT *, lead(close) OVER {W()} AS target_close, lead(daily_return) OVER {W()} AS target_return, "
                f"row_number() OVER {W('date DESC')} AS left_ FROM silver"),
         ("t1", "SELECT *, CAST(coalesce(target_close > close, false) AS INTEGER) AS target_direction FROM t0 WHERE left_ > 1")],
-        S.pick(["target_close", "target_return", "target_direction"], "t1", doubles=["target_close", "target_return"]))
+        _picked(["target_close", "target_return", "target_direction"], "t1"))
     gold = _gold_sql()
     o["long_gold"] = S.sql(gold, f"SELECT {K}, " + ", ".join(
         c if c in S.INT_COLS else f"{R(c)} AS {c}" for c in S.GOLD_COLUMNS) + ", date FROM gold")
