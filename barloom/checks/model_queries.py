@@ -13,12 +13,13 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from ..operators import features, models
+from ..operators import features, models, segments
 from . import spark_queries as Q
 
 
 def _scaled(spark, sf):
-    return features.scale_features(Q._features(spark, sf)).cache()
+    """The scaled features, written once as a run writes them."""
+    return segments.written(features.scale_features(Q._features(spark, sf)))
 
 
 def _train_one(name):

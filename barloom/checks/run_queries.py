@@ -47,8 +47,10 @@ def q_layer_roundtrip(spark, sf):
 
 
 def q_bronze_append(spark, sf):
-    """A7 as the runs do it: append to a stored layer, twice the same batch."""
-    existing, new = io.fixture_deliveries(bars.lineitem_bars(spark, sf))
+    """A7 as the runs do it: append to a stored layer, twice the same batch.
+    One series has a null key."""
+    nulled = F.when(F.col(KEY) != HIDDEN, F.col(KEY))
+    existing, new = (d.withColumn(KEY, nulled) for d in io.fixture_deliveries(bars.lineitem_bars(spark, sf)))
     path = _fresh(spark, "bronze")
     io.write_layer(existing, path)
     for _ in range(2):
@@ -188,7 +190,8 @@ def oracle() -> dict[str, str]:
     renamed = [("named", f"SELECT CASE {K} WHEN 'A-F' THEN '007' WHEN 'R-F' THEN '7' ELSE {K} END AS {K}, "
                          "date, open, high, low, close, volume FROM bars")]
     o["layer_roundtrip"] = S.sql(S.lineitem_bars() + renamed, S.pick(S.OHLCV, "named"))
-    o["bronze_append"] = S.oracle_upsert()
+    o["bronze_append"] = (f"SELECT * REPLACE (CASE WHEN {K} <> '{HIDDEN}' THEN {K} END AS {K}) "
+                          f"FROM ({S.oracle_upsert()})")
     kept = [("dd", f"SELECT *, row_number() OVER (PARTITION BY {K}, date ORDER BY page_no) AS rk "
                    f"FROM pagerows WHERE page_no % {CUT_EVERY} <> 3"),
             ("bad", f"SELECT count(*) AS n_quarantined FROM (SELECT DISTINCT {K}, page_no FROM members "

@@ -25,7 +25,9 @@ import itertools
 import random
 import uuid
 from datetime import datetime, timezone
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -43,6 +45,7 @@ SEED = 42
 UNLIMITED_DEPTH = 30  # Spark's maximum tree depth stands in for "no limit"
 # Deep trees: split more nodes per pass over the data and keep node ids
 # cached (checkpointed every 10 rounds) instead of re-deriving them.
+TASK_ROWS = 50_000  # training rows of one task
 DEEP_TREE_CONF = {"maxMemoryInMB": 512, "cacheNodeIds": True, "checkpointInterval": 10}
 
 
@@ -95,20 +98,41 @@ def metrics_row(scored: DataFrame) -> dict:
     return {"mae": r.mae, "rmse": r.rmse, "r2": r.r2}
 
 
+def assembled(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The rows of ``df`` with one vector column, in (series, time) order and
+    in as few partitions as their number needs: a tree learner runs several
+    jobs for each level of a tree, so partitions of a few rows cost more than
+    the work in them."""
+    rows = assembler(cols).transform(df).select(KEY, TS, "features", LABEL)
+    tasks = max(1, -(-df.count() // TASK_ROWS))
+    return rows.repartitionByRange(tasks, KEY, TS).sortWithinPartitions(KEY, TS)
+
+
 def train_all(spark: SparkSession, df: DataFrame, names: list[str] | None = None,
               cols: list[str] | None = None) -> tuple[DataFrame, dict]:
     """K6: fit every learner, score on val, return the metrics table
-    (ordinal, model, mae, rmse, r2) and the fitted models."""
+    (ordinal, model, mae, rmse, r2) and the fitted models.  The learners share
+    one assembled copy of the train rows and are fitted at the same time, so
+    the short jobs of one fill the gaps between those of another."""
     names = names or list(learners())
     cols = cols or feature_columns(df.columns)
+    ready = assembled(df.where(F.col("split") == "train"), cols).persist()
     val = df.where(F.col("split") == "val")
-    rows, models = [], {}
-    for i, name in enumerate(names):
-        m = fit(df, name, cols)
-        models[name] = m
-        rows.append((i, name, *metrics_row(score(m, val)).values()))
+    val = val.coalesce(max(1, -(-val.count() // TASK_ROWS))).persist()
+
+    def one(name: str):
+        model = PipelineModel([assembler(cols), learners()[name].fit(ready)])
+        return model, metrics_row(score(model, val))
+
+    try:
+        with ThreadPool(len(names)) as pool:
+            done = pool.map(inheritable_thread_target(spark)(one), names)
+    finally:
+        ready.unpersist()
+        val.unpersist()
+    rows = [(i, name, *metrics.values()) for i, (name, (_, metrics)) in enumerate(zip(names, done))]
     table = spark.createDataFrame(rows, "ordinal int, model string, mae double, rmse double, r2 double")
-    return table, models
+    return table, {name: model for name, (model, _) in zip(names, done)}
 
 
 def best(table: DataFrame) -> DataFrame:
@@ -167,8 +191,8 @@ def load_series(path: str) -> DataFrame:
 def mark_untrained(scored: DataFrame, series: DataFrame) -> DataFrame:
     """Status ``untrained_series`` for scored rows of a series that the model
     has not seen; their prediction stands, from the pooled scaling."""
-    known = series.withColumn("_known", F.lit(True))
-    return (scored.join(known, KEY, "left")
+    known = series.select(F.col(KEY).alias("_series"), F.lit(True).alias("_known"))
+    return (scored.join(known, F.col(KEY).eqNullSafe(F.col("_series")), "left").drop("_series")
             .withColumn("status", F.when((F.col("status") == "scored") & F.col("_known").isNull(),
                                          F.lit("untrained_series")).otherwise(F.col("status")))
             .drop("_known"))

@@ -188,10 +188,13 @@ def new_rows_only(existing: DataFrame, new: DataFrame, keys: list[str] | None =
         # only stored rows inside the batch's date range can collide: a
         # literal range filter reaches the Parquet scan (row-group pruning)
         lo, hi = new.agg(F.min(TS), F.max(TS)).first()
-        if lo is None:
-            return new.limit(0)
-        stored = stored.where(F.col(TS).between(_ts_lit(lo, new), _ts_lit(hi, new)))
-    return new.join(stored, keys, "left_anti")
+        within = F.col(TS).isNull()
+        if lo is not None:
+            within = within | F.col(TS).between(_ts_lit(lo, new), _ts_lit(hi, new))
+        stored = stored.where(within)
+    stored = stored.withColumnsRenamed({k: f"_stored_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_stored_{k}")) for k in keys]  # null keys are equal, as in ``upsert``
+    return new.join(stored, same, "left_anti")
 
 
 def _ts_lit(value, df: DataFrame):
