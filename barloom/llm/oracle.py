@@ -24,12 +24,28 @@ run AS (SELECT doc_id, n, s, array_to_string(w[s : s + n - 1], ' ') AS gram
 hit AS (SELECT doc_id, run.n, s, item FROM run JOIN win ON run.n = win.n AND run.gram = win.gram),
 place AS (SELECT doc_id, count(DISTINCT p) AS n_hit
           FROM (SELECT doc_id, unnest(generate_series(s, s + n - 1)) AS p FROM hit) GROUP BY doc_id),
-named AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM hit GROUP BY doc_id)
+named AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM hit GROUP BY doc_id),
+tok AS (SELECT doc_id, w, unnest(w) AS term, generate_subscripts(w, 1) - 1 AS pos FROM doc),
+seen AS (SELECT term, count(*) AS n FROM tok GROUP BY term),
+gram AS (SELECT gram, string_split(gram, ' ') AS words FROM win WHERE n > 1 GROUP BY gram),
+part AS (SELECT gram, words, unnest(words) AS term, generate_subscripts(words, 1) - 1 AS off FROM gram),
+rare AS (SELECT * FROM (SELECT part.*, row_number() OVER (PARTITION BY gram ORDER BY coalesce(n, 0), off, part.term) AS r
+                        FROM part LEFT JOIN seen ON part.term = seen.term) WHERE r <= 2),
+head AS (SELECT doc_id, gram, words, pos - off AS s, w[greatest(1, pos - 8) : pos + 10] AS near,
+                pos >= off AND w[pos - off + 1 : pos - off + len(words)] = words AS exact
+         FROM tok JOIN rare ON tok.term = rare.term),
+close_ AS (SELECT DISTINCT doc_id, gram, s FROM head WHERE NOT exact
+           AND len(list_intersect(list_distinct(near), list_distinct(words))) >= 0.8::DOUBLE * len(list_distinct(words))),
+nears AS (SELECT doc_id, count(*) AS n_near FROM close_ GROUP BY doc_id),
+near_named AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS near_items
+               FROM close_ JOIN win ON close_.gram = win.gram GROUP BY doc_id)
 SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
        sha256(array_to_string(coalesce(items, []), ',')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AS contaminated
-FROM doc LEFT JOIN place USING (doc_id) LEFT JOIN named USING (doc_id)"""
+       coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near,
+       sha256(array_to_string(coalesce(near_items, []), ',')) AS near_items_sha256
+FROM doc LEFT JOIN place USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN nears USING (doc_id)
+LEFT JOIN near_named USING (doc_id)"""
 
 
 def repeated_bytes(documents: str = "documents") -> str:

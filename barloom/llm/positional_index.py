@@ -3,12 +3,12 @@
 Test windows are runs of ``WINDOW`` consecutive item words.  The corpus terms
 that occur in windows are counted over all documents, and every window is
 looked up through its two rarest terms.  The postings of these terms are
-stored: (document, position), and for the rarest terms also the words around.
-Each list is shifted by its term's place in the window, the shifted lists are
+stored: (document, position) and the words around.  Each list is shifted by its term's place in the window, the shifted lists are
 intersected on (window, document, start), and what is left is an exact phrase
-match when the words around agree with the whole window.  A window whose
-rarest term has at least ``NEAR_SHARE`` of the window's distinct words around
-it, without being an exact match, is a proximity match and only counted.
+match when the words around agree with the whole window.  A place where either
+of the two rarest terms has at least ``NEAR_SHARE`` of the window's distinct
+words around it, without being an exact match, is a proximity match: it is
+counted and its items are listed, and it does not make a document contaminated.
 
 Built from DataFrame functions alone.  The window tables are broadcast only
 after a count shows that they are small; larger ones are joined by shuffles.
@@ -81,13 +81,14 @@ def rarest_terms(docs: DataFrame, windows: DataFrame) -> DataFrame:
 
 def postings(docs: DataFrame, terms: DataFrame, width: int = WINDOW) -> DataFrame:
     """The stored index: (_k1, _k2, term, pos, near).  ``near`` holds the words
-    from ``width - 1`` places before to as many after, for first-rank terms."""
-    wanted = _sized(terms.groupBy("term").agg((F.min("rank") == 0).alias("first")))
+    from ``width - 1`` places before to as many after, for terms of windows of
+    several words (a window of one word needs none)."""
+    wanted = _sized(terms.groupBy("term").agg((F.max(F.size("words")) > 1).alias("around")))
     tokens = (docs.select(*_key(), words_of().alias("w"))
               .select("_k1", "_k2", "w", F.posexplode("w").alias("pos", "term")))
     around = F.slice("w", F.greatest(F.lit(1), F.col("pos") - (width - 2)), F.least(F.col("pos"), F.lit(width - 1)) + width)
     return saved(tokens.join(wanted, "term")
-                 .select("_k1", "_k2", "term", "pos", F.when(F.col("first"), around).alias("near")))
+                 .select("_k1", "_k2", "term", "pos", F.when(F.col("around"), around).alias("near")))
 
 
 def matches(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -96,21 +97,21 @@ def matches(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> tuple[Dat
     windows, items_of = test_windows(items, width)
     terms = rarest_terms(docs, windows)
     index = postings(docs, terms, width)
-    first = _sized(terms.where("rank = 0").select("gid", "words", "term", "off"))
-    second = _sized(terms.where("rank = 1").select("gid", "term", "off"))
     place = ["_k1", "_k2", "gid", "start"]
-    heads = (index.where(F.col("near").isNotNull()).join(first, "term")
-             .select("_k1", "_k2", "gid", (F.col("pos") - F.col("off")).alias("start"), "words", "near",
-                     # the window's start inside ``near``, 1-based
-                     (F.least(F.col("pos"), F.lit(width - 1)) - F.col("off") + 1).alias("at")))
+    looked_up = _sized(terms.select("gid", "words", "rank", "term", "off"))
+    heads = index.join(looked_up, "term").select(
+        "_k1", "_k2", "gid", "rank", (F.col("pos") - F.col("off")).alias("start"), "words", "near",
+        # the window's start inside ``near``, 1-based
+        (F.least(F.col("pos"), F.lit(width - 1)) - F.col("off") + 1).alias("at"))
+    second = _sized(terms.where("rank = 1").select("gid", "term", "off"))
     seconds = index.join(second, "term").select("_k1", "_k2", "gid", (F.col("pos") - F.col("off")).alias("start"))
     long = F.size("words") > 1
-    met = heads.where(long).join(seconds, place, "left_semi").union(heads.where(~long))
-    exact = (met.where("at >= 1").where(F.slice("near", F.greatest("at", F.lit(1)), F.size("words")) == F.col("words"))
+    same = (F.col("at") >= 1) & (F.slice("near", F.greatest("at", F.lit(1)), F.size("words")) == F.col("words"))
+    firsts = heads.where("rank = 0")
+    exact = (firsts.where(long).join(seconds, place, "left_semi").where(same).union(firsts.where(~long))
              .select(*place, F.size("words").alias("len")).distinct())
     shared = F.size(F.array_intersect("near", "words"))
-    close = (heads.where(long & (shared >= NEAR_SHARE * F.size(F.array_distinct("words"))))
-             .where((F.col("at") < 1) | (F.slice("near", F.greatest("at", F.lit(1)), F.size("words")) != F.col("words")))
+    close = (heads.where(long & (shared >= NEAR_SHARE * F.size(F.array_distinct("words"))) & ~same)
              .select(*place, F.size("words").alias("len")).distinct())
     return exact, close, items_of
 
@@ -127,25 +128,36 @@ def covered(spans: Column) -> Column:
     return F.aggregate(F.sort_array(spans), start, step, lambda acc: acc["n"])
 
 
+def _named(found: DataFrame, items_of: DataFrame, name: str) -> DataFrame:
+    """The sorted items of the windows found in each document."""
+    return (found.select("_k1", "_k2", "gid").distinct().join(items_of, "gid")
+            .groupBy("_k1", "_k2").agg(F.sort_array(F.collect_set("item")).alias(name)))
+
+
 def op2_positional_index(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
-    """One row a document: words, hit words, items hit and proximity matches."""
+    """One row a document: words, hit words and items hit exactly; then the
+    proximity matches and the items they belong to."""
     exact, close, items_of = matches(docs, items, width)
-    exact = saved(exact)
+    exact, close = saved(exact), saved(close)
     key = ["_k1", "_k2"]
     hits = exact.groupBy(*key).agg(covered(F.collect_set(F.struct("start", "len"))).alias("n_hit"))
-    named = (exact.select(*key, "gid").distinct().join(items_of, "gid")
-             .groupBy(*key).agg(F.sort_array(F.collect_set("item")).alias("items")))
     near = close.groupBy(*key).agg(F.count(F.lit(1)).alias("n_near"))
     rows = docs.select("doc_id", *_key(), F.size(words_of()).cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
-    out = rows.join(hits, key, "left").join(named, key, "left").join(near, key, "left")
+    out = rows.join(hits, key, "left").join(near, key, "left")
+    out = out.join(_named(exact, items_of, "items"), key, "left").join(_named(close, items_of, "near_items"), key, "left")
+
+    def digest(items: str) -> Column:
+        return F.sha2(F.array_join(F.coalesce(items, none), ",").cast("binary"), 256)
+
     return out.select(
         "doc_id", "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.coalesce("items", none), ",").cast("binary"), 256).alias("items_sha256"),
+        digest("items").alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
-        F.coalesce("n_near", F.lit(0)).alias("n_near"))
+        F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+        digest("near_items").alias("near_items_sha256"))
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:

@@ -17,9 +17,8 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = positional_index.op2_positional_index(read_table(spark, sf_dir, "documents"),
-                                                read_table(spark, sf_dir, "benchmark"))
-    return out.drop("n_near")
+    return positional_index.op2_positional_index(read_table(spark, sf_dir, "documents"),
+                                                 read_table(spark, sf_dir, "benchmark"))
 
 
 def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
