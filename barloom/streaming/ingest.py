@@ -9,24 +9,31 @@ page wins per (series, date); against stored Bronze the stored row wins
 land before the trigger that reads them: over several triggers the rows that
 arrive first stay, whatever their page number.  The stream checkpoint
 records which files were consumed; a replayed batch appends nothing because
-its rows are already stored, so the job survives executor and driver loss.
+its rows are already stored, and writes its quarantine folder again (one for
+each stream, known by its checkpoint, and batch), so the job survives executor
+and driver loss.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import layers, payload
 
 
-def _merge_batch(spark: SparkSession, bronze_path: str):
+def _merge_batch(spark: SparkSession, bronze_path: str, checkpoint_path: str):
+    stream = hashlib.sha256(checkpoint_path.encode()).hexdigest()[:16]
+
     def merge(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # read for the quarantine and for the rows
         try:
-            corrupt = payload.corrupt_pages(batch).withColumn("batch_id", F.lit(batch_id))
-            if not corrupt.isEmpty():
-                corrupt.write.mode("append").parquet(quarantine_path(bronze_path))
+            corrupt = payload.corrupt_pages(batch)
+            if not corrupt.isEmpty():  # a replayed batch writes its folder again
+                corrupt.write.mode("overwrite").parquet(
+                    f"{quarantine_path(bronze_path)}/stream={stream}/batch_id={batch_id}")
             rows = payload.normalize_ohlcv(batch, extra_cols=["page_no"])
             layers.append_bronze(spark, rows, bronze_path, order_col="page_no")
         finally:
@@ -47,7 +54,7 @@ def ingest_stream(spark: SparkSession, landing_path: str, bronze_path: str,
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     pages = payload.parse_pages(reader.text(landing_path))
     return (pages.writeStream
-                 .foreachBatch(_merge_batch(spark, bronze_path))
+                 .foreachBatch(_merge_batch(spark, bronze_path, checkpoint_path))
                  .option("checkpointLocation", checkpoint_path)
                  .trigger(availableNow=True)
                  .start())

@@ -5,8 +5,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from barloom.sources import layers as io
-from barloom.sources import payload
+from barloom.sources import bars, payload
 from barloom.schemas import BRONZE_SCHEMA
+from conftest import SF0001
 
 
 def _bars(spark, rows):
@@ -102,3 +103,23 @@ def test_latest(spark):
     df = _bars(spark, [("k", float(i), 1.0, 1.0, 1.0, 1.0, D[i]) for i in range(5)])
     assert [r.date for r in io.latest(df, 1).collect()] == [D[4]]
     assert F is not None
+
+
+def test_replayed_batch_quarantines_once(spark, tmp_path):
+    """The same micro-batch again: Bronze and the quarantine stay as they are."""
+    from barloom.streaming import ingest
+    docs = payload.fixture_pages(bars.lineitem_bars(spark, SF0001).where("series_key = 'A-F'"))
+    lines = docs.select(F.to_json(F.struct(*docs.columns)).alias("value"))
+    pages = payload.parse_pages(lines.union(spark.createDataFrame([("not a page",), ("{",)], "value string")))
+    merge = ingest._merge_batch(spark, f"{tmp_path}/bronze", f"{tmp_path}/checkpoint")
+    for _ in range(2):
+        merge(pages, 0)
+        n = spark.read.parquet(ingest.quarantine_path(f"{tmp_path}/bronze")).count()
+        assert n == 2
+        assert io.read_layer(spark, f"{tmp_path}/bronze", BRONZE_SCHEMA).count() == docs_rows(docs)
+    merge(pages, 1)
+    assert spark.read.parquet(ingest.quarantine_path(f"{tmp_path}/bronze")).count() == 4
+
+
+def docs_rows(docs):
+    return payload.assemble_history(payload.normalize_ohlcv(docs, extra_cols=["page_no"])).count()
