@@ -1,20 +1,30 @@
 """Layer storage: Parquet scans and sinks, keyed upserts.
 
-A layer is a folder of versions, ``v-<id>``, and a pointer file ``CURRENT``
-that names the one in force.  A version is written completely before the
-pointer is replaced, by one atomic rename of the Hadoop file system, so readers
-see the old version or the new one, on any store.  Inside a version rows lie
-in ``BUCKETS`` folders by a hash of the series key, sorted by (series, date);
-the key itself is a column of the files, so its type and text stay as they
-are.  An incremental Bronze load appends only the rows whose (series, date) is
-not stored yet, reading only the touched buckets and dates.
+A layer is a folder with ``data``, where every write makes a new folder of
+files, and ``_log``, where commit n is a list of the files that make up the
+layer, each with its bucket (a hash of the series key), its rows and its first
+and last date.  A commit is written aside and renamed to its number; a number
+that is taken is never replaced, so of two writers one has to look again at
+what the other committed.  Readers take the newest list: they see a write whole
+or not at all, and one that started before an overwrite reads on, because its
+files stay until ``vacuum``.  (The rename must fail when the target exists: HDFS
+and local disks do so, plain object stores do not.)
+
+An incremental Bronze load appends only the rows whose (series, date) is not
+stored yet; it reads the files whose bucket and dates meet those of the batch
+and no others.  The key itself is a column of the files, so its type and text
+stay as they are.
+
+Saved models are folders of versions with a pointer file (``publish``).
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
@@ -23,7 +33,12 @@ from ..schemas import KEY, TS
 
 BUCKETS = 64
 BUCKET = "key_bucket"
-POINTER = "CURRENT"
+POINTER, LOG, DATA = "CURRENT", "_log", "data"
+KEPT_COMMITS = 10  # commits whose files ``vacuum`` leaves alone
+
+
+class CommitConflict(RuntimeError):
+    """Another writer has taken the commit number."""
 
 
 # ------------------------------------------------------------ version pointer
@@ -69,20 +84,117 @@ def publish(spark: SparkSession, path: str, version: str) -> None:
         fs.delete(hadoop.Path(old), True)
 
 
+# ----------------------------------------------------------------- commits
+def _hadoop(spark: SparkSession, path: str):
+    """Path class, file system and file context of ``path``."""
+    jvm, fs, conf = _store(spark, path)
+    hadoop = jvm.org.apache.hadoop.fs
+    return hadoop, fs, hadoop.FileContext.getFileContext(fs.getUri(), conf)
+
+
+def commit_numbers(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of all commits, oldest first."""
+    hadoop, fs, _ = _hadoop(spark, path)
+    log = hadoop.Path(f"{path}/{LOG}")
+    if not fs.exists(log):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(log)]
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
+
+
+def files_of(spark: SparkSession, path: str, number: int | None = None) -> tuple[int, list[dict]]:
+    """A commit (the newest if not given; 0 if there is none) and its files."""
+    number = number or (commit_numbers(spark, path) or [0])[-1]
+    if not number:
+        return 0, []
+    return number, read_json_file(spark, f"{path}/{LOG}/{number:020d}.json")
+
+
+def read_json_file(spark: SparkSession, path: str):
+    jvm, fs, _ = _store(spark, path)
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(path))
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def commit(spark: SparkSession, path: str, number: int, files: list[dict]) -> None:
+    """Make ``files`` the layer as commit ``number``, or raise CommitConflict
+    if that commit exists."""
+    hadoop, fs, context = _hadoop(spark, path)
+    draft = hadoop.Path(f"{path}/{LOG}/.{uuid.uuid4().hex}")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(bytearray(json.dumps(files).encode()))
+    finally:
+        stream.close()
+    none = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    none[0] = hadoop.Options.Rename.NONE
+    try:
+        context.rename(draft, hadoop.Path(f"{path}/{LOG}/{number:020d}.json"), none)
+    except Py4JJavaError as e:
+        fs.delete(draft, False)
+        if "FileAlreadyExistsException" in str(e.java_exception):
+            raise CommitConflict(f"commit {number} of {path} is taken") from None
+        raise
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = KEPT_COMMITS) -> int:
+    """Delete the writes that none of the last ``keep`` commits uses, and the
+    older commits.  Not to be run beside a writer: it would take a write that
+    is not committed yet for an old one.  Returns the writes deleted."""
+    hadoop, fs, _ = _hadoop(spark, path)
+    numbers = commit_numbers(spark, path)
+    used = {f["path"].split("/")[1] for n in numbers[-keep:] for f in files_of(spark, path, n)[1]}
+    old = [f.getPath() for f in fs.listStatus(hadoop.Path(f"{path}/{DATA}")) if f.getPath().getName() not in used]
+    for n in numbers[:-keep]:
+        fs.delete(hadoop.Path(f"{path}/{LOG}/{n:020d}.json"), False)
+    for at in old:
+        fs.delete(at, True)
+    return len(old)
+
+
 # ----------------------------------------------------------------- scans
 def read_layer(spark: SparkSession, path: str, schema: StructType | None = None,
                missing_ok: bool = True) -> DataFrame:
     """Read a layer.  A layer that does not exist gives an
     empty frame of ``schema`` when ``missing_ok`` (A2), else raises (A3)."""
-    at = current_version(spark, path)
-    if at is None:
+    number, files = files_of(spark, path)
+    if not number:
         if not missing_ok:
             raise FileNotFoundError(f"no layer at {path}")
         if schema is None:
             raise ValueError("a layer that may be missing needs a schema")
         return spark.createDataFrame([], schema)
+    return _scan(spark, path, files, schema)
+
+
+def _scan(spark: SparkSession, path: str, files: list[dict], schema: StructType | None) -> DataFrame:
+    if not files:
+        return spark.createDataFrame([], schema)
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(at).drop(BUCKET)
+    return reader.parquet(*[f"{path}/{f['path']}" for f in files])
+
+
+def touched_files(files: list[dict], new: DataFrame) -> list[dict]:
+    """The files that may hold a (series, date) of ``new``: those of its
+    buckets whose dates meet the batch's dates in that bucket."""
+    if KEY not in new.columns or TS not in new.columns:
+        return files
+    spans = _bucketed(new).groupBy(BUCKET).agg(  # one row a bucket
+        F.min(TS).cast("string").alias("lo"), F.max(TS).cast("string").alias("hi"),
+        F.count_if(F.col(TS).isNull()).alias("none")).collect()
+    of = {r[BUCKET]: r for r in spans}
+
+    def meets(f: dict) -> bool:
+        r = of.get(f["bucket"])
+        if r is None:
+            return False
+        dated = r.lo is not None and f["lo"] is not None and f["lo"] <= r.hi and r.lo <= f["hi"]
+        return dated or bool(r.none and f["undated"])
+
+    return [f for f in files if f["bucket"] is None or meets(f)]
 
 
 # ----------------------------------------------------------------- sinks
@@ -90,36 +202,45 @@ def _bucketed(df: DataFrame) -> DataFrame:
     return df.withColumn(BUCKET, F.pmod(F.hash(KEY), F.lit(BUCKETS))) if KEY in df.columns else df
 
 
-def _write(df: DataFrame, at: str, mode: str) -> None:
-    df = _bucketed(df)
-    writer = _sorted_by_date(df).write.mode(mode)
-    (writer.partitionBy(BUCKET) if BUCKET in df.columns else writer).parquet(at)
+def add_files(df: DataFrame, path: str) -> list[dict]:
+    """Write the rows of ``df`` to a new folder and describe its files.  Rows
+    are dealt by bucket first, a large bucket to several tasks and small ones
+    together, so a task writes few files.  Nothing is committed."""
+    spark = df.sparkSession
+    folder = f"{DATA}/{uuid.uuid4().hex}"
+    rows = _bucketed(df)
+    if BUCKET in rows.columns:
+        rows = rows.hint("rebalance", BUCKET)
+    writer = _sorted_by_date(rows).write
+    (writer.partitionBy(BUCKET) if BUCKET in rows.columns else writer).parquet(f"{path}/{folder}")
+    dated = TS in df.columns
+    at = F.col(TS) if dated else F.lit(None).cast("string")
+    back = spark.read.schema(df.schema).parquet(f"{path}/{folder}")
+    facts = back.select(at.alias("t"), F.col("_metadata.file_path").alias("f")).groupBy("f").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("t").cast("string").alias("lo"), F.max("t").cast("string").alias("hi"),
+        F.count_if(F.col("t").isNull()).alias("undated")).collect()  # one row a file
+    out = []
+    for r in facts:
+        name = r.f[r.f.index(folder):]
+        bucket = re.search(rf"/{BUCKET}=(\d+)/", name)
+        out.append({"path": name, "bucket": int(bucket.group(1)) if bucket else None, "rows": r.rows,
+                    "lo": r.lo, "hi": r.hi, "undated": r.undated})
+    return sorted(out, key=lambda f: f["path"])
 
 
 def write_layer(df: DataFrame, path: str) -> int:
-    """Write a new version of a layer and put it in force,
-    unless the frame is empty.  The plan runs once; the rows are counted in the
-    written files.  Returns their number."""
+    """Replace a layer, unless the frame is empty.  The plan runs
+    once; the rows are counted in the written files.  Returns their number."""
     spark = df.sparkSession
-    version = f"v-{uuid.uuid4().hex}"
-    _write(df, f"{path}/{version}", "errorifexists")
-    rows = spark.read.schema(df.schema).parquet(f"{path}/{version}").count()
-    if rows:
-        publish(spark, path, version)
-    else:
-        jvm, fs, _ = _store(spark, path)
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{version}"), True)
-    return rows
-
-
-def append_layer(df: DataFrame, path: str) -> None:
-    """Add rows to the version in force; the first rows make one."""
-    spark = df.sparkSession
-    at = current_version(spark, path)
-    if at is None:
-        write_layer(df, path)
-    else:
-        _write(df, at, "append")
+    files = add_files(df, path)
+    while files:
+        number, _ = files_of(spark, path)
+        try:
+            commit(spark, path, number + 1, files)
+            break
+        except CommitConflict:  # an overwrite replaces whatever is there
+            continue
+    return sum(f["rows"] for f in files)
 
 
 def _sorted_by_date(df: DataFrame) -> DataFrame:
@@ -207,18 +328,24 @@ def _ts_lit(value, df: DataFrame):
 
 def append_bronze(spark: SparkSession, new: DataFrame, path: str,
                   order_col: str | None = None) -> int:
-    """A7 / L4 incremental load: append the not-yet-stored rows to Bronze.
-    A missing Bronze gets the batch as it is."""
+    """A7 / L4 incremental load: commit the not-yet-stored rows as further
+    files of Bronze.  Only files that may hold a key of the batch are read.
+    When another writer commits first, the rows are compared again with what
+    the layer holds then.  Returns the rows appended."""
     new = new.checkpoint()  # the batch is read for its range, for the join and for the count
-    existing = read_layer(spark, path, schema=new.drop(*([order_col] if order_col else [])).schema)
-    body = new_rows_only(existing, new, order_col=order_col)
-    if order_col:
-        body = body.drop(order_col)
-    body = body.checkpoint()  # cut lineage to the stored layer before appending to it
-    n = body.count()
-    if n:
-        append_layer(body, path)
-    return n
+    schema = new.drop(*([order_col] if order_col else [])).schema
+    while True:
+        number, files = files_of(spark, path)
+        existing = _scan(spark, path, touched_files(files, new), schema)
+        body = new_rows_only(existing, new, order_col=order_col)
+        added = add_files(body.drop(order_col) if order_col else body, path)
+        if not added:
+            return 0
+        try:
+            commit(spark, path, number + 1, files + added)
+            return sum(f["rows"] for f in added)
+        except CommitConflict:
+            continue
 
 
 # ----------------------------------------------------------------- top-k

@@ -42,25 +42,74 @@ def test_missing_layer_is_empty(spark, tmp_path):
     assert df.count() == 0 and df.columns == BRONZE_SCHEMA.fieldNames()
 
 
-def test_layer_versions(spark, tmp_path):
-    import os
-
+def test_layer_commits(spark, tmp_path):
     import pytest
     path = str(tmp_path / "layer")
     with pytest.raises(FileNotFoundError):
         io.read_layer(spark, path, BRONZE_SCHEMA, missing_ok=False)
     rows = [(k, 1.0, 1.0, 1.0, float(i), 1.0, D[i]) for k in ("007", "7", None) for i in range(3)]
     assert io.write_layer(_bars(spark, rows), path) == 9
-    first = io.current_version(spark, path)
     back = io.read_layer(spark, path, BRONZE_SCHEMA)
     assert back.schema.fieldNames() == BRONZE_SCHEMA.fieldNames()
     assert {(r.series_key, r["count"]) for r in back.groupBy("series_key").count().collect()} == {
         ("007", 3), ("7", 3), (None, 3)}
     assert io.write_layer(back.where("series_key = '7'"), path) == 3  # reads the version it replaces
-    assert io.current_version(spark, path) != first and not os.path.exists(first)
+    assert io.commit_numbers(spark, path) == [1, 2]
+    assert back.count() == 9  # a reader that started before the overwrite finishes
+    assert io.read_layer(spark, path, BRONZE_SCHEMA).count() == 3
+    assert io.write_layer(spark.createDataFrame([], BRONZE_SCHEMA), path) == 0
+    assert io.read_layer(spark, path, BRONZE_SCHEMA).count() == 3  # an empty frame commits nothing
+    assert io.vacuum(spark, path, keep=1) >= 1 and io.commit_numbers(spark, path) == [2]
     assert io.read_layer(spark, path, BRONZE_SCHEMA).count() == 3
-    assert io.write_layer(back.limit(0).sparkSession.createDataFrame([], BRONZE_SCHEMA), path) == 0
-    assert io.read_layer(spark, path, BRONZE_SCHEMA).count() == 3  # an empty frame writes nothing
+
+
+def test_uncommitted_files_are_not_read(spark, tmp_path):
+    """A writer that dies before its commit leaves no row."""
+    path = str(tmp_path / "layer")
+    io.write_layer(_bars(spark, [("k", 1.0, 1.0, 1.0, 1.0, 1.0, D[0])]), path)
+    io.add_files(_bars(spark, [("k", 2.0, 2.0, 2.0, 2.0, 2.0, D[1])]), path)
+    assert io.read_layer(spark, path, BRONZE_SCHEMA).count() == 1
+
+
+def test_two_writers_lose_nothing(spark, tmp_path, monkeypatch):
+    """A second writer commits between the first one's read and its commit."""
+    path = str(tmp_path / "bronze")
+    io.append_bronze(spark, _bars(spark, [("k", 1.0, 1.0, 1.0, 1.0, 1.0, D[0])]), path)
+    plain, other = io.commit, []
+
+    def late(spark_, path_, number, files):
+        if not other:
+            other.append(1)
+            rows = [("k", 5.0, 5.0, 5.0, 5.0, 5.0, D[1]), (None, 6.0, 6.0, 6.0, 6.0, 6.0, D[1])]
+            assert io.append_bronze(spark, _bars(spark, rows), path) == 2
+        plain(spark_, path_, number, files)
+    monkeypatch.setattr(io, "commit", late)
+    mine = [("k", 2.0, 2.0, 2.0, 2.0, 2.0, D[1]), ("k", 3.0, 3.0, 3.0, 3.0, 3.0, D[2])]
+    assert io.append_bronze(spark, _bars(spark, mine), path) == 1  # the stored row wins
+    got = {(r.series_key, r.date): r.close for r in io.read_layer(spark, path, BRONZE_SCHEMA).collect()}
+    assert got == {("k", D[0]): 1.0, ("k", D[1]): 5.0, (None, D[1]): 6.0, ("k", D[2]): 3.0}
+
+
+def test_an_append_reads_only_files_it_may_meet(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    for i in range(4):  # four commits of one day for twenty series
+        io.append_bronze(spark, _bars(spark, [(f"s{k}", 1.0, 1.0, 1.0, 1.0, 1.0, D[i]) for k in range(20)]), path)
+    _, files = io.files_of(spark, path)
+    new = _bars(spark, [("s3", 1.0, 1.0, 1.0, 1.0, 1.0, D[3]), ("s3", 1.0, 1.0, 1.0, 1.0, 1.0, D[4])])
+    met = io.touched_files(files, new)
+    assert len(met) == 1 and len(files) >= 40
+    assert len(io._scan(spark, path, met, BRONZE_SCHEMA).inputFiles()) == 1
+    none = _bars(spark, [("s3", 1.0, 1.0, 1.0, 1.0, 1.0, None)])
+    assert io.touched_files(files, none) == []
+    assert io.append_bronze(spark, none, path) == 1 and io.append_bronze(spark, none, path) == 0
+
+
+def test_a_write_makes_few_files(spark, tmp_path):
+    df = spark.range(20_000).selectExpr("concat('s', id % 300) AS series_key", "1D AS open", "1D AS high", "1D AS low",
+                                        "1D AS close", "1D AS volume",
+                                        "timestampadd(DAY, cast(id / 300 AS int), TIMESTAMP_NTZ'2020-01-01') AS date")
+    io.write_layer(df.repartition(16), str(tmp_path / "layer"))
+    assert len(io.files_of(spark, str(tmp_path / "layer"))[1]) <= io.BUCKETS + 8
 
 
 def test_corrupt_pages_are_set_apart(spark, tmp_path):

@@ -66,7 +66,7 @@ def _status(df):
 
 
 def _layer(spark, path):
-    return spark.read.parquet(io.current_version(spark, path))
+    return io.read_layer(spark, path)
 
 
 def _predictions(spark, root):
