@@ -108,7 +108,7 @@ def matches(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> tuple[Dat
     long = F.size("words") > 1
     same = (F.col("at") >= 1) & (F.slice("near", F.greatest("at", F.lit(1)), F.size("words")) == F.col("words"))
     firsts = heads.where("rank = 0")
-    exact = (firsts.where(long).join(seconds, place, "left_semi").where(same).union(firsts.where(~long))
+    exact = (firsts.where(long).join(seconds, place, "left_semi").where(same).unionByName(firsts.where(~long))
              .select(*place, F.size("words").alias("len")).distinct())
     shared = F.size(F.array_intersect("near", "words"))
     close = (heads.where(long & (shared >= NEAR_SHARE * F.size(F.array_distinct("words"))) & ~same)
