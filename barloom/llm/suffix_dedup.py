@@ -52,7 +52,8 @@ GRAM = 24
 HOT_CLASSES = 4096
 RUNS_AT_ONCE = 500_000
 SUFFIXES_AT_ONCE = 200_000
-SMALL = 64
+SMALL = 1024  # suffixes of a segment that are sorted as whole rows
+PIECE = 1 << 15  # starts whose anchors are found at a time
 
 
 # ------------------------------------------------------------ anchors, runs
@@ -63,36 +64,65 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def gram_hashes(data: np.ndarray, width: int = GRAM) -> np.ndarray:
-    """A 64-bit hash of every ``width`` bytes, put together by doubling."""
-    power, whole = 0x9E3779B97F4A7C15, 1 << 64
-    part, size = data.astype(np.uint64) + np.uint64(1), 1
-    out, done = None, 0
-    while True:
-        if width & 1:
-            if out is None:
-                out, done = part, size
-            else:
-                m = len(data) - (done + size) + 1
-                out, done = out[:m] * np.uint64(power) + part[done:done + m], done + size
-        width >>= 1
-        if not width:
-            return _mix(out)
-        m = len(part) - size
-        part, size, power = part[:m] * np.uint64(power) + part[size:size + m], 2 * size, power * power % whole
-
-
-def runs_of(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(gram hash, first start, starts, anchor - first start) of each run."""
-    hashes = gram_hashes(data, gram)
-    least, place, size, width = hashes, np.arange(len(hashes), dtype=np.int32), 1, length - gram + 1
-    while size < width:
-        step = min(size, width - size)
-        m = len(least) - step
-        later = least[step:step + m] < least[:m]
-        least, place = np.where(later, least[step:step + m], least[:m]), np.where(later, place[step:step + m], place[:m])
-        size += step
+    """A 64-bit hash of every ``width`` bytes, put together from the 8-byte
+    words in it (the last two may overlap; a shorter one is masked)."""
+    n, odd = len(data) - width + 1, np.uint64(0xD6E8FEB86659FD93)
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    word = np.ndarray((len(data),), "<u8", padded, strides=(1,)).astype(np.uint64)
+    if width < 8:
+        word &= np.uint64((1 << 8 * width) - 1)
+    word += np.uint64(0x9E3779B97F4A7C15)
+    word *= odd
+    word ^= word >> np.uint64(32)
+    places = sorted({*range(0, max(1, width - 7), 8), max(0, width - 8)})
+    out = word[:n].copy()
+    for at in places[1:]:
+        out *= odd
+        out += word[at:at + n]
+    out ^= out >> np.uint64(32)
+    out *= odd
+    return out
+
+
+def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """(gram hash, place) of the anchor of every string of ``length`` bytes.
+    The least hash is looked for by its upper bits with the place below them,
+    so one minimum settles both; pieces of ``PIECE`` starts stay in cache and
+    the result does not depend on where they are cut."""
+    n = len(data) - length + 1
+    wide = length - gram + 1
+    bits = np.uint64((PIECE + wide).bit_length())
+    hashes, places = np.empty(n, np.uint64), np.empty(n, np.int64)
+    for at in range(0, n, PIECE):
+        size = min(PIECE, n - at)
+        own = gram_hashes(data[at:at + size + length - 1], gram)
+        least, done = (own >> bits << bits) | np.arange(len(own), dtype=np.uint64), 1
+        while done < wide:
+            step = min(done, wide - done)
+            least = np.minimum(least[:-step], least[step:])
+            done += step
+        place = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        hashes[at:at + size], places[at:at + size] = own[place], place + at
+    return hashes, places
+
+
+def runs_of(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """(text number, gram hash, first start, starts, anchor - first start) of
+    each run of all ``texts``, which are worked on as one buffer."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum(sizes)
+    hashes, places = anchors(np.frombuffer(b"".join(texts), np.uint8), length, gram)
+    inside = np.ones(len(places), bool)  # strings across two texts are none
+    for end in ends[:-1].tolist():
+        inside[max(0, end - length + 1):end] = False
+    start = np.flatnonzero(inside)
+    place = places[start]
+    # anchors of different texts lie at different places, so no run spans two texts
     first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-    return (hashes[place[first]], first, np.diff(np.concatenate((first, [len(place)]))), place[first] - first)
+    count = np.diff(np.concatenate((first, [len(place)])))
+    start, place = start[first], place[first]
+    which = np.searchsorted(ends, start, side="right")
+    return which, hashes[start], start - (ends - sizes)[which], count, place - start
 
 
 # ------------------------------------------------------------ packed runs
@@ -154,18 +184,19 @@ def packed_runs(rows: DataFrame, buckets: int, length: int = LENGTH, gram: int =
 
         parts, held = [], 0
         for rids, texts in slices(batches):
-            for rid, text in zip(rids, texts):
-                if len(text or b"") < length:
-                    continue
-                g, first, n, off = runs_of(np.frombuffer(text, np.uint8), length, gram)
-                view = memoryview(text)
-                body = np.array([xxhash.xxh64_intdigest(view[a:a + m + length - 1], o)
-                                 for a, m, o in zip(first.tolist(), n.tolist(), off.tolist())], np.uint64)
-                parts.append((g, body, np.full(len(g), rid, np.int64), first, n, off))
-                held += len(g)
-                if held >= RUNS_AT_ONCE:
-                    yield flush(parts)
-                    parts, held = [], 0
+            own = [(rid, text) for rid, text in zip(rids, texts) if len(text or b"") >= length]
+            if not own:
+                continue
+            ids, own = np.array([rid for rid, _ in own], np.int64), [text for _, text in own]
+            which, g, first, n, off = runs_of(own, length, gram)
+            views = [memoryview(text) for text in own]
+            body = np.array([xxhash.xxh64_intdigest(views[w][a:a + m + length - 1], o) for w, a, m, o in
+                             zip(which.tolist(), first.tolist(), n.tolist(), off.tolist())], np.uint64)
+            parts.append((g, body, ids[which], first, n, off))
+            held += len(g)
+            if held >= RUNS_AT_ONCE:
+                yield flush(parts)
+                parts, held = [], 0
         if parts:
             yield flush(parts)
 
@@ -221,14 +252,13 @@ def multikey_quicksort(words: np.ndarray) -> np.ndarray:
     order = np.empty(n, np.int64)
     stack = [(0, np.arange(n), 0)]
     rng = np.random.default_rng(n)
-    raw = words.astype(">u8").tobytes()
-    width = 8 * depth_max
+    whole = np.ascontiguousarray(words.astype(">u8")).view(f"S{8 * depth_max}").reshape(n)
     while stack:
         at, rows, depth = stack.pop()
         size = len(rows)
         if size <= SMALL or depth == depth_max:
             if depth < depth_max and size > 1:
-                rows = np.array(sorted(rows.tolist(), key=lambda r: raw[r * width + 8 * depth:(r + 1) * width]))
+                rows = rows[np.argsort(whole[rows], kind="stable")]
             order[at:at + size] = rows
             continue
         word = words[rows, depth]
