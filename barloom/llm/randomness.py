@@ -3,18 +3,25 @@
 The three base kinds are found by pattern.  Other candidates are runs of
 ``LEAST``+ characters of the usual encodings.  For each, the narrowest encoding
 that holds all its characters is inferred and its symbols are tested for
-uniform randomness in it: chi-squared on symbol counts, Wald-Wolfowitz runs
-about the middle of the alphabet, and lag-one serial correlation.  The three
-p values are combined by Fisher's rule.  Words, identifiers and paths are
-rejected as random by a Benjamini-Hochberg step that runs over all candidates
-of the corpus, apart for each class of lengths because short strings have
-less power; its rate ``RATE`` bounds the share of truly random strings among
-the rejected.  What is not rejected is added as kind ``random``, unless a base
-span covers part of it.
+uniform randomness in it: chi-squared on the counts of single symbols and of
+groups of symbols (vowels, other letters by case, digits, marks), Wald-Wolfowitz
+runs about the middle of the alphabet, and lag-one serial correlation.  The
+four p values are combined by Fisher's rule.
+
+False discoveries are ordinary strings among those reported.  Candidates are
+put in classes by encoding and length, because short strings have less power.
+How p values of truly random strings of a class are distributed is known: the
+battery is run once on ``DRAWS`` generated strings of each class.  The number
+of random strings in a class is bounded by what is found at high p values,
+where ordinary text is rare; what a class holds at lower p values beyond that
+number is ordinary.  A class reports all candidates from the lowest p value
+where the ordinary ones are estimated to be at most ``RATE`` of those reported
+(within two standard deviations of what was counted, and one string).  They are added
+as kind ``random``, unless a base span covers part of them.
 
 All of it is DataFrame functions on the row itself: the only data that leave
 a row are counts of p values in fixed bins, and what comes back is one
-threshold a length class.  Spans are in code points, ends exclusive.
+threshold a class.  A text of many spans costs a binary search for each.  Spans are in code points, ends exclusive.
 
 Defined cases: a null or empty text has no spans; rows with null or repeated
 ids are scanned each on their own; an empty table gives an empty result;
@@ -23,7 +30,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved
@@ -34,14 +41,17 @@ ASSIGN_CHARS = 12
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 
-LEAST = 20
+LEAST = 12
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
 #: (name, pattern, symbols) of the encodings, narrowest first.
 ENCODINGS = [("decimal", r"^[0-9]+$", 10), ("hex", r"^([0-9a-f]+|[0-9A-F]+)$", 16),
              ("letters", r"^([a-z]+|[A-Z]+)$", 26), ("base32", r"^[A-Z2-7]+=*$", 32),
              ("base64", r"", 64)]
-LENGTH_CLASSES = [24, 32, 48, 64, 128]
-RATE = 0.2
+LENGTH_CLASSES = [16, 20, 24, 32, 48, 64, 128]
+LONGEST_DRAWN = 192  # the last class is open; its strings are drawn up to this length
+DRAWS = 500  # generated strings of each encoding and length class
+RATE = 0.2  # ordinary strings among those reported
+SEEN = 0.2  # random strings are counted where at least this share of them lies
 BINS, BIN_STEP = 120, 0.1  # of -log10 p
 BLOCK = 512
 
@@ -125,33 +135,74 @@ def combined_p(item: Column) -> Column:
     """Fisher's combination of the three tests for one ``battery`` struct."""
     n = F.greatest(F.length(item["body"]), F.lit(3)).cast("double")
     x = _symbols(F.transform(F.split(item["body"], ""), lambda c: F.ascii(c)), item["kind"])
-    # the letters' own array is used several times below, so it is bound by a one-element transform
-    return F.transform(F.array(x), lambda x: _tests(x, n, item["size"].cast("double")))[0]
-
-
-def _tests(x: Column, n: Column, size: Column) -> Column:
-    square = F.aggregate(F.array_distinct(x), F.lit(0.0), lambda a, s: a + F.pow(
-        F.size(F.filter(x, lambda y: y == s)).cast("double"), F.lit(2.0)))
-    df = size - 1
-    chi = size / n * square - n
-    z_chi = (F.cbrt(F.greatest(chi, F.lit(0.0)) / df) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-    high = F.transform(x, lambda v: v * 2 >= size)
-    n1 = F.size(F.filter(high, lambda b: b)).cast("double")
-    n2 = n - n1
-    turns = F.size(F.filter(F.zip_with(F.slice(high, 1, F.greatest(F.size(high) - 1, F.lit(1))),
-                                       F.slice(high, 2, F.greatest(F.size(high) - 1, F.lit(1))),
-                                       lambda a, b: a != b), lambda d: d)).cast("double")
-    mean_runs = 2 * n1 * n2 / n + 1
-    spread = F.sqrt((mean_runs - 1) * (mean_runs - 2) / (n - 1))
-    z_runs = F.when(spread > 0, (turns + 1 - mean_runs) / spread).otherwise(F.lit(-8.0))
-    mean = F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / n
-    power = F.aggregate(x, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean))
-    lag = F.aggregate(F.zip_with(F.slice(x, 1, F.greatest(F.size(x) - 1, F.lit(1))),
-                                 F.slice(x, 2, F.greatest(F.size(x) - 1, F.lit(1))),
-                                 lambda a, b: (a - mean) * (b - mean)), F.lit(0.0), lambda a, v: a + v)
-    z_lag = F.when(power > 0, (lag / power + 1 / n) * F.sqrt(n)).otherwise(F.lit(8.0))
-    log_p = F.log(_upper_tail(z_chi)) + F.log(_two_sided(z_runs)) + F.log(_two_sided(z_lag))
-    return F.least(F.lit(1.0), F.exp(log_p) * (1 - log_p + log_p * log_p / 2))
+    return _bound(x, lambda x: _tests(x, n, item["size"].cast("double"), item["kind"]))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once: a plain expression would
+    be worked out again at each place, and for each element inside a lambda."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _grouped(x: Column, n: Column, kind: Column) -> Column:
+    """z of the chi-squared test on groups of symbols."""
+    def vowel(v, first):
+        return v.isin(*[first + i for i in (0, 4, 8, 14, 20)])
+
+    def group(v):
+        return (F.when(kind == "base64", F.when(v >= 62, 4).when(v >= 52, 3).when(vowel(v, 0) | vowel(v, 26), 2)
+                       .when(v >= 26, 1).otherwise(0))
+                .when(kind == "base32", F.when(v >= 26, 2).when(vowel(v, 0), 1).otherwise(0))
+                .when(kind == "letters", F.when(vowel(v, 0), 1).otherwise(0))
+                .when(kind == "hex", F.when(v >= 10, 1).otherwise(0)).otherwise(F.when(v >= 5, 1).otherwise(0)))
+
+    sizes = {"base64": [21, 21, 10, 10, 2], "base32": [21, 5, 6], "letters": [21, 5], "hex": [10, 6], "decimal": [5, 5]}
+    shares = F.array(*[F.lit(c / 10) for c in sizes["decimal"]])
+    for name in ("base64", "base32", "letters", "hex"):
+        shares = F.when(kind == name, F.array(*[F.lit(c / sum(sizes[name])) for c in sizes[name]])).otherwise(shares)
+    groups = F.transform(x, group)
+    def z(v):
+        chi = F.aggregate(F.transform(v["shares"], lambda s, i: F.pow(
+            F.size(F.filter(v["groups"], lambda g: g == i)) - n * s, F.lit(2.0)) / (n * s)),
+            F.lit(0.0), lambda a, c: a + c)
+        df = (F.size(v["shares"]) - 1).cast("double")
+        return (F.cbrt(chi / df) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
+
+    return _bound(F.struct(groups.alias("groups"), shares.alias("shares")), z)
+
+
+def _tests(x: Column, n: Column, size: Column, kind: Column) -> Column:
+    def pairs(values, f):
+        rest = F.greatest(F.size(values) - 1, F.lit(1))
+        return F.zip_with(F.slice(values, 1, rest), F.slice(values, 2, rest), f)
+
+    def total(values):
+        return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+
+    def sums(v):
+        square = F.aggregate(F.array_distinct(x), F.lit(0.0), lambda a, s: a + F.pow(
+            F.size(F.filter(x, lambda y: y == s)).cast("double"), F.lit(2.0)))
+        return F.struct(
+            square.alias("square"),
+            F.size(F.filter(v["high"], lambda b: b)).cast("double").alias("n1"),
+            F.size(F.filter(pairs(v["high"], lambda a, b: a != b), lambda d: d)).cast("double").alias("turns"),
+            total(F.transform(x, lambda y: (y - v["mean"]) * (y - v["mean"]))).alias("power"),
+            total(pairs(x, lambda a, b: (a - v["mean"]) * (b - v["mean"]))).alias("lag"))
+
+    def log_p(v):
+        df = size - 1
+        chi = F.greatest(size / n * v["square"] - n, F.lit(0.0))
+        z_chi = (F.cbrt(chi / df) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
+        mean_runs = 2 * v["n1"] * (n - v["n1"]) / n + 1
+        spread = F.sqrt((mean_runs - 1) * (mean_runs - 2) / (n - 1))
+        z_runs = F.when(spread > 0, (v["turns"] + 1 - mean_runs) / spread).otherwise(F.lit(-8.0))
+        z_lag = F.when(v["power"] > 0, (v["lag"] / v["power"] + 1 / n) * F.sqrt(n)).otherwise(F.lit(8.0))
+        return _bound(F.struct(z_chi.alias("c"), _grouped(x, n, kind).alias("g"), z_runs.alias("r"), z_lag.alias("l")),
+                      lambda z: F.log(_upper_tail(z["c"])) + F.log(_upper_tail(z["g"]))
+                      + F.log(_two_sided(z["r"])) + F.log(_two_sided(z["l"])))
+
+    facts = _bound(F.struct(F.transform(x, lambda v: v * 2 >= size).alias("high"), (total(x) / n).alias("mean")), sums)
+    return _bound(_bound(facts, log_p), lambda q: F.least(F.lit(1.0), F.exp(q) * (1 - q + q * q / 2 - q * q * q / 6)))
 
 
 def length_class(n: Column) -> Column:
@@ -161,6 +212,49 @@ def length_class(n: Column) -> Column:
     return out
 
 
+def class_of(kind: Column, n: Column) -> Column:
+    """Number of the class of an encoding and a length."""
+    place = F.lit(0)
+    for i, (name, _, _) in enumerate(ENCODINGS):
+        place = F.when(kind == name, i).otherwise(place)
+    return place * (len(LENGTH_CLASSES) + 1) + length_class(n)
+
+
+def random_bins(spark) -> DataFrame:
+    """(cls, b, n): the bins of ``DRAWS`` random strings of every class, drawn
+    by hashes, so the same in every run."""
+    lows, highs = [LEAST, *LENGTH_CLASSES], [*LENGTH_CLASSES, LONGEST_DRAWN]
+    rows = spark.range(len(ENCODINGS) * len(lows) * DRAWS, numPartitions=len(ENCODINGS))
+    cls, draw = F.floor(F.col("id") / DRAWS).cast("int"), (F.col("id") % DRAWS).cast("int")
+    part = cls % len(lows)
+    low, high = F.array(*[F.lit(v) for v in lows])[part], F.array(*[F.lit(v) for v in highs])[part]
+    enc = F.floor(cls / len(lows)).cast("int")
+    rows = rows.select("id", cls.alias("cls"), (low + draw % (high - low)).alias("n"),
+                       F.array(*[F.lit(e[0]) for e in ENCODINGS])[enc].alias("kind"),
+                       F.array(*[F.lit(e[2]) for e in ENCODINGS])[enc].alias("size"))
+    x = F.transform(F.sequence(F.lit(1), F.col("n")),
+                    lambda i: F.pmod(F.xxhash64(F.col("id"), i), F.col("size").cast("long")).cast("int"))
+    p = _bound(x, lambda x: _tests(x, F.col("n").cast("double"), F.col("size").cast("double"), F.col("kind")))
+    return rows.select("cls", _bin(p).alias("b")).groupBy("cls", "b").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _touched(c: Column, spans: Column) -> Column:
+    """Whether ``c`` shares a character with one of ``spans``, which are in
+    order and apart: the first that ends after the start of ``c`` is found by
+    halving."""
+    steps = F.sequence(F.lit(0), F.floor(F.log2(F.size(spans) + 1.0)).cast("int"))
+
+    def halve(s, _):
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        left = F.get(spans, mid)["end"] <= c["start"]
+        more = s["lo"] < s["hi"]
+        return F.struct(F.when(more & left, mid + 1).otherwise(s["lo"]).alias("lo"),
+                        F.when(more & ~left, mid).otherwise(s["hi"]).alias("hi"))
+
+    found = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(spans).alias("hi")), halve)["lo"]
+    return (F.size(spans) > 0) & F.coalesce(F.get(spans, found)["start"] < c["end"], F.lit(False))
+
+
 def _labelled(spans: Column, order: int, kind: str) -> Column:
     """Spans that sort by start, then by the order of their kind."""
     return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(order).alias("order"),
@@ -178,14 +272,16 @@ def scanned(docs: DataFrame) -> DataFrame:
                     lambda s: s["n"] >= ASSIGN_CHARS)
     kinds = [_labelled(F.transform(long, lambda s: s["a"]), 0, "assign"),
              _labelled(F.col("access"), 1, "access"), _labelled(F.col("hex"), 2, "hex")]
-    df = df.select("doc_id", F.sort_array(F.concat(*kinds)).alias("base"), "other")
-    free = F.filter("other", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    assigned = F.transform(long, lambda s: s["a"])
+    free = _bound(F.struct(assigned.alias("a"), F.col("access").alias("k"), F.col("hex").alias("h")),
+                  lambda o: F.filter("other", lambda c: ~(_touched(c, o["a"]) | _touched(c, o["k"])
+                                                          | _touched(c, o["h"]))))
     tested = F.transform(F.transform(free, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"),
                                                               battery(c["text"]).alias("t"))),
                          lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"),
-                                            length_class(F.length(c["t"]["body"])).alias("cls"),
+                                            class_of(c["t"]["kind"], F.length(c["t"]["body"])).alias("cls"),
                                             combined_p(c["t"]).alias("p")))
-    return saved(df.select("doc_id", "base", tested.alias("other")))
+    return saved(df.select("doc_id", F.sort_array(F.concat(*kinds)).alias("base"), tested.alias("other")))
 
 
 def _bin(p: Column) -> Column:
@@ -193,18 +289,25 @@ def _bin(p: Column) -> Column:
 
 
 def thresholds(rows: DataFrame, rate: float = RATE) -> DataFrame:
-    """One row: ``cut``, a map from length class to the first bin that is
-    rejected.  In bins counted from the smallest p, the step-up rule rejects
-    down to the last bin whose upper edge is at most rate * (rejected / all)."""
-    bins = (rows.select(F.explode("other").alias("c")).groupBy(F.col("c.cls").alias("cls"), _bin(F.col("c.p")).alias("b"))
-            .agg(F.count(F.lit(1)).alias("n")))  # at most classes x bins rows
-    listed = bins.groupBy("cls").agg(F.collect_list(F.struct("b", "n")).alias("h"), F.sum("n").alias("m"))
-    passes = F.transform("h", lambda x: F.struct(x["b"].alias("b"), (
-        F.pow(F.lit(10.0), -x["b"] * BIN_STEP)
-        <= rate * F.aggregate(F.filter("h", lambda y: y["b"] >= x["b"]), F.lit(0).cast("long"),
-                              lambda a, y: a + y["n"]) / F.col("m")).alias("ok")))
-    cut = listed.select("cls", F.array_min(F.transform(F.filter(passes, lambda x: x["ok"]), lambda x: x["b"])).alias("b"))
-    return cut.agg(F.map_from_entries(F.collect_list(F.struct("cls", F.coalesce("b", F.lit(BINS + 1))))).alias("cut"))
+    """One row: ``cut``, a map from class to the first bin that is not
+    reported.  With R(b) candidates and the share F(b) of random strings in
+    the bins up to ``b``, a class holds at most M = min (R(b) + 2 sqrt R(b) + 1)
+    / F(b) random strings, over the bins with F(b) >= ``SEEN`` (two standard
+    deviations of a count are allowed for); it reports up to the last bin with
+    R(b) - M F(b) <= rate R(b)."""
+    count = F.count(F.lit(1)).alias("n")
+    found = rows.select(F.explode("other").alias("c")).groupBy(F.col("c.cls").alias("cls"), _bin(F.col("c.p")).alias("b"))
+    # at most classes x bins rows on either side
+    both = found.agg(count).select("cls", "b", "n", F.lit(0.0).alias("f")).unionByName(
+        random_bins(rows.sparkSession).select("cls", "b", F.lit(0).cast("long").alias("n"),
+                                              (F.col("n") / DRAWS).alias("f")))
+    steps = Window.partitionBy("cls").orderBy("b")
+    sums = both.groupBy("cls", "b").agg(F.sum("n").alias("n"), F.sum("f").alias("f")).select(
+        "cls", "b", F.sum("n").over(steps).alias("r"), F.sum("f").over(steps).alias("f"))
+    most = F.min(F.when(F.col("f") >= SEEN, (F.col("r") + 2 * F.sqrt("r") + 1) / F.col("f"))).over(Window.partitionBy("cls"))
+    good = sums.withColumn("m", most).where(F.col("r") - F.col("m") * F.col("f") <= rate * F.col("r"))
+    last = good.groupBy("cls").agg((F.max("b") + 1).alias("b"))
+    return last.agg(F.map_from_entries(F.collect_list(F.struct("cls", "b"))).alias("cut"))
 
 
 def _text(spans: Column) -> Column:
@@ -216,7 +319,8 @@ def op4_randomness(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """Counts and spans of every row."""
     rows = scanned(docs)
     limit = thresholds(rows, rate)
-    random = _labelled(F.filter("other", lambda c: _bin(c["p"]) < F.element_at("cut", c["cls"])), 3, "random")
+    random = _labelled(F.filter("other", lambda c: _bin(c["p"]) < F.coalesce(F.try_element_at("cut", c["cls"]),
+                                                                               F.lit(0))), 3, "random")
 
     def count(kind: str) -> Column:
         return F.size(F.filter("base", lambda b: b["kind"] == kind)).cast("long").alias(f"n_{kind}")
