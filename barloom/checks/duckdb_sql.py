@@ -508,6 +508,7 @@ def oracle() -> dict[str, str]:
                            pick(OHLCV, "fl", where="rk <= 100"))
     # the streamed Bronze must equal the batch history assembly
     o["stream_ingest"] = o["pages_dedupe"]
+    o["stream_order"] = o["pages_dedupe"]
     return o
 
 

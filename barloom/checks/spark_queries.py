@@ -421,3 +421,24 @@ QUERIES["axis_limits"] = q_axis_limits
 QUERIES["fetch_limit"] = q_fetch_limit
 QUERIES["gold_summary"] = q_gold_summary
 QUERIES["preview"] = q_preview
+
+
+def q_stream_order(spark, sf):
+    """I1 over three runs of one fetch, later pages landing first: equals the
+    batch assembly as well."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..streaming import ingest
+
+    root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    docs = payload.fixture_pages(bars.lineitem_bars(spark, sf))
+    for part in (2, 1, 0):
+        ingest.land_pages(docs.where(F.col("page_no") % 3 == part), f"{root}/landing")
+        ingest.ingest_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint",
+                             fetch="one").awaitTermination()
+    out = io.read_layer(spark, f"{root}/bronze", BRONZE_SCHEMA)
+    return rnd(out.select(KEY, TS, "open", "high", "low", "close", "volume"))
+
+
+QUERIES["stream_order"] = q_stream_order

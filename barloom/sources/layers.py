@@ -348,6 +348,54 @@ def append_bronze(spark: SparkSession, new: DataFrame, path: str,
             continue
 
 
+PAGE, FETCH = "page_no", "fetch"  # columns of Bronze files that pages were merged into; the layer schemas leave them out
+
+
+def merge_pages(spark: SparkSession, new: DataFrame, path: str, fetch: str) -> int:
+    """A8 over several deliveries of one fetch: the row of the lowest page
+    stays, whichever came first.  A stored row keeps its page and the name of
+    its fetch; it gives way only to a lower page of the same fetch, so rows of
+    earlier fetches (and files without these columns) stay as in A7.  Files
+    that hold no such row are not rewritten.  The same delivery again changes
+    nothing.  Null keys are equal; a null page counts as the last.  Returns
+    the rows added or replaced."""
+    none = F.coalesce(F.col(PAGE), F.lit(2**31 - 1))
+    w = Window.partitionBy(KEY, TS).orderBy(none)
+    new = (new.withColumn(PAGE, none).withColumn("_rk", F.row_number().over(w)).where("_rk = 1").drop("_rk")
+           .withColumn(FETCH, F.lit(fetch)).checkpoint())
+    while True:
+        number, files = files_of(spark, path)
+        met = touched_files(files, new)
+        stored = _scan(spark, path, met, new.schema)
+        body = new_rows_only(stored, new)
+        late = _late_rows(stored, new).checkpoint() if met else None
+        names = set()
+        if late is not None:
+            found = late.select("_file").distinct().collect()  # at most the files met
+            names = {r[0][r[0].rindex(f"/{DATA}/") + 1:] for r in found}
+        again = [f for f in files if f["path"] in names]
+        if again:
+            winners = late.drop("_file")
+            body = body.unionByName(new_rows_only(winners, _scan(spark, path, again, new.schema))).unionByName(winners)
+        added = add_files(body, path)
+        if not added:
+            return 0
+        try:
+            commit(spark, path, number + 1, [f for f in files if f["path"] not in names] + added)
+            return sum(f["rows"] for f in added) - sum(f["rows"] for f in again) + (late.count() if again else 0)
+        except CommitConflict:
+            continue
+
+
+def _late_rows(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of ``new`` with a lower page than the stored row of their key and
+    fetch, and the file that holds it."""
+    old = stored.select(F.col(KEY).alias("_key"), F.col(TS).alias("_ts"), F.col(PAGE).alias("_page"),
+                        F.col(FETCH).alias("_fetch"), F.col("_metadata.file_path").alias("_file"))
+    same = F.col(KEY).eqNullSafe(F.col("_key")) & F.col(TS).eqNullSafe(F.col("_ts")) & (F.col(FETCH) == F.col("_fetch"))
+    return new.join(old, same & (F.col(PAGE) < F.col("_page"))).drop("_key", "_ts", "_page", "_fetch")
+
+
 # ----------------------------------------------------------------- top-k
 def latest(df: DataFrame, n: int = 1, key: str = KEY, ts: str = TS) -> DataFrame:
     """The newest ``n`` rows of every series."""

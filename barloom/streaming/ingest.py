@@ -3,11 +3,11 @@
 Landed page documents (JSON lines, one page per line) are read as a file
 stream with a fixed schema, flattened by the payload scan (A1) and merged
 (lines that are no such document go to a quarantine table beside Bronze)
-into Bronze in ``foreachBatch``: inside a micro-batch the earliest-fetched
-page wins per (series, date); against stored Bronze the stored row wins
-(A7), so only new (series, date) rows are appended.  Pages of one fetch must
-land before the trigger that reads them: over several triggers the rows that
-arrive first stay, whatever their page number.  The stream checkpoint
+into Bronze in ``foreachBatch``: the lowest page of a fetch wins per (series,
+date), over any number of triggers and in whatever order pages land, because
+stored rows keep their page and fetch (``layers.merge_pages``); rows of earlier
+fetches win (A7).  A call of ``ingest_stream`` is one fetch unless calls are
+given the same ``fetch`` name, as a restart after a failure should be.  The stream checkpoint
 records which files were consumed; a replayed batch appends nothing because
 its rows are already stored, and writes its quarantine folder again (one for
 each stream, known by its checkpoint, and batch), so the job survives executor
@@ -17,6 +17,7 @@ and driver loss.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from ..sources import layers, payload
 
 
-def _merge_batch(spark: SparkSession, bronze_path: str, checkpoint_path: str):
+def _merge_batch(spark: SparkSession, bronze_path: str, checkpoint_path: str, fetch: str):
     stream = hashlib.sha256(checkpoint_path.encode()).hexdigest()[:16]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -35,7 +36,7 @@ def _merge_batch(spark: SparkSession, bronze_path: str, checkpoint_path: str):
                 corrupt.write.mode("overwrite").parquet(
                     f"{quarantine_path(bronze_path)}/stream={stream}/batch_id={batch_id}")
             rows = payload.normalize_ohlcv(batch, extra_cols=["page_no"])
-            layers.append_bronze(spark, rows, bronze_path, order_col="page_no")
+            layers.merge_pages(spark, rows, bronze_path, fetch)
         finally:
             batch.unpersist()
     return merge
@@ -46,7 +47,7 @@ def quarantine_path(bronze_path: str) -> str:
 
 
 def ingest_stream(spark: SparkSession, landing_path: str, bronze_path: str,
-                  checkpoint_path: str, max_files_per_trigger: int | None = None):
+                  checkpoint_path: str, max_files_per_trigger: int | None = None, fetch: str | None = None):
     """Start the ingest; with the default ``availableNow`` trigger it
     processes every landed file once and stops.  Returns the query."""
     reader = spark.readStream
@@ -54,7 +55,7 @@ def ingest_stream(spark: SparkSession, landing_path: str, bronze_path: str,
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     pages = payload.parse_pages(reader.text(landing_path))
     return (pages.writeStream
-                 .foreachBatch(_merge_batch(spark, bronze_path, checkpoint_path))
+                 .foreachBatch(_merge_batch(spark, bronze_path, checkpoint_path, fetch or uuid.uuid4().hex))
                  .option("checkpointLocation", checkpoint_path)
                  .trigger(availableNow=True)
                  .start())

@@ -160,7 +160,7 @@ def test_replayed_batch_quarantines_once(spark, tmp_path):
     docs = payload.fixture_pages(bars.lineitem_bars(spark, SF0001).where("series_key = 'A-F'"))
     lines = docs.select(F.to_json(F.struct(*docs.columns)).alias("value"))
     pages = payload.parse_pages(lines.union(spark.createDataFrame([("not a page",), ("{",)], "value string")))
-    merge = ingest._merge_batch(spark, f"{tmp_path}/bronze", f"{tmp_path}/checkpoint")
+    merge = ingest._merge_batch(spark, f"{tmp_path}/bronze", f"{tmp_path}/checkpoint", "one")
     for _ in range(2):
         merge(pages, 0)
         n = spark.read.parquet(ingest.quarantine_path(f"{tmp_path}/bronze")).count()
@@ -172,3 +172,24 @@ def test_replayed_batch_quarantines_once(spark, tmp_path):
 
 def docs_rows(docs):
     return payload.assemble_history(payload.normalize_ohlcv(docs, extra_cols=["page_no"])).count()
+
+
+def test_lowest_page_wins_over_triggers(spark, tmp_path):
+    """Three deliveries, later pages first; the replay and a later fetch change nothing."""
+    path = str(tmp_path / "bronze")
+    io.append_bronze(spark, _bars(spark, [("k", 9.0, 9.0, 9.0, 9.0, 9.0, D[0])]), path)
+
+    def page(no, close, *keys):
+        return _bars(spark, [(k, 1.0, 1.0, 1.0, close, 1.0, d) for k, d in keys]).withColumn("page_no", F.lit(no))
+
+    def stored():
+        return {(r.series_key, r.date): r.close for r in io.read_layer(spark, path, BRONZE_SCHEMA).collect()}
+
+    assert io.merge_pages(spark, page(2, 2.0, ("k", D[0]), ("k", D[1]), (None, D[1]), ("j", None)), path, "f") == 3
+    assert io.merge_pages(spark, page(1, 1.0, ("k", D[1]), ("k", D[2])), path, "f") == 2
+    assert io.merge_pages(spark, page(0, 0.0, (None, D[1]), ("j", None)), path, "f") == 2
+    want = {("k", D[0]): 9.0, ("k", D[1]): 1.0, ("k", D[2]): 1.0, (None, D[1]): 0.0, ("j", None): 0.0}
+    assert stored() == want
+    assert io.merge_pages(spark, page(1, 1.0, ("k", D[1]), ("k", D[2])), path, "f") == 0
+    assert io.merge_pages(spark, page(0, 5.0, *want), path, "later") == 0
+    assert stored() == want and io.read_layer(spark, path, BRONZE_SCHEMA).count() == 5
