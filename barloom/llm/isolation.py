@@ -2,17 +2,19 @@
 
 Every document gets a vector of rule statistics, unrounded: words, mean word
 length, shares of duplicate lines and repeated words, shares of symbols and
-other marks.  Random trees cut a bounded sample of the vectors at random
-places; anomalous documents are cut off after few cuts, so their mean path is
+other marks.  Random trees cut the vectors of all rows at random places; anomalous documents
+are cut off after few cuts or are left with few others, so their mean path is
 short.  The score is ``2 ** (-path / c)``.  One forest cuts all statistics, and
 each statistic has a forest of its own, so that a document that is unusual in
 one of them alone does not pass for being ordinary in the others.  The cut-offs
 are calibrated on labelled rows: each forest may reject an equal part of
 ``FALSE_SHARE`` of the rows labelled good.
 
-The forests read ``TREES * TREE_ROWS / 4`` rows, chosen by hash; the
-calibration reads ``LABELLED`` hash-chosen labelled rows at most.  Statistics
-and scores cover all documents, and whole texts.
+Nothing is sampled.  Trees grow ``HEIGHT`` levels, each by one pass over the
+rows that pass the base rule: tasks count the rows of every node and find their
+ranges, and the driver gets these figures only, of at most ``2 ** level`` nodes
+a tree.  The cut-offs are order statistics of all rows labelled good that labels
+may be learnt from, by refining selection.
 
 Defined cases: a null or empty text has no words and fails the base rule;
 without good labels only the forest of all statistics counts, with ``DEFAULT_CUT``; repeated rows are scored
@@ -29,7 +31,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample, map_batches, saved, slices, training_row
+from ..operators import quantiles
+from .common import map_batches, saved, slices, training_row
 
 # Fixed values of the contract.
 WINDOW_WORDS, LEAST_WORDS, REPEAT_PERCENT = 5, 10, 20
@@ -37,8 +40,7 @@ SYMBOLS = re.compile(r"[#*$%&|<>]")
 
 MARKS = re.compile(r"[!?@=+~^_\\/{}\[\]]")
 
-TREES, OWN_TREES, TREE_ROWS, LABELLED = 100, 20, 256, 20_000
-OWN_MARGIN = 0.5
+TREES, OWN_TREES, HEIGHT = 100, 20, 8
 FALSE_SHARE, DEFAULT_CUT = 0.005, 0.75
 split_words = re.compile(r"[^\x20\x09-\x0D]+").findall
 has_word = re.compile(r"[^\x20\x09-\x0D]").search
@@ -101,76 +103,155 @@ def vectors(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), work, f"doc_id {kind}, {counts}, stats array<double>")
 
 
+def mean_path(n: np.ndarray) -> np.ndarray:
+    """The mean path that cuts one by one would still take in ``n`` rows."""
+    more = np.maximum(n, 3).astype(float)
+    far = 2 * (np.log(more - 1) + 0.5772156649) - 2 * (more - 1) / more
+    return np.where(n < 2, 0.0, np.where(n == 2, 1.0, far))
+
+
 class Forest:
-    """Random trees as flat arrays: feature (-1: leaf), cut, left child, and at
-    leaves the path length with the usual allowance for rows left uncut."""
-
-    def __init__(self, rows: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, seed: int = 11,
-                 margin: float = 0.0):
-        """``margin``: cuts fall outside the rows' range too, by this share of
-        it, so that values beyond all rows of the sample are cut off sooner."""
-        self.margin = margin
-        rng = np.random.default_rng(seed)
-        self.norm = self.mean_path(min(tree_rows, max(2, len(rows))))
-        self.trees = []
-        for _ in range(trees if len(rows) else 0):
-            pick = rng.choice(len(rows), min(tree_rows, len(rows)), replace=False)
-            self.trees.append(self._grow(rows[pick], rng, int(np.ceil(np.log2(max(2, tree_rows))))))
-
-    @staticmethod
-    def mean_path(n: int) -> float:
-        return 0.0 if n < 2 else 1.0 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
-
-    def _grow(self, rows: np.ndarray, rng, limit: int) -> tuple:
-        feature, cut, left, path = [-1], [0.0], [0], [0.0]
-        todo = [(0, rows, 0)]
-        while todo:
-            node, x, depth = todo.pop()
-            wide = np.flatnonzero(x.max(axis=0) > x.min(axis=0)) if len(x) > 1 else []
-            if self.margin and len(x) and not depth and not len(wide):
-                wide = np.arange(x.shape[1])  # constant in the sample: other values are still cut off
-            if depth == limit or not len(wide):
-                path[node] = depth + self.mean_path(len(x))
+    """Random trees as tables (tree, node): feature (-1: leaf), cut, and at
+    leaves the path length with the usual allowance for rows left uncut.  The
+    children of node i are 2i + 1 and 2i + 2.
+
+    Trees grow a level at a time: ``measure`` counts rows in the nodes of the
+    level and finds their least and largest statistics, which may be done in
+    parts; ``grow`` cuts the nodes between them.  ``rows``: grow on these at once.
+    """
+
+    def __init__(self, rows: np.ndarray | None = None, trees: int = TREES, seed: int = 11,
+                 columns: list[int] | None = None):
+        self.columns = list(range(rows.shape[1])) if columns is None else columns
+        self.trees, self.seed, self.norm = trees, seed, 0.0
+        nodes = 2 ** (HEIGHT + 1) - 1
+        self.feature, self.cut = np.full((trees, nodes), -1, np.int8), np.zeros((trees, nodes))
+        self.path = np.tile(np.floor(np.log2(np.arange(nodes) + 1)), (trees, 1))
+        if rows is not None and len(rows):
+            for level in range(HEIGHT + 1):
+                self.grow(level, *self.measure(rows, level))
+
+    def nodes(self, x: np.ndarray, tree: int, levels: int = HEIGHT) -> np.ndarray:
+        """The node of every row after ``levels`` cuts, or the leaf above."""
+        node, every = np.zeros(len(x), np.int32), np.arange(len(x))
+        feature, cut = self.feature[tree], self.cut[tree]
+        for _ in range(levels):
+            f = feature[node]
+            inner = f >= 0
+            if not inner.any():
+                break
+            right = x[every, np.maximum(f, 0)] > cut[node]
+            node = np.where(inner, 2 * node + 1 + right, node)
+        return node
+
+    def measure(self, x: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(tree, node of the level): rows, least and largest statistics."""
+        x = x[:, self.columns] if len(self.columns) < x.shape[1] else x
+        n = np.zeros((self.trees, 2 ** level), np.int64)
+        low = np.full((*n.shape, x.shape[1]), np.inf)
+        high = -low
+        for tree in range(self.trees):
+            at = self.nodes(x, tree, level) - (2 ** level - 1)
+            order = np.argsort(at, kind="stable")
+            order = order[np.searchsorted(at[order], 0):]  # without rows in leaves above
+            if not len(order):
                 continue
-            f = int(rng.choice(wide))
-            low, high = x[:, f].min(), x[:, f].max()
-            more = self.margin * (high - low or 1.0)
-            at = rng.uniform(low - more, high + more)
-            feature[node], cut[node], left[node] = f, at, len(feature)
-            left_side = x[:, f] <= at
-            for side in (left_side, ~left_side):
-                todo.append((len(feature), x[side], depth + 1))
-                feature.append(-1)
-                cut.append(0.0)
-                left.append(0)
-                path.append(0.0)
-        return np.array(feature), np.array(cut), np.array(left), np.array(path)
+            found, first = np.unique(at[order], return_index=True)
+            n[tree, found] = np.diff(np.append(first, len(order)))
+            low[tree, found] = np.minimum.reduceat(x[order], first, axis=0)
+            high[tree, found] = np.maximum.reduceat(x[order], first, axis=0)
+        return n, low, high
+
+    def grow(self, level: int, n: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+        """Cut the nodes of a level, given the figures of all rows."""
+        if not level:
+            self.norm = float(mean_path(n[0, 0]))
+        at = slice(2 ** level - 1, 2 ** (level + 1) - 1)
+        varied = high > low
+        wide = varied.sum(axis=2)
+        self.path[:, at] = level + mean_path(n)
+        if level == HEIGHT:
+            return
+        which, where = np.random.default_rng([self.seed, level]).random((2, *n.shape))
+        # the feature whose place among the varied ones was drawn
+        f = (varied.cumsum(axis=2) > (which * wide).astype(int)[..., None]).argmax(axis=2)
+        split = wide > 0
+        least, most = (np.where(split, np.take_along_axis(v, f[..., None], axis=2)[..., 0], 0.0) for v in (low, high))
+        self.feature[:, at] = np.where(split, f, -1)
+        self.cut[:, at] = least + where * (most - least)
 
     def score(self, x: np.ndarray) -> np.ndarray:
+        x = x[:, self.columns] if len(self.columns) < x.shape[1] else x
         total = np.zeros(len(x))
-        every = np.arange(len(x))
-        for feature, cut, left, path in self.trees:
-            node = np.zeros(len(x), np.int64)
-            while True:
-                f = feature[node]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                right = x[every, np.maximum(f, 0)] > cut[node]
-                node = np.where(inner, left[node] + right, node)
-            total += path[node]
-        return 2 ** (-total / max(1, len(self.trees)) / max(self.norm, 1e-9))
+        for tree in range(self.trees):
+            total += self.path[tree][self.nodes(x, tree)]
+        return 2 ** (-total / self.trees / max(self.norm, 1e-9))
 
 
 class Forests:
     """A forest over all statistics, then one for each statistic."""
 
-    def __init__(self, rows: np.ndarray):
-        self.all = Forest(rows)
-        self.own = [Forest(rows[:, [i]], OWN_TREES, seed=12 + i, margin=OWN_MARGIN) for i in range(rows.shape[1])]
+    def __init__(self, rows: np.ndarray | None = None):
+        self.all = Forest(rows, columns=list(range(len(STATS))))
+        self.own = [Forest(rows, OWN_TREES, seed=12 + i, columns=[i]) for i in range(len(STATS))]
+
+    def each(self) -> list[Forest]:
+        return [self.all, *self.own]
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return np.stack([self.all.score(x), *(f.score(x[:, [i]]) for i, f in enumerate(self.own))], axis=1)
+        return np.stack([f.score(x) for f in self.each()], axis=1)
+
+
+def grown(rows: DataFrame) -> Forests:
+    """Forests over the ``stats`` of all rows; the same as ``Forests(array)``."""
+    forests = Forests()
+    for level in range(HEIGHT + 1):
+        found = measured(rows, forests, level).toArrow()
+        if not found.num_rows:
+            break
+        cols = {c: found.column(c).to_numpy() for c in found.column_names}
+        for i, forest in enumerate(forests.each()):
+            mine = cols["forest"] == i
+            at = cols["tree"][mine], cols["node"][mine]
+            n = np.zeros((forest.trees, 2 ** level), np.int64)
+            low = np.full((*n.shape, len(forest.columns)), np.inf)
+            high = -low
+            n[at] = cols["n"][mine]
+            for k in range(len(forest.columns)):
+                low[*at, k], high[*at, k] = cols[f"low{k}"][mine], cols[f"high{k}"][mine]
+            forest.grow(level, n, low, high)
+    return forests
+
+
+def measured(rows: DataFrame, forests: Forests, level: int) -> DataFrame:
+    """The figures of ``Forest.measure`` over all rows, a row a node: each task
+    gives those of its rows, which are added up by node."""
+    lows, highs = ([f"{side}{k}" for k in range(len(STATS))] for side in ("low", "high"))
+
+    def work(batches):
+        total = None
+        for (stats,) in slices(batches):
+            x = np.array(stats)
+            new = [f.measure(x, level) for f in forests.each()]
+            total = new if total is None else [
+                (n + m, np.minimum(low, least), np.maximum(high, most))
+                for (n, low, high), (m, least, most) in zip(total, new)]
+        for i, (n, low, high) in enumerate(total or []):
+            tree, node = np.nonzero(n)
+            out = {"forest": [i] * len(tree), "tree": tree, "node": node, "n": n[tree, node]}
+            for names, v in ((lows, low), (highs, high)):
+                out |= {c: v[tree, node, k] if k < v.shape[2] else [None] * len(tree) for k, c in enumerate(names)}
+            yield out
+
+    doubles = ", ".join(f"{c} double" for c in lows + highs)
+    parts = map_batches(rows.select("stats"), work, f"forest int, tree int, node int, n long, {doubles}")
+    return parts.groupBy("forest", "tree", "node").agg(
+        F.sum("n").alias("n"), *[F.min(c).alias(c) for c in lows], *[F.max(c).alias(c) for c in highs])
+
+
+def cut_place(n: int, k: int) -> int:
+    """The place of the cut-off of one of ``k`` forests among ``n`` good rows."""
+    return min(n - 1, int(n * (1 - FALSE_SHARE / k)))
 
 
 def cuts(good: np.ndarray) -> np.ndarray:
@@ -178,7 +259,21 @@ def cuts(good: np.ndarray) -> np.ndarray:
     n, k = good.shape
     if not n:
         return np.array([DEFAULT_CUT] + [1.0] * (k - 1))  # no score is above 1
-    return np.sort(good, axis=0)[min(n - 1, int(n * (1 - FALSE_SHARE / k)))]
+    return np.sort(good, axis=0)[cut_place(n, k)]
+
+
+def exact_cuts(good: DataFrame) -> np.ndarray:
+    """``cuts`` of stored ``scores`` of any number of rows."""
+    k = 1 + len(STATS)
+    n = good.count()
+    if not n:
+        return cuts(np.zeros((0, k)))
+    names = [f"s{i}" for i in range(k)]
+    scores = good.select(*[F.col("scores")[i].alias(c) for i, c in enumerate(names)])
+    # a quarter of the way to the next larger score, whichever way the share is rounded
+    share = min(1.0, (cut_place(n, k) + 0.25) / max(1, n - 1))
+    near = {r["column"]: r.p0 for r in quantiles.exact_percentiles_of(scores, names, [share]).collect()}
+    return np.array(scores.agg(*[F.max(F.when(F.col(c) <= near[c], F.col(c))) for c in names]).first())
 
 
 def base_failed() -> Column:
@@ -200,13 +295,10 @@ def scored(rows: DataFrame, forest: Forests) -> DataFrame:
 def op8_isolation_forest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Base counts and verdict of every row."""
     rows = saved(vectors(docs))
-    sample = hash_sample(rows.where(~base_failed()).select("doc_id", "stats"), TREES * TREE_ROWS // 4)
-    forest = Forests(np.array(sorted(r.stats for r in sample.select("stats").collect())).reshape(-1, len(STATS)))
-    rows = saved(scored(rows, forest))
-    good = (labels.where("quality = 1").select("doc_id").where(training_row()).distinct()
-            .join(rows.where(~base_failed()), "doc_id").select("doc_id", "scores"))
-    known = np.array([r.scores for r in hash_sample(good, LABELLED).collect()]).reshape(-1, 1 + len(STATS))
-    limits = F.array(*[F.lit(float(c)) for c in cuts(known)])
+    rows = saved(scored(rows, grown(rows.where(~base_failed()))))
+    good = saved(labels.where("quality = 1").select("doc_id").where(training_row()).distinct()
+                 .join(rows.where(~base_failed()), "doc_id").select("scores"))
+    limits = F.array(*[F.lit(float(c)) for c in exact_cuts(good)])
     over = F.array_max(F.zip_with("scores", limits, lambda s, c: s - c))
     return rows.select("doc_id", *BASE, base_failed().alias("base_failed"),
                        (~base_failed() & (over <= 0)).alias("kept"), over.alias("anomaly"))

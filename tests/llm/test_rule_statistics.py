@@ -1,5 +1,7 @@
 """The forest sees every rule statistic, also in small shares."""
 
+import zlib
+
 import numpy as np
 import pytest
 
@@ -46,3 +48,28 @@ def test_shares_are_not_rounded():
 def test_cuts_bound_rejected_good_rows():
     scores = np.random.default_rng(1).random((5000, 11))
     assert (scores > isolation.cuts(scores)).any(axis=1).mean() <= isolation.FALSE_SHARE
+
+
+def test_nothing_is_sampled(spark):
+    """Forests and cut-offs come from all rows, also of more than were once read."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join("ab#!c"[:k] * m for k, m in zip(rng.integers(1, 6, n), rng.integers(1, 4, n)))
+             for n in rng.integers(8, 25, 26_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 10 > 0 AS int) AS quality")
+    got = isolation.op8_isolation_forest(docs, labels).collect()
+    assert len(got) == len(texts)
+    fed = {r.doc_id for r in got if not r.base_failed}
+    x = {i: isolation.statistics(texts[i])[1] for i in sorted(fed)}
+    score = dict(zip(x, isolation.Forests(np.array(list(x.values()))).score(np.array(list(x.values())))))
+    cut = isolation.cuts(np.array([s for i, s in score.items() if i % 10 and zlib.crc32(str(i).encode()) % 5]))
+    assert {r.doc_id: r.kept for r in got} == {i: i in fed and bool((score[i] <= cut).all()) for i in range(len(texts))}
+    assert all(r.anomaly == (score[r.doc_id] - cut).max() for r in got if r.doc_id in fed)
+
+
+def test_cuts_of_stored_scores(spark):
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 2, 9, 3000):
+        scores = np.round(rng.random((n, 1 + len(isolation.STATS))), 2)  # many equal ones
+        rows = spark.createDataFrame([(s.tolist(),) for s in scores], "scores array<double>")
+        assert isolation.exact_cuts(rows).tolist() == isolation.cuts(scores).tolist()
