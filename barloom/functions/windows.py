@@ -7,11 +7,24 @@ spec, so a whole Silver -> Gold chain plans with one Exchange.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..schemas import KEY, TS
 
+TASK_ROWS = 250_000  # aimed-at rows of one task; every sort of a chain of windows holds its task's rows
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df``, of at most ``rows`` rows, dealt by a hash of ``keys`` to so many
+    tasks that one has about ``TASK_ROWS`` rows, whatever the size of the
+    input.  Aggregates and windows on the keys move no rows again.  Small
+    frames stay as they are."""
+    if rows <= TASK_ROWS:
+        return df
+    tasks = max(-(-rows // TASK_ROWS), df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *keys)
+
 
 def series(key: str = KEY, ts: str = TS) -> WindowSpec:
     """Rows of one series in time order."""

@@ -2,9 +2,13 @@
 
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.functions import windows as W
 from barloom.plans import layers
 from barloom.sources import bars
-from conftest import SF0001
+from conftest import SF001, SF0001
 
 
 def _plan(df) -> str:
@@ -40,3 +44,21 @@ def test_bars_are_a_hash_aggregate(spark):
     for source in (bars.lineitem_bars, bars.supplier_bars, bars.event_bars):
         plan = source(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
         assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def _largest_part(df) -> int:
+    return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+@pytest.mark.parametrize("layer", [layers.silver, lambda b: layers.gold(layers.silver(b))], ids=["silver", "gold"])
+def test_more_series_more_tasks(spark, monkeypatch, layer):
+    def rows():
+        return layer(bars.text_bars(spark, SF001, bars.supplier_bars))
+
+    plain = rows()
+    monkeypatch.setattr(W, "TASK_ROWS", 2000, raising=False)
+    many = rows()
+    assert _largest_part(many) <= 3 * 2000 < _largest_part(plain)
+    assert many.exceptAll(plain).isEmpty() and many.count() == plain.count()
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\), (\w+)", _plan(many))
+    assert len(exchanges) == 2 and all(kind == "REPARTITION_BY_NUM" for _, kind in exchanges), exchanges
