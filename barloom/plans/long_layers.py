@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import windows as W
 from ..operators import clean, features, indicators, long_series, scan, segments
 from ..schemas import (KEY, MA_WINDOWS, MACD_FAST, MACD_SIGNAL, MACD_SLOW, NUMERIC_COLS, PIPELINE_MAX_LAG, PRICE_COLS,
                        TS)
@@ -75,23 +76,29 @@ def pipeline_features(gold_df: DataFrame, max_lag: int = PIPELINE_MAX_LAG, key:
 
 
 # ------------------------------------------------------------- which of both
-def longest_series(df: DataFrame, key: str = KEY) -> int:
-    """Rows of the longest series (a scan of one column of a stored layer)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+def series_rows(df: DataFrame, key: str = KEY) -> tuple[int, int]:
+    """Rows of the longest series and of all (a scan of one column of a stored
+    layer)."""
+    n = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return tuple(x or 0 for x in n.agg(F.max("n"), F.sum("n")).first())
 
 
 def build_silver(bronze: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
-    """L1: one window partition a series while all are short, else segments."""
-    return silver(bronze, key, ts) if longest_series(bronze, key) > SERIES_ROWS else layers.silver(bronze, key, ts)
+    """L1: one window partition a series while all are short, dealt to as many
+    tasks as the layer needs; else segments."""
+    longest, rows = series_rows(bronze, key)
+    return silver(bronze, key, ts) if longest > SERIES_ROWS else layers.silver(W.dealt(bronze, rows, key), key, ts)
 
 
 def build_gold(silver_df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
     """L2: as ``build_silver``."""
-    return gold(silver_df, key, ts) if longest_series(silver_df, key) > SERIES_ROWS else layers.gold(silver_df, key, ts)
+    longest, rows = series_rows(silver_df, key)
+    return gold(silver_df, key, ts) if longest > SERIES_ROWS else layers.gold(W.dealt(silver_df, rows, key), key, ts)
 
 
 def build_features(gold_df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
     """L3 rows: as ``build_silver``."""
-    if longest_series(gold_df, key) > SERIES_ROWS:
+    longest, rows = series_rows(gold_df, key)
+    if longest > SERIES_ROWS:
         return pipeline_features(gold_df, key=key, ts=ts)
-    return features.pipeline_features(gold_df, key=key, ts=ts)
+    return features.pipeline_features(W.dealt(gold_df, rows, key), key=key, ts=ts)

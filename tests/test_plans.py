@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.functions import windows as W
-from barloom.plans import layers
+from barloom.plans import layers, long_layers
 from barloom.sources import bars
 from conftest import SF001, SF0001
 
@@ -62,3 +62,9 @@ def test_more_series_more_tasks(spark, monkeypatch, layer):
     assert many.exceptAll(plain).isEmpty() and many.count() == plain.count()
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\), (\w+)", _plan(many))
     assert len(exchanges) == 2 and all(kind == "REPARTITION_BY_NUM" for _, kind in exchanges), exchanges
+
+
+def test_stored_layers_are_dealt(spark, monkeypatch):
+    b = bars.supplier_bars(spark, SF001)
+    monkeypatch.setattr(W, "TASK_ROWS", 2000, raising=False)
+    assert _largest_part(long_layers.build_silver(b)) <= 3 * 2000
