@@ -14,7 +14,9 @@ Nothing is sampled.  Trees grow ``HEIGHT`` levels, each by one pass over the
 rows that pass the base rule: tasks count the rows of every node and find their
 ranges, and the driver gets these figures only, of at most ``2 ** level`` nodes
 a tree.  The cut-offs are order statistics of all rows labelled good that labels
-may be learnt from, by refining selection.
+may be learnt from, by refining selection.  Only scored rows are written to the
+shared folder; what is read several times before that is kept on the executors'
+disks for as long, and made again from the texts where one is lost.
 
 Defined cases: a null or empty text has no words and fails the base rule;
 without good labels only the forest of all statistics counts, with ``DEFAULT_CUT``; repeated rows are scored
@@ -28,10 +30,10 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import quantiles
 from .common import map_batches, saved, slices, training_row
 
 # Fixed values of the contract.
@@ -42,6 +44,7 @@ MARKS = re.compile(r"[!?@=+~^_\\/{}\[\]]")
 
 TREES, OWN_TREES, HEIGHT = 100, 20, 8
 FALSE_SHARE, DEFAULT_CUT = 0.005, 0.75
+PARTS = 1024  # of a range of scores, counted in one pass
 split_words = re.compile(r"[^\x20\x09-\x0D]+").findall
 has_word = re.compile(r"[^\x20\x09-\x0D]").search
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -263,17 +266,34 @@ def cuts(good: np.ndarray) -> np.ndarray:
 
 
 def exact_cuts(good: DataFrame) -> np.ndarray:
-    """``cuts`` of stored ``scores`` of any number of rows."""
+    """``cuts`` of stored ``scores`` of any number of rows, by refining
+    selection: a pass counts the rows in ``PARTS`` parts of each forest's range,
+    and the part that holds the cut-off is the next range.  The least and the
+    largest score of a range never stay together, so ranges shrink to one value;
+    the driver gets the figures of the parts only."""
     k = 1 + len(STATS)
-    n = good.count()
+    score = [F.col("scores")[i] for i in range(k)]
+    n, *ends = good.agg(F.count(F.lit(1)), *map(F.min, score), *map(F.max, score)).first()
     if not n:
         return cuts(np.zeros((0, k)))
-    names = [f"s{i}" for i in range(k)]
-    scores = good.select(*[F.col("scores")[i].alias(c) for i, c in enumerate(names)])
-    # a quarter of the way to the next larger score, whichever way the share is rounded
-    share = min(1.0, (cut_place(n, k) + 0.25) / max(1, n - 1))
-    near = {r["column"]: r.p0 for r in quantiles.exact_percentiles_of(scores, names, [share]).collect()}
-    return np.array(scores.agg(*[F.max(F.when(F.col(c) <= near[c], F.col(c))) for c in names]).first())
+    low, high = np.array(ends).reshape(2, k)
+    place = [cut_place(n, k)] * k  # of the cut-off in its range
+    while (low < high).any():
+        items = F.array(*[F.struct(F.lit(i).alias("c"), score[i].alias("x"), F.lit(float(low[i])).alias("lo"),
+                                   F.lit(float(high[i])).alias("hi")) for i in range(k) if low[i] < high[i]])
+        part = F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * PARTS), F.lit(PARTS - 1))
+        found = good.select(F.inline(items)).where("x >= lo AND x <= hi").groupBy("c", part.alias("part")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high")).collect()
+        passed = set()
+        for r in sorted(found, key=lambda r: (r.c, r.part)):
+            if r.c in passed:
+                continue
+            if place[r.c] < r.n:
+                low[r.c], high[r.c] = r.low, r.high
+                passed.add(r.c)
+            else:
+                place[r.c] -= r.n
+    return low
 
 
 def base_failed() -> Column:
@@ -294,11 +314,17 @@ def scored(rows: DataFrame, forest: Forests) -> DataFrame:
 
 def op8_isolation_forest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Base counts and verdict of every row."""
-    rows = saved(vectors(docs))
-    rows = saved(scored(rows, grown(rows.where(~base_failed()))))
-    good = saved(labels.where("quality = 1").select("doc_id").where(training_row()).distinct()
-                 .join(rows.where(~base_failed()), "doc_id").select("scores"))
-    limits = F.array(*[F.lit(float(c)) for c in exact_cuts(good)])
+    plain = vectors(docs).persist(StorageLevel.DISK_ONLY)
+    try:
+        rows = saved(scored(plain, grown(plain.where(~base_failed()))))
+    finally:
+        plain.unpersist()
+    good = (labels.where("quality = 1").select("doc_id").where(training_row()).distinct()
+            .join(rows.where(~base_failed()), "doc_id").select("scores").persist(StorageLevel.DISK_ONLY))
+    try:
+        limits = F.array(*[F.lit(float(c)) for c in exact_cuts(good)])
+    finally:
+        good.unpersist()
     over = F.array_max(F.zip_with("scores", limits, lambda s, c: s - c))
     return rows.select("doc_id", *BASE, base_failed().alias("base_failed"),
                        (~base_failed() & (over <= 0)).alias("kept"), over.alias("anomaly"))

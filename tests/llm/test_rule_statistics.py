@@ -1,12 +1,13 @@
 """The forest sees every rule statistic, also in small shares."""
 
+import os
 import zlib
 
 import numpy as np
 import pytest
 
 from barloom.llm import isolation
-from barloom.llm.common import read_table
+from barloom.llm.common import read_table, shared_folder
 
 SF = "/root/testdata/sf0.01"
 
@@ -73,3 +74,24 @@ def test_cuts_of_stored_scores(spark):
         scores = np.round(rng.random((n, 1 + len(isolation.STATS))), 2)  # many equal ones
         rows = spark.createDataFrame([(s.tolist(),) for s in scores], "scores array<double>")
         assert isolation.exact_cuts(rows).tolist() == isolation.cuts(scores).tolist()
+
+
+def test_only_scored_rows_are_stored(spark):
+    """One file for each part of the table in the shared folder, and nothing kept on the executors."""
+    def found():
+        return {os.path.join(at, f) for at, _, files in os.walk(shared_folder(spark)) for f in files if f.startswith("part-")}
+
+    docs = read_table(spark, SF, "documents").repartition(3)
+    stored, kept = found(), spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    rows = isolation.op8_isolation_forest(docs, read_table(spark, SF, "labels"))
+    assert len(found() - stored) == 3
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() <= kept
+    assert rows.count() == docs.count()
+
+
+def test_cuts_of_close_scores(spark):
+    """Scores that differ in the last digits only, next to far ones."""
+    x = np.concatenate([0.5 + np.arange(2500) * 2.0 ** -53, [0.1, 0.9]])
+    scores = np.stack([np.roll(x, i) for i in range(1 + len(isolation.STATS))], axis=1)
+    rows = spark.createDataFrame([(s.tolist(),) for s in scores], "scores array<double>")
+    assert isolation.exact_cuts(rows).tolist() == isolation.cuts(scores).tolist()
