@@ -16,7 +16,8 @@ ranges, and the driver gets these figures only, of at most ``2 ** level`` nodes
 a tree.  The cut-offs are order statistics of all rows labelled good that labels
 may be learnt from, by refining selection.  Only scored rows are written to the
 shared folder; what is read several times before that is kept on the executors'
-disks for as long, and made again from the texts where one is lost.
+disks for as long, and made again from the texts where one is lost.  Tasks and
+files after the texts follow the number of rows, not the partitions of the input.
 
 Defined cases: a null or empty text has no words and fails the base rule;
 without good labels only the forest of all statistics counts, with ``DEFAULT_CUT``; repeated rows are scored
@@ -45,6 +46,7 @@ MARKS = re.compile(r"[!?@=+~^_\\/{}\[\]]")
 TREES, OWN_TREES, HEIGHT = 100, 20, 8
 FALSE_SHARE, DEFAULT_CUT = 0.005, 0.75
 PARTS = 1024  # of a range of scores, counted in one pass
+TASK_ROWS = 10_000  # a task of the passes over statistics; each gives figures of its own for every node
 split_words = re.compile(r"[^\x20\x09-\x0D]+").findall
 has_word = re.compile(r"[^\x20\x09-\x0D]").search
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -316,7 +318,8 @@ def op8_isolation_forest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Base counts and verdict of every row."""
     plain = vectors(docs).persist(StorageLevel.DISK_ONLY)
     try:
-        rows = saved(scored(plain, grown(plain.where(~base_failed()))))
+        few = plain.coalesce(max(1, -(-plain.count() // TASK_ROWS)))
+        rows = saved(scored(few, grown(few.where(~base_failed()))))
     finally:
         plain.unpersist()
     good = (labels.where("quality = 1").select("doc_id").where(training_row()).distinct()

@@ -77,14 +77,15 @@ def test_cuts_of_stored_scores(spark):
 
 
 def test_only_scored_rows_are_stored(spark):
-    """One file for each part of the table in the shared folder, and nothing kept on the executors."""
+    """One file for ``TASK_ROWS`` rows in the shared folder, and nothing kept on the executors."""
     def found():
         return {os.path.join(at, f) for at, _, files in os.walk(shared_folder(spark)) for f in files if f.startswith("part-")}
 
-    docs = read_table(spark, SF, "documents").repartition(3)
+    docs = read_table(spark, SF, "documents").repartition(6)
+    assert docs.count() <= isolation.TASK_ROWS
     stored, kept = found(), spark.sparkContext._jsc.sc().getPersistentRDDs().size()
     rows = isolation.op8_isolation_forest(docs, read_table(spark, SF, "labels"))
-    assert len(found() - stored) == 3
+    assert len(found() - stored) == 1
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() <= kept
     assert rows.count() == docs.count()
 
