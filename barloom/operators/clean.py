@@ -39,11 +39,13 @@ def coerce_types(df: DataFrame, ts: str = TS) -> DataFrame:
 
 def fill_missing(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
     """Drop rows without a date; per series forward-fill then
-    backward-fill each numeric column; drop rows still missing a numeric."""
-    w, wd = W.series(key, ts), W.series_desc(key, ts)
+    backward-fill each numeric column; drop rows still missing a numeric.
+    What is left for the backward fill lies before the first value of the
+    series and takes that one."""
+    w, all_ = W.series(key, ts), W.whole(key, ts)
     cols = [c for c in NUMERIC_COLS if c in df.columns]
     filled = df.where(F.col(ts).isNotNull()).withColumns(
-        {c: F.coalesce(W.ffill(c, w), W.bfill(c, wd)) for c in cols})
+        {c: F.coalesce(W.ffill(c, w), F.first(F.col(c), ignorenulls=True).over(all_)) for c in cols})
     return filled.dropna(subset=cols)
 
 
@@ -58,8 +60,14 @@ def iqr_bounds(df: DataFrame, cols: list[str] = PRICE_COLS, key: str = KEY,
         "*", (F.col("q1") - IQR_K * spread).alias("lower"), (F.col("q3") + IQR_K * spread).alias("upper"))
 
 
-def _fences(c: str, key: str):
-    q = F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.75))).over(W.whole(key))
+def _quartiles(cols: list[str], key: str, ts: str | None = None) -> dict[str, Column]:
+    """``_q_<c>``: Q1 and Q3, to be columns of their own before ``_fences``
+    reads them, or each mention of one is a percentile to compute."""
+    return {f"_q_{c}": F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.75))).over(W.whole(key, ts)) for c in cols}
+
+
+def _fences(c: str) -> tuple[Column, Column]:
+    q = F.col(f"_q_{c}")
     return q[0] - IQR_K * (q[1] - q[0]), q[1] + IQR_K * (q[1] - q[0])
 
 
@@ -67,9 +75,9 @@ def outlier_flags(df: DataFrame, cols: list[str] = PRICE_COLS, key: str = KEY) -
     """Adds ``_out_<c>``: value outside the per-series fences of column c."""
     flags = {}
     for c in cols:
-        lo, hi = _fences(c, key)
+        lo, hi = _fences(c)
         flags[f"_out_{c}"] = F.coalesce((F.col(c) < lo) | (F.col(c) > hi), F.lit(False))
-    return df.withColumns(flags)
+    return df.withColumns(_quartiles(cols, key)).withColumns(flags).drop(*[f"_q_{c}" for c in cols])
 
 
 def wide_fences(bounds: DataFrame, cols: list[str] = PRICE_COLS, key: str = KEY) -> DataFrame:
@@ -102,13 +110,13 @@ def interpolate_outliers(df: DataFrame, cols: list[str] = PRICE_COLS,
     are computed on the column as it arrives (before any replacement)."""
     w, wd = W.series(key, ts), W.series_desc(key, ts)
     pos = "_pos"
-    out = df.withColumn(pos, F.row_number().over(w))
+    out = df.withColumns({pos: F.row_number().over(w), **_quartiles(cols, key, ts)})
     masked = {}
     for c in cols:
-        lo, hi = _fences(c, key)
+        lo, hi = _fences(c)
         outside = F.coalesce((F.col(c) < lo) | (F.col(c) > hi), F.lit(False))
         masked[c] = F.when(~outside, F.col(c))
-    out = out.withColumns(masked)
+    out = out.withColumns(masked).drop(*[f"_q_{c}" for c in cols])
     prev, nxt = {}, {}
     for c in cols:
         known_pos = F.when(F.col(c).isNotNull(), F.col(pos))
@@ -129,17 +137,18 @@ def interpolate_outliers(df: DataFrame, cols: list[str] = PRICE_COLS,
     return out.withColumns(filled).drop(*helper)
 
 
-def repair_ohlc(df: DataFrame, key: str = KEY) -> DataFrame:
+def repair_ohlc(df: DataFrame, key: str = KEY, ts: str | None = None) -> DataFrame:
     """(1) swap high/low where high < low; (2) if any row of the series
     has high < open or high < close, high = max(open, high, close) on every
-    row; (3) likewise low = min(open, low, close).  Row max/min skip nulls."""
+    row; (3) likewise low = min(open, low, close).  Row max/min skip nulls.
+    ``ts``, if given, orders the rows for the windows that follow."""
     o, h, l, c = (F.col(x) for x in ("open", "high", "low", "close"))
     swap = F.coalesce(h < l, F.lit(False))
     step1 = df.withColumns({"high": F.when(swap, l).otherwise(h),
                             "low": F.when(swap, h).otherwise(l)})
     o, h, l, c = (F.col(x) for x in ("open", "high", "low", "close"))
-    bad_high = F.bool_or(F.coalesce((h < o) | (h < c), F.lit(False))).over(W.whole(key))
-    bad_low = F.bool_or(F.coalesce((l > o) | (l > c), F.lit(False))).over(W.whole(key))
+    bad_high = F.bool_or(F.coalesce((h < o) | (h < c), F.lit(False))).over(W.whole(key, ts))
+    bad_low = F.bool_or(F.coalesce((l > o) | (l > c), F.lit(False))).over(W.whole(key, ts))
     return step1.withColumns({
         "high": F.when(bad_high, F.greatest(o, h, c)).otherwise(h),
         "low": F.when(bad_low, F.least(o, l, c)).otherwise(l),

@@ -19,17 +19,49 @@ from ..schemas import (GOLD_COLUMNS, GOLD_TECHNICAL_MARKERS, KEY, MA_WINDOWS, RO
 from . import scan
 
 
+GAIN, LOSS, RANGE, STEP = CHANGES = ["_gain", "_loss", "_tr", "_obv_step"]
+
+
+def _gain_loss(delta: Column) -> dict[str, Column]:
+    """The missing first change counts as 0."""
+    zero = F.lit(0.0)
+    return {GAIN: F.coalesce(F.greatest(delta, zero), zero), LOSS: F.coalesce(F.greatest(-delta, zero), zero)}
+
+
+def _range(prev: Column) -> Column:
+    return F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - prev), F.abs(F.col("low") - prev))
+
+
+def _step(delta: Column) -> Column:
+    return F.coalesce(F.signum(delta) * F.col("volume"), F.lit(0.0))
+
+
+def changes(df: DataFrame, key: str = KEY, ts: str | list[str] = TS) -> DataFrame:
+    """What RSI, ATR and OBV take from a row and the close before it, by one
+    look back (``CHANGES``).  Over these columns their windows need no other
+    window first, so one operator computes them with the other indicators."""
+    prev = F.lag("close", 1).over(W.series(key, ts))
+    delta = F.col("close") - F.col("_prev")
+    return df.withColumn("_prev", prev).withColumns(
+        {**_gain_loss(delta), RANGE: _range(F.col("_prev")), STEP: _step(delta)}).drop("_prev")
+
+
+def _replaced(df: DataFrame, out: DataFrame, cols: dict[str, Column]) -> DataFrame:
+    """The columns of ``df`` and the new ones, from a frame with helpers."""
+    return out.select(*[c for c in df.columns if c not in cols], *[c.alias(n) for n, c in cols.items()])
+
+
 def moving_averages(df: DataFrame, windows: list[int] | None = None,
                     key: str = KEY, ts: str = TS) -> DataFrame:
     """``sma_n``, ``ema_n`` and ``price_sma_ratio_n`` of ``close``."""
     windows = windows or MA_WINDOWS
-    w = W.series(key, ts)
-    out = df.withColumns({f"sma_{n}": W.rolling_mean("close", w, n) for n in windows})
     missing = {f"ema_{n}": n for n in windows if f"ema_{n}" not in df.columns}
     if missing:  # EMAs computed upstream (one shared scan) are reused
-        out = scan.ema_columns(out, "close", missing, key, ts)
-    return out.withColumns({f"price_sma_ratio_{n}": S.safe_div("close", f"sma_{n}")
-                            for n in windows})
+        df = scan.ema_columns(df, "close", missing, key, ts)
+    out, stats = W.rolled(df, [("mean", "close", n) for n in windows], W.series(key, ts))
+    sma = {n: stats["mean", "close", n] for n in windows}
+    return _replaced(df, out, {**{f"sma_{n}": c for n, c in sma.items()},
+                               **{f"price_sma_ratio_{n}": S.safe_div("close", c) for n, c in sma.items()}})
 
 
 def rsi(df: DataFrame, window: int = RSI_WINDOW, key: str = KEY, ts: str = TS) -> DataFrame:
@@ -38,26 +70,20 @@ def rsi(df: DataFrame, window: int = RSI_WINDOW, key: str = KEY, ts: str = TS) -
     when the average gain is 0 too.  Series shorter than ``window + 1`` rows
     get null."""
     w = W.series(key, ts)
-    delta = F.col("close") - F.lag("close", 1).over(w)
-    gain = F.coalesce(F.greatest(delta, F.lit(0.0)), F.lit(0.0))
-    loss = F.coalesce(F.greatest(-delta, F.lit(0.0)), F.lit(0.0))
-    out = df.withColumns({"_gain": gain, "_loss": loss})
-    out = out.withColumns({"_g": W.rolling_mean("_gain", w, window),
-                           "_l": W.rolling_mean("_loss", w, window),
-                           "_n": F.count(F.lit(1)).over(W.whole(key))})
-    g, lo = F.col("_g"), F.col("_l")
+    out = df
+    if GAIN not in df.columns:  # changes computed upstream are reused
+        out = df.withColumns(_gain_loss(F.col("close") - F.lag("close", 1).over(w)))
+    out, stats = W.rolled(out, [("mean", GAIN, window), ("mean", LOSS, window)], w)
+    out = out.withColumn("_n", F.count(F.lit(1)).over(W.whole(key, ts)))
+    g, lo = stats["mean", GAIN, window], stats["mean", LOSS, window]
     value = (F.when(lo == 0, F.when(g == 0, F.lit(None).cast("double")).otherwise(F.lit(100.0)))
               .otherwise(100.0 - 100.0 / (1.0 + g / lo)))
-    out = out.withColumn("rsi", F.when(F.col("_n") >= window + 1, value))
-    return out.drop("_gain", "_loss", "_g", "_l", "_n")
+    return _replaced(df, out, {"rsi": F.when(F.col("_n") >= window + 1, value)})
 
 
 def true_range(df: DataFrame, key: str = KEY, ts: str = TS, name: str = "true_range") -> DataFrame:
     """max(high-low, |high-prev close|, |low-prev close|), nulls skipped."""
-    prev = F.lag("close", 1).over(W.series(key, ts))
-    return df.withColumn(name, F.greatest(F.col("high") - F.col("low"),
-                                          F.abs(F.col("high") - prev),
-                                          F.abs(F.col("low") - prev)))
+    return df.withColumn(name, _range(F.lag("close", 1).over(W.series(key, ts))))
 
 
 def volatility(df: DataFrame, windows: list[int] | None = None,
@@ -66,13 +92,14 @@ def volatility(df: DataFrame, windows: list[int] | None = None,
     ``atr_n`` = mean true range."""
     windows = windows or VOLATILITY_WINDOWS
     w = W.series(key, ts)
-    out = true_range(df, key, ts, "_tr")
+    out = df if RANGE in df.columns else true_range(df, key, ts, RANGE)
     ann = math.sqrt(TRADING_DAYS)
+    out, stats = W.rolled(out, [x for n in windows for x in (("std", "daily_return", n), ("mean", RANGE, n))], w)
     cols = {}
     for n in windows:
-        cols[f"volatility_{n}"] = W.rolling_std("daily_return", w, n) * ann
-        cols[f"atr_{n}"] = W.rolling_mean("_tr", w, n)
-    return out.withColumns(cols).drop("_tr")
+        cols[f"volatility_{n}"] = stats["std", "daily_return", n] * ann
+        cols[f"atr_{n}"] = stats["mean", RANGE, n]
+    return _replaced(df, out, cols)
 
 
 def rates(df: DataFrame, periods: list[int] | None = None,
@@ -96,23 +123,22 @@ def momentum(df: DataFrame, periods: list[int] | None = None,
 
 def volume_averages(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
     """Volume SMA and the volume's ratio to it."""
-    w = W.series(key, ts)
-    out = df.withColumns({f"volume_sma_{n}": W.rolling_mean("volume", w, n)
-                          for n in VOLUME_SMA_WINDOWS})
-    return out.withColumns({f"volume_ratio_{n}": S.safe_div("volume", f"volume_sma_{n}")
-                            for n in VOLUME_SMA_WINDOWS})
+    out, stats = W.rolled(df, [("mean", "volume", n) for n in VOLUME_SMA_WINDOWS], W.series(key, ts))
+    sma = {n: stats["mean", "volume", n] for n in VOLUME_SMA_WINDOWS}
+    return _replaced(df, out, {**{f"volume_sma_{n}": c for n, c in sma.items()},
+                               **{f"volume_ratio_{n}": S.safe_div("volume", c) for n, c in sma.items()}})
 
 
 def obv_step(key: str = KEY, ts: str = TS) -> Column:
     """What a row adds to the on-balance volume."""
-    change = F.col("close") - F.lag("close", 1).over(W.series(key, ts))
-    return F.coalesce(F.signum(change) * F.col("volume"), F.lit(0.0))
+    return _step(F.col("close") - F.lag("close", 1).over(W.series(key, ts)))
 
 
 def volume_indicators(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
     """Volume SMA / ratio and on-balance volume."""
     out = volume_averages(df, key, ts)
-    return out.withColumn("obv", F.sum(obv_step(key, ts)).over(W.running(W.series(key, ts))))
+    step = F.col(STEP) if STEP in df.columns else obv_step(key, ts)
+    return out.withColumn("obv", F.sum(step).over(W.running(W.series(key, ts))))
 
 
 def targets(df: DataFrame, horizon: int = 1, key: str = KEY, ts: str = TS) -> DataFrame:
@@ -121,7 +147,7 @@ def targets(df: DataFrame, horizon: int = 1, key: str = KEY, ts: str = TS) -> Da
     last ``horizon`` rows of each series are dropped.  A series with at most
     ``horizon`` rows keeps its rows with null targets."""
     w = W.series(key, ts)
-    n = F.count(F.lit(1)).over(W.whole(key))
+    n = F.count(F.lit(1)).over(W.whole(key, ts))
     out = df.withColumns({
         "target_close": F.lead("close", horizon).over(w),
         "target_return": F.lead("daily_return", horizon).over(w),

@@ -16,7 +16,9 @@ Spark has no recursive window, so the recurrence is unrolled in blocks of
 * result: ``y_t = loc_t + b^(pos+1) * Y(blk-1)``.
 
 All windows are partitioned by the series key (alone, or with the block), so
-they reuse the series exchange: no extra shuffle, no Python, no join.
+they reuse the series exchange: no extra shuffle, no Python, no join.  Those
+along the series are ordered by (block, time), so they need the sort of the
+block windows and no other.
 A null row carries the last value; the first value after ``g - 1`` nulls
 weighs the past by ``b^g / (b^g + a)`` and itself by ``a / (b^g + a)``, the rule
 of an average whose weights go by position.  Such gaps enter the block sums as
@@ -45,58 +47,83 @@ def block_rows(spans: list[int]) -> int:
     return max(1, int(_LOG_RANGE / -math.log(b)) + 1)
 
 
-def ema_columns(df: DataFrame, col: str, spans: dict[str, int],
-                key: str = KEY, ts: str = TS) -> DataFrame:
-    """Add one EMA column per ``{name: span}`` of column ``col``."""
-    spans = {n: s for n, s in spans.items()}
+ROW, BLOCK, AT, END, FIRST = BLOCKS = ["_scan_row", "_scan_block", "_scan_at", "_scan_end", "_scan_first"]
+
+
+def in_blocks(df: DataFrame, size: int, key: str = KEY, ts: str = TS) -> DataFrame:
+    """Numbers the rows of each series (``ROW``, from 1) and cuts them into
+    blocks of ``size`` rows: the block, the place in it and whether it ends
+    here.  Windows ordered by ``[BLOCK, ts]`` and those inside a block need one
+    and the same sort."""
+    at = F.col(ROW) - 1
+    return df.withColumn(ROW, F.row_number().over(W.series(key, ts))).withColumns(
+        {BLOCK: F.floor(at / size).cast("int"), AT: at % size, END: at % size == size - 1})
+
+
+def ema_columns(df: DataFrame, col: str, spans: dict[str, int], key: str = KEY, ts: str | list[str] = TS,
+                gaps: bool = True) -> DataFrame:
+    """Add one EMA column per ``{name: span}`` of column ``col``.  Blocks that
+    ``in_blocks`` has cut upstream are reused (their size must suit the spans)
+    and kept, with ``FIRST``: no value of the column before this row.  Without
+    ``gaps`` the column has nulls before its first value only, as an average
+    has, and this is where ``FIRST`` says if it is there."""
     trivial = {n: F.col(col) for n, s in spans.items() if s <= 1}
-    work = {n: s for n, s in spans.items() if s > 1}
+    work = {n: 2.0 / (s + 1.0) for n, s in spans.items() if s > 1}
     out = df.withColumns(trivial) if trivial else df
     if not work:
         return out
-    B = block_rows(list(work.values()))
-    w = W.series(key, ts)
+    cut = BLOCK in df.columns
+    if not cut:
+        out = in_blocks(out, block_rows([s for s in spans.values() if s > 1]), key, ts)
+    times = [c for c in ([ts] if isinstance(ts, str) else ts) if c != BLOCK]
+    w = W.series(key, [BLOCK, *times])
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    rn, rn0, blk, gap, pos = "_ema_rn", "_ema_rn0", "_ema_blk", "_ema_gap", "_ema_pos"
+    wb = Window.partitionBy(key, BLOCK).orderBy(*times).rowsBetween(Window.unboundedPreceding, 0)
+    seen, gap, pos = "_ema_seen", "_ema_gap", "_ema_pos"
     valid = F.col(col).isNotNull()
-    out = df.withColumn(rn, F.row_number().over(w))
-    start = F.min(F.when(valid, F.col(rn))).over(W.whole(key))
-    seen = F.last(F.when(valid, F.col(rn)), ignorenulls=True).over(before)
-    # rows since the last value: 1 in a run without nulls, 0 on a null row
-    out = out.withColumns({rn0: F.col(rn) - start, gap: F.when(valid, F.coalesce(F.col(rn) - seen, F.lit(1)))
-                           .otherwise(F.lit(0))})
-    out = out.withColumn(blk, F.floor(F.col(rn0) / B))
-    wb = Window.partitionBy(key, blk).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    out = out.withColumn(pos, F.sum(F.when(F.col(gap) > 0, 1).otherwise(0)).over(wb) - 1)
+    if gaps or FIRST not in out.columns:  # the last row with a value before this one
+        out = out.withColumn(seen, F.last(F.when(valid, F.col(ROW)), ignorenulls=True).over(before))
+        out = out.withColumn(FIRST, F.col(seen).isNull())
     x = F.coalesce(F.col(col), F.lit(0.0))
-    after_gap = F.col(gap) > 1
+    first = F.col(FIRST)
     rest = {}
-    for name, s in work.items():
-        b = 1.0 - 2.0 / (s + 1.0)
-        old = F.pow(F.lit(b), F.col(gap))
-        share = F.greatest(old / (old + (1.0 - b)), F.lit(LEAST_SHARE))
-        # what a gap weighs the past by beyond one ordinary step; exactly 1 where there is none
-        rest[f"_gap_{name}"] = F.exp(F.sum(F.when(after_gap, F.log(share / b)).otherwise(0.0)).over(wb))
-    out = out.withColumns(rest)
-    locs = {}
-    for name, s in work.items():
-        a = 2.0 / (s + 1.0)
-        b = 1.0 - a
-        old = F.pow(F.lit(b), F.col(gap))
-        u = F.when(F.col(rn0) == 0, x).when(after_gap, x * (a / (old + a))).otherwise(a * x)
-        scaled = u * F.pow(F.lit(b), -F.col(pos)) / F.col(f"_gap_{name}")
-        locs[f"_loc_{name}"] = F.pow(F.lit(b), F.col(pos)) * F.col(f"_gap_{name}") * F.sum(scaled).over(wb)
-    out = out.withColumns(locs)
-    is_last = F.col(rn0) % B == B - 1
+    if gaps:
+        # rows since the last value: 1 in a run without nulls, 0 on a null row
+        out = out.withColumn(gap, F.when(valid, F.coalesce(F.col(ROW) - F.col(seen), F.lit(1))).otherwise(F.lit(0)))
+        after_gap = F.col(gap) > 1
+        for name, a in work.items():
+            old = F.pow(F.lit(1.0 - a), F.col(gap))
+            share = F.greatest(old / (old + a), F.lit(LEAST_SHARE))
+            # what a gap weighs the past by beyond one ordinary step; exactly 1 where there is none
+            rest[name] = F.exp(F.sum(F.when(after_gap, F.log(share / (1.0 - a))).otherwise(0.0)).over(wb))
+        out = out.withColumns({pos: F.count(col).over(wb) - 1, **{f"_gap_{n}": c for n, c in rest.items()}})
+    else:
+        pos = AT
+    decay, sums = {}, {}
+    for name, a in work.items():
+        b = F.lit(1.0 - a)
+        u = F.when(first, x).otherwise(a * x)
+        decay[f"_dec_{name}"], grown = F.pow(b, F.col(pos)), F.pow(b, -F.col(pos))
+        if gaps:
+            old, rest_of = F.pow(b, F.col(gap)), F.col(f"_gap_{name}")
+            u = F.when(first, x).when(after_gap, x * (a / (old + a))).otherwise(a * x)
+            decay[f"_dec_{name}"], grown = decay[f"_dec_{name}"] * rest_of, grown / rest_of
+        sums[f"_loc_{name}"] = F.sum(u * grown).over(wb)
+    out = out.withColumns({**decay, **sums})
+    # all averages at the ends of the blocks before, with what a block weighs its past by
+    past = {n: F.col(f"_dec_{n}") * (1.0 - a) for n, a in work.items()}
+    local = {n: F.col(f"_dec_{n}") * F.col(f"_loc_{n}") for n in work}
+    ends = F.collect_list(F.when(F.col(END), F.struct(
+        *[past[n].alias(f"w_{n}") for n in work], *[local[n].alias(f"y_{n}") for n in work]))).over(before)
+    out = out.withColumn("_ends", ends)
     results = {}
-    for name, s in work.items():
-        b = 1.0 - 2.0 / (s + 1.0)
-        weight = F.pow(F.lit(b), F.col(pos) + 1) * F.col(f"_gap_{name}")
-        ends = F.collect_list(F.when(is_last, F.struct(weight.alias("w"), F.col(f"_loc_{name}").alias("y")))).over(before)
-        carry = F.aggregate(ends, F.lit(0.0), lambda acc, e: acc * e["w"] + e["y"])
-        results[name] = F.when(F.col(rn0) >= 0, F.col(f"_loc_{name}") + weight * carry)
+    for n in work:
+        w_n, y_n = f"w_{n}", f"y_{n}"
+        folded = F.aggregate("_ends", F.lit(0.0), lambda acc, e: acc * e[w_n] + e[y_n])  # noqa: B023 - called at once
+        carry = F.when(F.size("_ends") > 0, folded).otherwise(0.0)
+        results[n] = F.when(valid | ~first, local[n] + past[n] * carry)
     out = out.withColumns(results)
-    return out.drop(rn, rn0, blk, gap, pos, *rest.keys(), *locs.keys())
+    return out.drop(seen, gap, "_ema_pos", "_ends", *([] if cut else BLOCKS), *decay, *sums, *[f"_gap_{n}" for n in rest])
 
 
 def ema(df: DataFrame, col: str, span: int, name: str | None = None,
@@ -115,10 +142,13 @@ def macd(df: DataFrame, col: str = "close", key: str = KEY, ts: str = TS) -> Dat
     fast, slow = FAST_COL, SLOW_COL
     out = df
     if fast not in df.columns or slow not in df.columns:
-        out = ema_columns(df, col, {fast: MACD_FAST, slow: MACD_SLOW}, key, ts)
+        if BLOCK not in df.columns:
+            out = in_blocks(df, block_rows([MACD_FAST, MACD_SLOW, MACD_SIGNAL]), key, ts)
+        out = ema_columns(out, col, {fast: MACD_FAST, slow: MACD_SLOW}, key, ts)
     out = out.withColumn("macd", F.col(fast) - F.col(slow)).drop(fast, slow)
-    out = ema_columns(out, "macd", {"macd_signal": MACD_SIGNAL}, key, ts)
-    return out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+    out = ema_columns(out, "macd", {"macd_signal": MACD_SIGNAL}, key, ts, gaps=False)
+    out = out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+    return out if BLOCK in df.columns else out.drop(*BLOCKS)
 
 
 __all__ = ["ema", "ema_columns", "macd", "block_rows", "Column"]

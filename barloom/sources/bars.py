@@ -46,11 +46,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _ohlcv(df: DataFrame, key: F.Column, ts: F.Column, price: str, qty: str,
            tie: F.Column) -> DataFrame:
-    return (df.groupBy(key.alias(KEY), ts.alias(TS))
-            .agg(F.min_by(F.col(price), tie).alias("open"),
+    tie_of = F.col("_tie")  # a column: both ends take it from there
+    return (df.withColumn("_tie", tie).groupBy(key.alias(KEY), ts.alias(TS))
+            .agg(F.min_by(F.col(price), tie_of).alias("open"),
                  F.max(price).alias("high"),
                  F.min(price).alias("low"),
-                 F.max_by(F.col(price), tie).alias("close"),
+                 F.max_by(F.col(price), tie_of).alias("close"),
                  F.sum(qty).alias("volume")))
 
 
@@ -115,19 +116,22 @@ def fine_text_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_rn(bars: DataFrame) -> DataFrame:
     """1-based row number and length of each series (fixture helper)."""
-    return (bars.withColumn("rn", F.row_number().over(W.series()))
-                .withColumn("n", F.count(F.lit(1)).over(W.whole())))
+    return bars.withColumns({"rn": F.row_number().over(W.series()), "n": F.count(F.lit(1)).over(W.whole(KEY, TS))})
 
 
 def dirty_bars(spark: SparkSession, sf_dir: str, source=None) -> DataFrame:
     """Bars (lineitem by default) with deterministic faults: null close,
     swapped high/low, open x 10 (also on the first and last row) and a flat
     run of closes."""
-    b = with_rn((source or lineitem_bars)(spark, sf_dir))
+    return _dirty(with_rn((source or lineitem_bars)(spark, sf_dir))).drop("rn")
+
+
+def _dirty(b: DataFrame) -> DataFrame:
     rn = F.col("rn")
+    b = b.withColumn("_flat", F.nth_value("close", FLAT_CLOSE_FROM).over(W.whole(KEY, TS)))
     swap = rn % SWAP_HIGH_LOW_EVERY == 0
     flat = rn.between(FLAT_CLOSE_FROM, FLAT_CLOSE_TO)
-    flat_close = F.first(F.when(rn == FLAT_CLOSE_FROM, F.col("close")), ignorenulls=True).over(W.whole())
+    flat_close = F.col("_flat")
     close = (F.when(rn % NULL_CLOSE_EVERY == 0, F.lit(None).cast("double"))
               .when(flat, flat_close).otherwise(F.col("close")))
     open_ = F.when((rn % OPEN_X10_EVERY == 0) | (rn == 1) | (rn == F.col("n")),
@@ -140,13 +144,14 @@ def dirty_bars(spark: SparkSession, sf_dir: str, source=None) -> DataFrame:
         close.alias("close"),
         "volume",
         TS,
+        "rn",
     )
 
 
 def text_bars(spark: SparkSession, sf_dir: str, source=None) -> DataFrame:
     """String copy of the dirty bars, with ``'n/a'`` in ``close`` every
     41st row and the date as text (input of the type coercion)."""
-    b = with_rn(dirty_bars(spark, sf_dir, source))
+    b = _dirty(with_rn((source or lineitem_bars)(spark, sf_dir)))
     close_txt = F.when(F.col("rn") % TEXT_NA_EVERY == 0, F.lit("n/a")).otherwise(
         F.col("close").cast("string"))
     return b.select(
