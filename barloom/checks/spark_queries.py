@@ -33,16 +33,23 @@ def _half_away(y: Column) -> Column:
     return F.when(F.abs(y - whole) == 0.5, y + F.signum(y) * 0.5).otherwise(whole)
 
 
+def _on_grid(x: Column) -> Column:
+    return _half_away(x * GRID) / GRID + 0.0
+
+
+WIDE = 16  # doubles of a row whose rounding is still short enough in one method
+
+
 def rnd(df: DataFrame) -> DataFrame:
-    """The doubles are rounded as one array: written out for each column of
-    Gold the code of a row is longer than what the JVM compiles."""
+    """Spark writes a projection of plain expressions as one method; for all
+    columns of Gold that is longer than what the JVM compiles.  One that holds
+    a function over an array is written in pieces: in a wide row the first
+    double is rounded as the only element of one."""
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    if not doubles:
-        return df
-    values = F.transform(F.array(*[F.col(c).cast("double") for c in doubles]), lambda x: x * GRID)
-    rounded = F.transform(values, lambda y: _half_away(y) / GRID + 0.0)
-    at = {c: F.col("_rounded")[i].alias(c) for i, c in enumerate(doubles)}
-    return df.withColumn("_rounded", rounded).select(*[at.get(c, F.col(c)) for c in df.columns])
+    grid = {c: _on_grid(F.col(c).cast("double")) for c in doubles}
+    if len(doubles) > WIDE:
+        grid[doubles[0]] = F.transform(F.array(F.col(doubles[0]).cast("double")), _on_grid)[0]
+    return df.select(*[grid[c].alias(c) if c in grid else F.col(c) for c in df.columns])
 
 
 # --------------------------------------------------------------- stages

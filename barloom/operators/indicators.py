@@ -166,10 +166,16 @@ def technical_columns(cols: list[str]) -> list[str]:
 def gold_fill_drop(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
     """Forward-fill the technical columns (names containing sma_, ema_,
     rsi, volatility_, atr_, macd) within each series, then drop rows with any
-    null."""
+    null.  The whole numbers are tested as one array: a filter with a function
+    over an array is compiled in pieces and hands on the rows it keeps, while
+    one long method over all columns would write them again."""
     w = W.series(key, ts)
     filled = df.withColumns({c: W.ffill(c, w) for c in technical_columns(df.columns)})
-    return filled.dropna(how="any")
+    whole = [c for c, t in filled.dtypes if t == "int"]
+    if not whole:
+        return filled.dropna(how="any")
+    return filled.dropna(how="any", subset=[c for c in filled.columns if c not in whole]).where(
+        F.forall(F.array(*whole), lambda x: x.isNotNull()))
 
 
 def ml_projection(df: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:

@@ -98,3 +98,12 @@ def test_changes_give_the_same_indicators(spark):
     plain = indicators.volume_indicators(indicators.volatility(indicators.rsi(s)))
     merged = indicators.volume_indicators(indicators.volatility(indicators.rsi(indicators.changes(s)))).select(*plain.columns)
     assert merged.exceptAll(plain).isEmpty() and plain.exceptAll(merged).isEmpty()
+
+
+def test_fill_drop_drops_any_null(spark):
+    rows = [("a", dt.datetime(2001, 1, 1 + i), *r) for i, r in enumerate(
+        [(1.0, 1.0, 1, 1), (None, 1.0, 1, 1), (1.0, None, 1, 1), (1.0, 1.0, None, 1), (1.0, 1.0, 1, None),
+         (1.0, float("nan"), 1, 1), (None, 2.0, 2, 2)])]
+    df = spark.createDataFrame(rows, "series_key string, date timestamp_ntz, sma_7 double, close double, month int, year int")
+    got = indicators.gold_fill_drop(df).orderBy("date").collect()
+    assert [(r.date.day, r.sma_7) for r in got] == [(1, 1.0), (2, 1.0), (7, 1.0)]
